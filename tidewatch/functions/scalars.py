@@ -31,8 +31,7 @@ def as_col(c: Column | str) -> Column:
 
 def or_default(c: Column | str, default: str) -> Column:
     """Null and empty text both give the default."""
-    c = as_col(c)
-    return F.when(c.isNull() | (c == ""), F.lit(default)).otherwise(c)
+    return F.coalesce(F.nullif(as_col(c), F.lit("")), F.lit(default))
 
 
 def num_default(c: Column | str) -> Column:
@@ -41,18 +40,13 @@ def num_default(c: Column | str) -> Column:
 
 
 def lookup(c: Column | str, table: Mapping[str, object], default: object = None) -> Column:
-    """Value of ``c`` in a small constant table, as a CASE that Catalyst folds and generates code for."""
-    c = as_col(c)
-    out = None
-    by_value: dict[object, list[str]] = {}
-    for key, value in table.items():
-        by_value.setdefault(value, []).append(key)
-    for value, names in by_value.items():
-        hit = c.isin(*names)
-        out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
-    if out is None:
-        return F.lit(default)
-    return out.otherwise(F.lit(default))
+    """Value of ``c`` in a small constant table.
+
+    A map literal reads ``c`` once. A CASE would repeat it in every branch, and Catalyst would copy whatever ``c``
+    is made of, such as a JSON parse, as often into each filter it pushes down.
+    """
+    entries = [F.lit(x) for pair in table.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), as_col(c)), F.lit(default))
 
 
 def severity_rank(c: Column | str) -> Column:
@@ -64,14 +58,43 @@ def severity_at_least(c: Column | str, floor: Column | str) -> Column:
     return severity_rank(c) >= severity_rank(floor)
 
 
+def strip(c: Column | str) -> Column:
+    """Trim all ASCII white space, not just blanks."""
+    return F.btrim(as_col(c), F.lit(" \t\n\r\x0b\x0c"))
+
+
 def normalize_decision(c: Column | str) -> Column:
     """APPROVE, DENY, or null for a malformed decision."""
-    return lookup(F.upper(F.trim(as_col(c))), DECISIONS)
+    return lookup(F.upper(strip(c)), DECISIONS)
+
+
+def round_exact(c: Column | str, digits: int) -> Column:
+    """Round a double by its exact binary value, ties to even, as IEEE-correct decimal rounding does.
+
+    Built-in ``round`` works on the shortest decimal text instead and so differs on values such as 2.675.
+    The product with 10^digits is formed with its rounding error (Dekker's product; the power has few
+    enough bits to need no split), and the error decides the cases that look like ties. Up to 7 digits.
+    """
+    x, scale = as_col(c), F.lit(float(10**digits))
+    spread = x * 134217729.0
+    high = spread - (spread - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    whole = F.floor(product).cast("double")
+    over = (product - whole - 0.5) + error
+    up = (over > 0) | ((over == 0) & (whole % 2 != 0))
+    return F.when(up, whole + 1).otherwise(whole) / scale
 
 
 def safe_ratio(a: Column | str, b: Column | str, digits: int = 4) -> Column:
+    """Rounded a / b, or 0 where b is not positive."""
     a, b = as_col(a), as_col(b)
-    return F.when(b > 0, F.round(a / b, digits)).otherwise(F.lit(0.0))
+    return F.when(b > 0, round_exact(a / b, digits)).otherwise(F.lit(0.0))
+
+
+def regex_escape(text: str) -> str:
+    """The text as a pattern that matches it literally."""
+    return "".join(ch if ch.isalnum() or ch in "_ " else "\\" + ch for ch in text)
 
 
 def glob_regex(pattern: str) -> str:
@@ -93,7 +116,7 @@ def glob_regex(pattern: str) -> str:
             out.append(("[^" if body_at == i + 2 else "[") + body + "]")
             i = end
         else:
-            out.append(ch if ch.isalnum() or ch in "_ " else "\\" + ch)
+            out.append(regex_escape(ch))
         i += 1
     return r"(?s)\A" + "".join(out) + r"\z"
 
@@ -119,21 +142,26 @@ def render_target(template: Column | str, service: Column | str) -> Column:
     return F.when(broken, service).otherwise(rendered)
 
 
-def json_value(c: Column | str) -> Column:
-    """A scalar column as JSON text; null becomes ``null``."""
-    text = F.to_json(F.struct(as_col(c).alias("v")), {"ignoreNullFields": "false"})
-    return F.substr(text, F.lit(6), F.length(text) - F.lit(6))
-
-
 def canonical_json(fields: Mapping[str, Column | str], raw: tuple[str, ...] = ()) -> Column:
-    """JSON object with sorted keys and no blanks. Fields named in ``raw`` already hold JSON text."""
+    """JSON object with sorted keys and no blanks; null stays null. Fields named in ``raw`` already hold JSON text."""
     parts: list[Column] = []
-    for i, name in enumerate(sorted(fields)):
-        lead = ("{" if i == 0 else ",") + f'"{name}":'
+    plain: list[Column] = []
+
+    def flush() -> None:
+        if plain:
+            text = F.to_json(F.struct(*plain), {"ignoreNullFields": "false"})
+            parts.append(F.substr(text, F.lit(2), F.length(text) - F.lit(2)))
+            plain.clear()
+
+    for name in sorted(fields):
         col = as_col(fields[name])
-        value = F.coalesce(col, F.lit("null")) if name in raw else json_value(col)
-        parts += [F.lit(lead), value]
-    return F.concat(*parts, F.lit("}"))
+        if name in raw:
+            flush()
+            parts.append(F.concat(F.lit(f'"{name}":'), F.coalesce(col, F.lit("null"))))
+        else:
+            plain.append(col.alias(name))
+    flush()
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def stable_id(canonical: Column | str) -> Column:

@@ -33,7 +33,7 @@ def sorted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], bloc
     """Range-partition by (keys, order), sort each partition, number the partitions, and materialize.
 
     The block count defaults to ``spark.sql.shuffle.partitions``; size it so that one block fits a task.
-    Keys and order columns must not be null.
+    Keys and order columns must not be null; a time as key goes in as microseconds.
     """
     spark = df.sparkSession
     shared_dir(spark)
@@ -84,11 +84,19 @@ class Carry:
     """What a block knows of the rows of its first key that lie in earlier blocks."""
 
     key: tuple
-    count: int
+    count: int  # rows, or their total weight
     tail: np.ndarray  # (columns x up to ``depth`` last rows)
 
 
-def _collect_carries(blocks: DataFrame, keys: Sequence[str], values: Sequence[str], depth: int) -> dict[int, Carry]:
+def weights(batch: pa.RecordBatch, weight: str | None) -> np.ndarray:
+    if weight is None:
+        return np.ones(batch.num_rows, dtype=np.int64)
+    return batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _collect_carries(
+    blocks: DataFrame, keys: Sequence[str], values: Sequence[str], depth: int, weight: str | None
+) -> dict[int, Carry]:
     """One summary row per block (at most ``depth`` values per column), chained in block order."""
 
     def summarize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,13 +109,13 @@ def _collect_carries(blocks: DataFrame, keys: Sequence[str], values: Sequence[st
             head = key_at(batch, keys, 0)
             if first is None:
                 first, last, block = head, head, batch.column(BLOCK)[0].as_py()
-            rows = number_matrix(batch, values)
+            rows, size = number_matrix(batch, values), weights(batch, weight)
             if head != last or len(starts) > 1:
                 single = False
                 begin = int(starts[-1])
-                last, count, tail = key_at(batch, keys, begin), batch.num_rows - begin, rows[:, begin:]
+                last, count, tail = key_at(batch, keys, begin), int(size[begin:].sum()), rows[:, begin:]
             else:
-                count += batch.num_rows
+                count += int(size.sum())
                 tail = np.hstack([tail, rows])
             tail = tail[:, max(0, tail.shape[1] - depth) :]
         if first is not None:
@@ -127,7 +135,7 @@ def _collect_carries(blocks: DataFrame, keys: Sequence[str], values: Sequence[st
         ]
     )
     arrow = arrow_schema(schema)
-    needed = dict.fromkeys([*keys, *values, BLOCK])
+    needed = dict.fromkeys([*keys, *values, *([weight] if weight else []), BLOCK])
     rows = blocks.select(*needed).mapInArrow(summarize, schema).collect()
 
     carries: dict[int, Carry] = {}
@@ -135,7 +143,7 @@ def _collect_carries(blocks: DataFrame, keys: Sequence[str], values: Sequence[st
     for r in sorted(rows, key=lambda r: r[BLOCK]):
         first = tuple(r["first_" + k] for k in keys)
         last = tuple(r["last_" + k] for k in keys)
-        tail = np.array(r["tail"], dtype=float).reshape(len(values), -1)
+        tail = np.array(r["tail"], dtype=float).reshape(len(values), len(r["tail"][0]) if values else 0)
         continued = running is not None and running.key == first
         if continued:
             carries[r[BLOCK]] = running
@@ -160,13 +168,14 @@ def _scan(
     depth: int,
     compute,
     added: list[T.StructField],
+    weight: str | None = None,
 ) -> DataFrame:
-    """Append the columns that ``compute(rows, start, base, offset)`` gives for each row.
+    """Append the columns that ``compute(rows, start, rank, offset)`` gives for each row.
 
     ``rows`` holds the batch's values behind the carried ones, ``offset`` is the number of carried rows,
-    ``start`` gives each row's first row of the same key, ``base`` the count of rows of the key before it.
+    ``start`` gives each row's first row of the same key, ``rank`` the rows (or weight) of the key up to it.
     """
-    carries = _collect_carries(blocks, keys, values, depth)
+    carries = _collect_carries(blocks, keys, values, depth, weight)
     out_schema = T.StructType([*[f for f in blocks.schema.fields if f.name != BLOCK], *added])
     kept = [f.name for f in blocks.schema.fields if f.name != BLOCK]
     added_arrow = arrow_schema(T.StructType(added))
@@ -188,8 +197,9 @@ def _scan(
             first_row = np.zeros(n, dtype=np.int64)
             first_row[starts] = starts
             first_row = np.maximum.accumulate(first_row)
-            # Rank of the row among the rows of its key, counting from 1 and over all blocks.
-            rank = np.arange(n) - first_row + 1 + np.where(first_row == 0, base0, 0)
+            size = weights(batch, weight)
+            upto = np.cumsum(size)
+            rank = upto - (upto - size)[first_row] + np.where(first_row == 0, base0, 0)
             start = np.where(first_row == 0, 0, first_row + offset)
             new = compute(rows, start, rank, offset)
             arrays = [batch.column(c) for c in kept]
@@ -197,9 +207,7 @@ def _scan(
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added_arrow.names])
             begin = int(starts[-1])
             tail = rows[:, begin + offset :] if begin else rows
-            count = n - begin if begin or not continued else running.count + n
-            key = key_at(batch, keys, begin)
-            running = Carry(key, count, tail[:, max(0, tail.shape[1] - depth) :])
+            running = Carry(key_at(batch, keys, begin), int(rank[-1]), tail[:, max(0, tail.shape[1] - depth) :])
 
     return blocks.mapInArrow(apply, out_schema)
 
@@ -274,3 +282,15 @@ def number_rows(
 
     depth = lag if lag_of else 0
     return _scan(sorted_blocks(df, keys, order, blocks), keys, values, depth, compute, added)
+
+
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str, name: str, blocks: int | None = None
+) -> DataFrame:
+    """Sum of the bigint column ``weight`` over the rows of the key up to and including this one."""
+
+    def compute(rows: np.ndarray, start: np.ndarray, rank: np.ndarray, offset: int) -> list[np.ndarray]:
+        return [rank]
+
+    cut = sorted_blocks(df, keys, order, blocks)
+    return _scan(cut, keys, [], 0, compute, [T.StructField(name, T.LongType())], weight)

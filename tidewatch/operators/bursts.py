@@ -17,8 +17,7 @@ SECOND = 1_000_000
 
 def error_logs(df: DataFrame) -> DataFrame:
     """Logs of severity error or critical, in any case, with a service."""
-    severity = F.lower(or_default("severity", "info"))
-    return df.filter(severity.isin("error", "critical")).withColumn("service", or_default("service", "unknown"))
+    return df.filter(F.lower("severity").isin("error", "critical")).withColumn("service", or_default("service", "unknown"))
 
 
 def trailing_count(
@@ -71,12 +70,22 @@ def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str
     return greedy_spacing(candidates, ["service"], "rn", [], threshold).drop("rn")
 
 
-def detect_bursts(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str = "ts", seq: str = "seq") -> DataFrame:
+def detect_bursts(
+    df: DataFrame,
+    window_sec: int = 30,
+    threshold: int = 8,
+    ts: str = "ts",
+    seq: str = "seq",
+    fires: DataFrame | None = None,
+) -> DataFrame:
     """ERROR_RATE_SPIKE incidents of parsed logs; the firing log is the sample in ``details``.
 
-    The fires are joined back to the logs for the sample, as a broadcast when they are few.
+    The fires are joined back to the logs for the sample, as a broadcast when they are few. Pass the
+    result of ``burst_fires`` if it is also used elsewhere.
     """
-    fires = broadcast_if_small(burst_fires(df, window_sec, threshold, ts, seq))
+    if fires is None:
+        fires = burst_fires(df, window_sec, threshold, ts, seq)
+    fires = broadcast_if_small(fires)
     logs = error_logs(df).withColumn("_at", micros(ts))
     details = canonical_json(
         {
@@ -99,11 +108,21 @@ def detect_bursts(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: s
 
 
 def all_incidents(
-    bursts: DataFrame, logs: DataFrame, anomalies: DataFrame, ts: str = "ts", seq: str = "seq"
+    bursts: DataFrame,
+    logs: DataFrame,
+    anomalies: DataFrame,
+    ts: str = "ts",
+    seq: str = "seq",
+    fires: DataFrame | None = None,
 ) -> DataFrame:
-    """One incident stream. A log record on which a burst fired gives no keyword incident."""
-    fired = broadcast_if_small(bursts.select("service", ts, seq))
-    keyword = logs.join(fired, ["service", ts, seq], "left_anti")
+    """One incident stream. A log record on which a burst fired gives no keyword incident.
+
+    ``fires`` is the result of ``burst_fires``, cheaper to test against than ``bursts`` itself.
+    """
+    if fires is None:
+        fires = bursts.select("service", micros(ts).alias("_at"), seq)
+    fired = broadcast_if_small(fires.select("service", "_at", seq))
+    keyword = logs.withColumn("_at", micros(ts)).join(fired, ["service", "_at", seq], "left_anti")
     return bursts.unionByName(keyword.select(*logs.columns), allowMissingColumns=True).unionByName(
         anomalies, allowMissingColumns=True
     )

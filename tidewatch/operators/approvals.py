@@ -104,6 +104,8 @@ class ApprovalMachine:
         return {**{c: action.get(c) for c in ("action_id", *_INTENT)}, "status": status, "approver": approver, "_at": at}
 
     def expire(self, state: dict, now: int) -> list[dict]:
+        if state.get("done") is not None and now - state["done"] > self.dedup_us:
+            del state["done"]
         pending = state.get("pending")
         if not self.require_approval or pending is None or now < pending["until"]:
             return []
@@ -140,6 +142,15 @@ class ApprovalMachine:
                 out += self._run(state, action, now)
         return out
 
+    def wake(self, state: dict) -> int | None:
+        """When the state changes by itself: at expiry, or when its result no longer blocks repeats."""
+        times = []
+        if state.get("pending") is not None:
+            times.append(state["pending"]["until"])
+        if state.get("done") is not None:
+            times.append(state["done"] + self.dedup_us + 1)
+        return min(times) if times else None
+
     def finish(self, state: dict) -> list[dict]:
         return [] if self.as_of is None else self.expire(state, self.as_of)
 

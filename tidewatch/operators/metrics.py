@@ -12,7 +12,7 @@ from tidewatch.operators.blocks import rolling
 from tidewatch.schemas import METRICS_RAW
 
 FEATURES = ("cpu_avg_5", "memory_avg_5", "latency_avg_5")
-_VALUES = {"cpu_percent": "cpu", "memory_percent": "memory", "network_latency_ms": "latency"}
+VALUES = {"cpu_percent": "cpu", "memory_percent": "memory", "network_latency_ms": "latency"}
 _RAW = {f.split()[0] for f in METRICS_RAW.split(", ")}
 
 
@@ -42,7 +42,7 @@ def prepare_metrics(df: DataFrame) -> DataFrame:
     return df.select(
         "timestamp",
         or_default("service", "unknown").alias("service"),
-        *[num_default(c).alias(c) for c in _VALUES],
+        *[num_default(c).alias(c) for c in VALUES],
         *[c for c in df.columns if c not in _RAW],
     )
 
@@ -59,8 +59,8 @@ def rolling_stats(
     ``by=None`` runs one window over all services together, ``by="service"`` one per service. Columns are
     named ``cpu_avg_5`` and so on. Runs a job: see ``blocks``.
     """
-    out = rolling(df, [by] if by else [], list(order), {c: list(stats) for c in _VALUES}, n)
-    names = {f"{c}_{s}": f"{short}_{s}_{n}" for c, short in _VALUES.items() for s in stats}
+    out = rolling(df, [by] if by else [], list(order), {c: list(stats) for c in VALUES}, n)
+    names = {f"{c}_{s}": f"{short}_{s}_{n}" for c, short in VALUES.items() for s in stats}
     return out.withColumnsRenamed(names)
 
 

@@ -171,7 +171,7 @@ def dedup_ttl(
     return greedy_spacing(placed, [key], "_at", list(seq), ttl * SECOND + 1).drop("_at")
 
 
-def _remediation_step(state: dict, row: dict, ttl: int) -> list[dict]:
+def remediation_step(state: dict, row: dict, ttl: int) -> list[dict]:
     """Sequential rule of one (rule, target): silent during the cooldown, then one emission per action id and TTL."""
     now = row["_at"]
     seen = {k: until for k, until in state.get("seen", {}).items() if until >= now}
@@ -204,7 +204,7 @@ def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts",
             narrow.join(known, key, "left_semi"),
             key,
             order,
-            lambda state, row: _remediation_step(state, row, ttl),
+            lambda state, row: remediation_step(state, row, ttl),
             lambda state: [],
             schema,
         )

@@ -123,7 +123,7 @@ class ForestModel:
             mean = total / len(feature)
             return pd.Series(-np.exp2(-mean / norm) if norm else np.full(len(x), -0.5))
 
-        udf = F.pandas_udf(score, "double", F.PandasUDFType.SCALAR)
+        udf = F.pandas_udf(score, "double")
         return udf(*[num_default(c) for c in self.features])
 
     def score(self, df: DataFrame) -> DataFrame:

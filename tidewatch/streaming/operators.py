@@ -40,7 +40,7 @@ def rolling_stats_stream(df: DataFrame, n: int = 5, by: str = "service", ts: str
     added = [T.StructField(f"{short}_avg_{n}", T.DoubleType()) for short in VALUES.values()]
     schema = T.StructType([*_plain(ready).fields, *added])
     step = partial(rolling_step, n=n, values=dict(VALUES))
-    out = _keyed(ready, [by], FoldProcessor(step, schema.names), schema)
+    out = _keyed(ready, [by], FoldProcessor(step, ready.columns, schema.names), schema)
     return finish_metrics(out.withColumn(ts, F.timestamp_micros("_at")).drop("_at"))
 
 
@@ -65,7 +65,7 @@ def detect_bursts_stream(
         details.alias("details"),
     )
     step = partial(burst_step, window_sec=window_sec, threshold=threshold)
-    out = _keyed(slim, ["service"], FoldProcessor(step, slim.columns, ("_at", seq)), _plain(slim))
+    out = _keyed(slim, ["service"], FoldProcessor(step, slim.columns, slim.columns, ("_at", seq)), _plain(slim))
     return out.select(
         "timestamp",
         "service",
@@ -85,7 +85,7 @@ def apply_cooldown_stream(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str =
     """
     placed = candidates.withColumn("_at", micros(ts)).drop(ts)
     step = partial(remediation_step, ttl=ttl)
-    processor = FoldProcessor(step, placed.columns, ("_at", seq, "rule_order"))
+    processor = FoldProcessor(step, placed.columns, placed.columns, ("_at", seq, "rule_order"))
     out = _keyed(placed, ["rule_id", "target_service"], processor, _plain(placed))
     return out.withColumn(ts, F.timestamp_micros("_at")).select(*candidates.columns)
 
@@ -109,7 +109,7 @@ def resolve_approvals_stream(
     events = action_events(intents, approvals, ts, seq)
     timed = events.withColumn("_ts", F.timestamp_micros("_at")).withWatermark("_ts", delay)
     processor = FoldProcessor(
-        machine.step, RESULT_SCHEMA.names, ("_at", seq), wake=machine.wake, expire=machine.expire
+        machine.step, timed.columns, RESULT_SCHEMA.names, ("_at", seq), wake=machine.wake, expire=machine.expire
     )
     out = _keyed(timed, ["action_id"], processor, RESULT_SCHEMA, timers=True)
     return to_results(out, pending_ttl)

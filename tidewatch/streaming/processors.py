@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import add
 
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor
@@ -13,16 +15,19 @@ from tidewatch.operators.bursts import SECOND
 Wake = Callable[[dict], int | None]
 
 
-def rows_of(frames: Iterator[pd.DataFrame], order: Sequence[str]) -> list[dict]:
+def rows_of(frames: Iterator[pd.DataFrame], columns: Sequence[str], order: Sequence[str]) -> list[dict]:
     """All rows of one key in a micro-batch, in event order, with None for missing values."""
-    data = pd.concat(list(frames), ignore_index=True).sort_values(list(order), kind="stable")
-    records = data.astype(object).where(data.notna(), None).to_dict("records")
-    return records
+    data = pd.concat(list(frames), ignore_index=True)
+    data.columns = list(columns)  # names with a leading underscore arrive as positions
+    data = data.sort_values(list(order), kind="stable")
+    return data.astype(object).where(data.notna(), None).to_dict("records")
 
 
 class FoldProcessor(StatefulProcessor):
     """Run ``step(state, row)`` over each key's rows in event order, keeping the state between micro-batches.
 
+    ``inputs`` and ``columns`` name the columns of the rows that come in and go out.
+
     ``wake`` gives the time (microseconds) at which the state needs attention without input, or None;
     ``expire(state, now)`` then returns the rows due at that time. A state with nothing to wake for is dropped.
     """
@@ -30,12 +35,14 @@ class FoldProcessor(StatefulProcessor):
     def __init__(
         self,
         step: Callable[[dict, dict], list[dict]],
+        inputs: Sequence[str],
         columns: Sequence[str],
         order: Sequence[str] = ("_at", "seq"),
         wake: Wake | None = None,
         expire: Callable[[dict, int], list[dict]] | None = None,
     ):
-        self.step, self.columns, self.order = step, list(columns), list(order)
+        self.step, self.order = step, list(order)
+        self.inputs, self.columns = list(inputs), list(columns)
         self.wake, self.expire = wake, expire
 
     def init(self, handle) -> None:
@@ -63,7 +70,7 @@ class FoldProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         state, out = self._load(), []
-        for row in rows_of(rows, self.order):
+        for row in rows_of(rows, self.inputs, self.order):
             out += self.step(state, row)
         self._store(state)
         yield from self._frame(out)
@@ -87,7 +94,8 @@ def rolling_step(state: dict, row: dict, n: int, values: dict[str, str]) -> list
     for column, short in values.items():
         last = [*state.get(column, []), row[column]][-n:]
         state[column] = last
-        out[f"{short}_avg_{n}"] = sum(last) / len(last)
+        # Added left to right like the batch form; the built-in sum of floats compensates its error.
+        out[f"{short}_avg_{n}"] = reduce(add, last, 0.0) / len(last)
     return [out]
 
 

@@ -39,14 +39,20 @@ def num_default(c: Column | str) -> Column:
     return F.coalesce(as_col(c).cast("double"), F.lit(0.0))
 
 
+def sql_literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def lookup(c: Column | str, table: Mapping[str, object], default: object = None) -> Column:
     """Value of ``c`` in a small constant table.
 
     A map literal reads ``c`` once. A CASE would repeat it in every branch, and Catalyst would copy whatever ``c``
     is made of, such as a JSON parse, as often into each filter it pushes down.
     """
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), as_col(c)), F.lit(default))
+    entries = ", ".join(sql_literal(x) for pair in table.items() for x in pair)
+    return F.coalesce(F.try_element_at(F.expr(f"map({entries})"), as_col(c)), F.lit(default))
 
 
 def severity_rank(c: Column | str) -> Column:

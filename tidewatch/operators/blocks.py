@@ -169,6 +169,7 @@ def _scan(
     compute,
     added: list[T.StructField],
     weight: str | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Append the columns that ``compute(rows, start, rank, offset)`` gives for each row.
 
@@ -176,8 +177,9 @@ def _scan(
     ``start`` gives each row's first row of the same key, ``rank`` the rows (or weight) of the key up to it.
     """
     carries = _collect_carries(blocks, keys, values, depth, weight)
-    out_schema = T.StructType([*[f for f in blocks.schema.fields if f.name != BLOCK], *added])
-    kept = [f.name for f in blocks.schema.fields if f.name != BLOCK]
+    passed = [f for f in blocks.schema.fields if keep_block or f.name != BLOCK]
+    out_schema = T.StructType([*passed, *added])
+    kept = [f.name for f in passed]
     added_arrow = arrow_schema(T.StructType(added))
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,10 +262,12 @@ def number_rows(
     lag: int = 1,
     lag_name: str = "lagged",
     blocks: int | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Row number per key in the given order (from 1) and, on demand, ``lag_of`` as it was ``lag`` rows before.
 
-    ``lag_of`` must be a bigint column below 2^53, such as microseconds since the epoch.
+    ``lag_of`` must be a bigint column below 2^53, such as microseconds since the epoch. ``keep_block``
+    leaves the block number in, for a following operator that works on the same sorted blocks.
     """
     values = [lag_of] if lag_of else []
     added = [T.StructField(name, T.LongType())]
@@ -281,7 +285,8 @@ def number_rows(
         return [rank, np.ma.masked_array(old, mask=~inside)]
 
     depth = lag if lag_of else 0
-    return _scan(sorted_blocks(df, keys, order, blocks), keys, values, depth, compute, added)
+    cut = sorted_blocks(df, keys, order, blocks)
+    return _scan(cut, keys, values, depth, compute, added, keep_block=keep_block)
 
 
 def running_total(

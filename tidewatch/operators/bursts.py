@@ -61,13 +61,18 @@ def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str
 
     A row can fire when the ``threshold - 1``-th error before it in its service is at most ``window_sec``
     old, and does when at least ``threshold`` errors came since the last fire. Only three narrow columns
-    are shuffled. Runs jobs: see ``blocks``.
+    are shuffled, once. Runs jobs, see ``blocks``, and returns the written fires, at most one per
+    ``threshold`` errors.
     """
     narrow = error_logs(df).select("service", micros(ts).alias("_at"), seq)
-    numbered = number_rows(narrow, ["service"], ["_at", seq], lag_of="_at", lag=threshold - 1, lag_name="_old")
+    numbered = number_rows(
+        narrow, ["service"], ["_at", seq], lag_of="_at", lag=threshold - 1, lag_name="_old", keep_block=True
+    )
     recent = F.col("_at") - F.col("_old") <= window_sec * SECOND
     candidates = numbered.filter((F.col("rn") >= threshold) & recent).drop("_old")
-    return greedy_spacing(candidates, ["service"], "rn", [], threshold).drop("rn")
+    # Row numbers grow along the sorted blocks, so the choice needs no further shuffle.
+    fires = greedy_spacing(candidates, ["service"], "rn", [], threshold, presorted=True)
+    return fires.drop("rn").checkpoint()
 
 
 def detect_bursts(

@@ -67,7 +67,7 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[t
         low, high = (part.min(axis=0), part.max(axis=0)) if len(rows) else (np.zeros(0), np.zeros(0))
         varying = np.flatnonzero(high > low)
         if depth < max_depth and len(varying):
-            feature = int(rng.choice(varying))
+            feature = int(varying[rng.integers(len(varying))])
             cut = float(rng.uniform(low[feature], high[feature]))
             goes_left = part[:, feature] <= cut
             nodes[at][1:3] = feature, cut
@@ -175,7 +175,9 @@ def fit_forest(
         return table
 
     drawn = tree_samples(x, n_rows, n_trees, size, seed, seq)
-    nodes = drawn.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA).toPandas()
+    # The samples are small, so adaptive execution would put all trees into one task; a fixed number stays.
+    slots = min(n_trees, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    nodes = drawn.repartition(slots, "tree_id").groupBy("tree_id").applyInPandas(build, NODE_SCHEMA).toPandas()
     model = ForestModel(nodes, tuple(features), size)
     scores = x.select(model.raw_score(x).alias("s"))
     offset = exact_percentile(scores, "s", contamination).first()[0]

@@ -194,7 +194,7 @@ def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts",
     order = ["_at", seq, "rule_order"]
     placed = candidates.withColumn("_at", micros(ts))
     narrow = placed.select(*key, *order, "cooldown_sec", "action_id")
-    spaced = greedy_spacing(narrow, key, "_at", order[1:], F.col("cooldown_sec").cast("bigint") * SECOND)
+    spaced = greedy_spacing(narrow, key, "_at", order[1:], F.col("cooldown_sec").cast("bigint") * SECOND).checkpoint()
 
     repeated = spaced.groupBy(*key, "action_id").count().filter("count > 1").select(*key).distinct()
     if not repeated.isEmpty():

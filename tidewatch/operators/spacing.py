@@ -131,16 +131,20 @@ def greedy_spacing(
     gap: int | Column,
     blocks: int | None = None,
     max_steps: int = MAX_STEPS,
+    presorted: bool = False,
 ) -> DataFrame:
     """Rows kept by the greedy rule, in (keys, pos, ties) order, first row of a key always kept.
 
     ``pos`` is a bigint column and ``gap`` a number or a bigint column that is constant within a key.
+    ``presorted`` rows already lie in materialized blocks of this order and carry their block number.
     """
     gap_col = F.lit(gap) if isinstance(gap, int) else gap
-    narrowed = df.withColumn(GAP, F.greatest(gap_col.cast("bigint"), F.lit(0).cast("bigint")))
-    cut = sorted_blocks(narrowed, keys, [pos, *ties], blocks)
+    cut = df.withColumn(GAP, F.greatest(gap_col.cast("bigint"), F.lit(0).cast("bigint")))
+    if not presorted:
+        cut = sorted_blocks(cut, keys, [pos, *ties], blocks)
     summaries = _summaries(cut, keys, pos, max_steps)
-    kept = [f.name for f in df.schema.fields]
+    out_schema = T.StructType([f for f in df.schema.fields if f.name != BLOCK])
+    kept = out_schema.names
 
     def select(batches: Iterable[pa.RecordBatch], entering: dict[int, int]) -> Iterator[pa.RecordBatch]:
         running = last = None
@@ -165,7 +169,7 @@ def greedy_spacing(
     def last_of_block(block: int, entry: int | None) -> int | None:
         """Evaluate one block whose step function was too long to send."""
         start = {} if entry is None else {block: entry}
-        one = cut.filter(F.col(BLOCK) == block).mapInArrow(lambda it: select(it, start), df.schema)
+        one = cut.filter(F.col(BLOCK) == block).mapInArrow(lambda it: select(it, start), out_schema)
         found = one.agg(F.max(pos)).first()[0]
         return entry if found is None else found
 
@@ -186,4 +190,4 @@ def greedy_spacing(
             last = s["ends"][j] if j < len(s["ends"]) else last
         running = tuple(s["last_" + k] for k in keys)
 
-    return cut.mapInArrow(lambda it: select(it, entering), df.schema)
+    return cut.mapInArrow(lambda it: select(it, entering), out_schema)

@@ -45,29 +45,24 @@ def anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return M.type_anomalies(V.flag_by_limits(enriched(spark, sf)), LIMITS.cpu, LIMITS.mem, LIMITS.lat)
 
 
-def spikes(spark: SparkSession, sf: str) -> DataFrame:
-    """Bursts and anomalies as incidents, in the spellings of their producers; anomalies bring their own id."""
-    bursts, _, _ = log_incident_stream(parsed(spark, sf), LIMITS)
-    flagged = M.anomaly_incidents(anomalies(spark, sf))
-    flagged = flagged.withColumn("incident_id", F.concat(F.lit("anomaly-"), F.col("seq").cast("string")))
-    both = bursts.unionByName(flagged, allowMissingColumns=True)
-    return both.withColumns({"service": V.spelled_service(), "severity": V.spelled_severity()})
-
-
 def plain_spikes(spark: SparkSession, sf: str) -> DataFrame:
+    """Bursts and anomalies as incidents; anomalies bring their own id."""
     bursts, _, _ = log_incident_stream(parsed(spark, sf), LIMITS)
     flagged = M.anomaly_incidents(anomalies(spark, sf))
     flagged = flagged.withColumn("incident_id", F.concat(F.lit("anomaly-"), F.col("seq").cast("string")))
     return bursts.unionByName(flagged, allowMissingColumns=True)
 
 
-def proposals(spark: SparkSession, sf: str) -> DataFrame:
-    return intents_of(plain_spikes(spark, sf), load_rules(spark), require_approval=True)
+def spikes(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in the spellings of their producers."""
+    return plain_spikes(spark, sf).withColumns({"service": V.spelled_service(), "severity": V.spelled_severity()})
 
 
-def outcomes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    intents = proposals(spark, sf).checkpoint()
-    return intents, results_of(intents, V.approvals_of(intents), as_of=AS_OF)
+def outcomes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(incidents, intents, results) with approvals required. Incidents and intents are written once, like topics."""
+    incidents = R.with_incident_id(plain_spikes(spark, sf)).checkpoint()
+    intents = intents_of(incidents, load_rules(spark), require_approval=True).checkpoint()
+    return incidents, intents, results_of(intents, V.approvals_of(intents), as_of=AS_OF)
 
 
 def store(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,7 +216,7 @@ def ttl_dedup(spark, sf):
 
 
 def approval_results(spark, sf):
-    _, results = outcomes(spark, sf)
+    _, _, results = outcomes(spark, sf)
     return results.select(
         "event_type", "action_id", "action_type", "target_service", "status", "message", "ts", "incident_id",
         "rule_id", "executed_action", "approver",
@@ -229,8 +224,7 @@ def approval_results(spark, sf):
 
 
 def remediation_lifecycle(spark, sf):
-    intents, results = outcomes(spark, sf)
-    incidents = R.with_incident_id(plain_spikes(spark, sf))
+    incidents, intents, results = outcomes(spark, sf)
     out = lifecycle(incidents, intents, results)
     return out.select(
         "incident_id", "service", "incident_type", "rule_id", "terminal_status", "sec_to_intent", "sec_to_terminal"
@@ -238,7 +232,7 @@ def remediation_lifecycle(spark, sf):
 
 
 def action_status(spark, sf):
-    _, results = outcomes(spark, sf)
+    _, _, results = outcomes(spark, sf)
     per_status, latest, _ = L.action_status(results)
     by_state = latest.groupBy("status").agg(F.count("*").alias("actions"))
     return per_status.join(by_state, "status", "left").select("status", "results", F.coalesce("actions", F.lit(0)).alias("actions"))
@@ -246,7 +240,7 @@ def action_status(spark, sf):
 
 def routed_actions(spark, sf):
     """All three kinds of records on one topic, written out, read back and routed."""
-    intents, results = outcomes(spark, sf)
+    _, intents, results = outcomes(spark, sf)
     path = scratch_path(spark, "actions")
     for frame in (intents.drop("ts"), V.approvals_of(intents).withColumn("ts", iso_z("ts")), results.drop("result_at")):
         T.write_topic(frame, "actions", path=path)
@@ -285,7 +279,7 @@ def fallback_match(spark, sf):
 
 
 def log_line_records(spark, sf):
-    intents, results = outcomes(spark, sf)
+    _, intents, results = outcomes(spark, sf)
     logs = parsed(spark, sf)
     typed = anomalies(spark, sf)
     frames = {

@@ -108,18 +108,52 @@ def test_bursts(spark, tmp_path):
     assert plain(spark.read.parquet(out), *columns) == plain(want, *columns) != []
 
 
-def test_cooldown(spark, tmp_path):
-    rng, folder = random.Random(5), Folder(tmp_path)
-    schema = "timestamp string, rule_id string, target_service string, cooldown_sec int, action_id string, rule_order int" + CLOCK
-    rows = []
+@pytest.mark.parametrize("threshold", [2, 5])
+def test_burst_sink_with_restart(spark, tmp_path, threshold):
+    rng, folder = random.Random(7), Folder(tmp_path)
+    schema = "timestamp string, service string, message string, severity string, trace_id string, original_level string" + CLOCK
+    rows = [(iso(i * 2), rng.choice("aab"), f"m{i}", rng.choice(["error", "info"]), "t", "L", i) for i in range(200)]
+    out, carry, checkpoint = (str(tmp_path / x) for x in ("out", "carry", "cp"))
+    parts = chunks(rows, 50)
+    for stage in (parts[:2], parts[2:]):
+        for part in stage:
+            folder.add(spark, part, schema)
+        sinks.burst_sink(timed(folder.read(spark, schema)), out, carry, checkpoint, 30, threshold).awaitTermination()
+    want = detect_bursts(timed(spark.createDataFrame(rows, schema)), 30, threshold)
+    columns = ("timestamp", "service", "incident_type", "details", "seq")
+    assert plain(spark.read.parquet(out), *columns) == plain(want, *columns) != []
+
+
+COOLDOWN = "timestamp string, rule_id string, target_service string, cooldown_sec int, action_id string, rule_order int" + CLOCK
+
+
+def cooldown_rows():
+    rng, rows = random.Random(5), []
     for i in range(200):
         rule, target = rng.choice(["r1", "r2"]), rng.choice("xy")
         rows.append((iso(i * 20), rule, target, 120 if rule == "r1" else 0, f"{rule}{target}{rng.randrange(9)}", 0, i))
+    return rows
+
+
+def test_cooldown_sink_with_restart(spark, tmp_path):
+    rows, folder = cooldown_rows(), Folder(tmp_path)
+    out, carry, checkpoint = (str(tmp_path / x) for x in ("out", "carry", "cp"))
+    parts = chunks(rows)
+    for stage in (parts[:2], parts[2:]):
+        for part in stage:
+            folder.add(spark, part, COOLDOWN)
+        sinks.cooldown_sink(timed(folder.read(spark, COOLDOWN)), out, carry, checkpoint).awaitTermination()
+    want = apply_cooldown(timed(spark.createDataFrame(rows, COOLDOWN)))
+    assert plain(spark.read.parquet(out), "seq", "action_id") == plain(want, "seq", "action_id")
+
+
+def test_cooldown(spark, tmp_path):
+    rows, folder = cooldown_rows(), Folder(tmp_path)
     for part in chunks(rows):
-        folder.add(spark, part, schema)
+        folder.add(spark, part, COOLDOWN)
     out = str(tmp_path / "out")
-    run_to_parquet(O.apply_cooldown_stream(timed(folder.read(spark, schema))), out, str(tmp_path / "cp"))
-    want = apply_cooldown(timed(spark.createDataFrame(rows, schema)))
+    run_to_parquet(O.apply_cooldown_stream(timed(folder.read(spark, COOLDOWN))), out, str(tmp_path / "cp"))
+    want = apply_cooldown(timed(spark.createDataFrame(rows, COOLDOWN)))
     assert plain(spark.read.parquet(out), "seq", "action_id") == plain(want, "seq", "action_id")
 
 

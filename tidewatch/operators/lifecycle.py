@@ -16,8 +16,9 @@ def lifecycle(
 ) -> DataFrame:
     """One row per (incident, action): when intended, when pending, final status, and the waiting times.
 
-    Incidents without intent and actions without result are kept. Results are reduced to one row per
-    action before the join, so repeated results never fan out.
+    Incidents without intent and actions without result are kept. Repeated records are first reduced to
+    the earliest incident per incident id and the earliest intent per action id, so a record sent many times neither
+    multiplies the result nor piles up in one join partition.
     """
     status = F.col("status")
     at = F.col(result_ts)
@@ -27,10 +28,13 @@ def lifecycle(
         F.min(F.when(final, at)).alias("terminal_at"),
         F.min_by(F.when(final, status), F.when(final, at)).alias("terminal_status"),
     )
-    acted = intents.select(
-        "incident_id", "action_id", "rule_id", "action_type", "target_service", F.col(ts).alias("intent_at")
-    )
-    opened = incidents.select("incident_id", "service", "incident_type", F.col(ts).alias("incident_at"))
+
+    def earliest(df: DataFrame, key: str, name: str, columns: Sequence[str]) -> DataFrame:
+        packed = df.groupBy(key).agg(F.min(F.struct(F.col(ts).alias(name), *columns)).alias("_first"))
+        return packed.select(key, "_first.*")
+
+    acted = earliest(intents, "action_id", "intent_at", ["incident_id", "rule_id", "action_type", "target_service"])
+    opened = earliest(incidents, "incident_id", "incident_at", ["service", "incident_type"])
     out = opened.join(acted, "incident_id", "left").join(outcome, "action_id", "left")
 
     def seconds(later: str, earlier: str):

@@ -112,7 +112,7 @@ def exact_percentile(
     plain = df.withColumns({c: micros(c) for c in times}).filter(F.col(value).isNotNull())
     counted = plain.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
     ranked = running_total(counted, by, ["_v"], "_n", "_upto")
-    sizes = ranked.groupBy(*by).agg(F.max("_upto").alias("_size"))
+    sizes = ranked.groupBy(*by).agg(F.max("_upto").alias("_size")).checkpoint()  # one row per group
     if by:
         sized = ranked.join(broadcast_if_small(sizes), list(by))
     else:

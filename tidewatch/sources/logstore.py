@@ -86,6 +86,14 @@ def apply_retention(df: DataFrame, now: Column | datetime | str, hours: int = 16
     return out.filter(F.col(ts) >= cutoff)
 
 
+def rewrite_log_store(
+    spark: SparkSession, path: str, out: str, now: Column | datetime | str, hours: int = 168, files: int | None = None
+) -> None:
+    """Write the retained part of a store to a new folder, in few well-clustered files."""
+    kept = apply_retention(read_log_store(spark, path), now, hours)
+    write_log_store(kept.drop("dt"), out, mode="overwrite", files=files)
+
+
 def select_logs(
     df: DataFrame,
     json_fields: Mapping[str, str] | None = None,

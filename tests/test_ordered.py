@@ -152,9 +152,11 @@ def test_bursts_equal_the_sequential_rule(spark, threshold, span, n):
     assert got == want and want
 
 
-def test_trailing_count(spark):
+@pytest.mark.parametrize("slice_rows", [10_000, 5])
+def test_trailing_count(spark, slice_rows):
     rows = trace(6, 300, 200)
-    got = {r.seq: r.trailing_count for r in trailing_count(logs(spark, rows), 30, slice_sec=40).collect()}
+    out = trailing_count(logs(spark, rows), 30, slice_sec=40, slice_rows=slice_rows)
+    got = {r.seq: r.trailing_count for r in out.collect()}
     want, seen = {}, {}
     for k, p, i in rows:
         seen.setdefault(k, []).append(p)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.functions.scalars import canonical_json, iso_z, micros, or_default
-from tidewatch.operators.blocks import number_rows
+from tidewatch.operators.blocks import number_rows, running_total
 from tidewatch.operators.joins import broadcast_if_small
 from tidewatch.operators.logs import LOG_FIELDS, log_json
 from tidewatch.operators.spacing import greedy_spacing
@@ -20,6 +20,10 @@ def error_logs(df: DataFrame) -> DataFrame:
     return df.filter(F.lower("severity").isin("error", "critical")).withColumn("service", or_default("service", "unknown"))
 
 
+# Largest (service, time slice) that a window function may sort in one task.
+SLICE_ROWS = 5_000_000
+
+
 def trailing_count(
     df: DataFrame,
     window_sec: int = 30,
@@ -28,11 +32,14 @@ def trailing_count(
     ts: str = "ts",
     seq: str = "seq",
     name: str = "trailing_count",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Number of rows of the same ``by`` value in [ts - window, ts], the row itself and earlier ones.
 
     A row exactly ``window_sec`` old counts. Rows are grouped by (by, time slice), so one busy service
-    spreads over many tasks; each slice also gets the rows of the last ``window_sec`` before it.
+    spreads over many tasks; each slice also gets the rows of the last ``window_sec`` before it. The slices
+    are counted first, and if one has more than ``slice_rows`` rows, the ranks of the window's ends are taken
+    from sorted blocks instead, which split any slice.
     """
     width = (slice_sec or 10 * window_sec) * SECOND
     reach = window_sec * SECOND
@@ -40,6 +47,10 @@ def trailing_count(
         raise ValueError("slice_sec must be at least window_sec")
     at = micros(ts)
     home = F.floor(at / width).cast("bigint")
+    largest = df.groupBy(by, home.alias("_slice")).count().agg(F.max("count")).first()[0] or 0
+    if largest > slice_rows:
+        return _trailing_count_by_rank(df, reach, by, ts, seq, name)
+
     spill = F.floor((at + reach) / width).cast("bigint")
     copies = (
         df.withColumn("_at", at)
@@ -56,6 +67,21 @@ def trailing_count(
     )
 
 
+def _trailing_count_by_rank(df: DataFrame, reach: int, by: str, ts: str, seq: str, name: str) -> DataFrame:
+    """The same count as a difference of two running totals: rows up to this one, less rows before its window.
+
+    Every row adds a weightless marker at the start of its window, sorted before the rows of that time.
+    """
+    narrow = df.select(by, micros(ts).alias("_at"), seq)
+    ends = narrow.select(by, "_at", F.lit(1).alias("_kind"), seq, F.lit(1).cast("bigint").alias("_w"))
+    starts = narrow.select(by, F.col("_at") - reach, F.lit(0), seq, F.lit(0).cast("bigint"))
+    ranked = running_total(ends.union(starts), [by], ["_at", "_kind", seq], "_w", "_upto")
+    sign = F.when(F.col("_kind") == 1, F.col("_upto")).otherwise(-F.col("_upto"))
+    event = F.col("_at") + F.when(F.col("_kind") == 1, 0).otherwise(reach)
+    counts = ranked.groupBy(by, event.alias("_at"), seq).agg(F.sum(sign).alias(name))
+    return df.withColumn("_at", micros(ts)).join(counts, [by, "_at", seq]).select(*df.columns, name)
+
+
 def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str = "ts", seq: str = "seq") -> DataFrame:
     """The log records at which a burst fires: (service, _at in microseconds, seq).
 

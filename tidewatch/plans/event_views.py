@@ -16,8 +16,14 @@ SERVICES = ("payments", "orders", "auth", "db")
 LEVELS = {"error": "ERROR", "signup": "Warning", "purchase": "DEBUG", "view": "INFO"}
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    table = spark.read.parquet(f"{folder}/events.parquet")
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def events(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    if stream:
+        table = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*.parquet").parquet(folder)
+    else:
+        table = spark.read.parquet(f"{folder}/events.parquet")
     ts = F.timestamp_seconds(F.lit(CLOCK_START) + F.col("event_id"))
     return table.select(
         F.col("event_id").alias("seq"),
@@ -32,7 +38,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def logs_raw(spark: SparkSession, folder: str) -> DataFrame:
+def logs_raw(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     digit = F.col("k") % 10
     message = (
         F.when(digit == 0, F.concat(F.lit("authentication failed for user_id="), F.col("user_id").cast("string")))
@@ -41,7 +47,7 @@ def logs_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(digit == 3, "cache miss rate elevated")
         .otherwise(F.concat(F.lit("synthetic log #"), F.col("seq").cast("string")))
     )
-    return events(spark, folder).select(
+    return events(spark, folder, stream).select(
         "timestamp",
         "service",
         lookup("event_type", LEVELS).alias("level"),
@@ -52,8 +58,8 @@ def logs_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def metrics_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return events(spark, folder).select(
+def metrics_raw(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    return events(spark, folder, stream).select(
         "timestamp",
         "service",
         (F.col("value") % 100).alias("cpu_percent"),

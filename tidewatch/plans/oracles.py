@@ -483,3 +483,14 @@ line AS (
                   count(*) AS records FROM logs GROUP BY ALL""",
     ),
 }
+
+ORACLES["stream_enrich_global"] = ORACLES["enrich_metrics_global"]
+ORACLES["stream_bursts"] = ORACLES["error_bursts"]
+ORACLES["stream_cooldown"] = ORACLES["intents_after_cooldown"]
+ORACLES["stream_approvals"] = _q(
+    PLAIN_SPIKES,
+    """SELECT * EXCLUDE (sec, rsec) FROM res
+       WHERE status <> 'EXPIRED' OR rsec <= (SELECT max(t) FROM (SELECT sec AS t FROM answered
+             UNION ALL SELECT sec + late FROM answered WHERE said IS NOT NULL))""",
+    True,
+)

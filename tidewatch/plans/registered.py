@@ -19,10 +19,12 @@ from tidewatch.operators.logs import log_incidents, normalize_logs
 from tidewatch.plans import event_views as V
 from tidewatch.plans.pipeline import Limits, candidates_of, incidents_of, intents_of, log_incident_stream, results_of
 from tidewatch.schemas import LOGS_RAW, STORED_TOPICS
-from tidewatch.session import scratch_path
+from tidewatch.session import ROCKSDB_PROVIDER, scratch_path
 from tidewatch.sources import logstore as S
 from tidewatch.sources import topics as T
 from tidewatch.sources.rulebook import load_rules
+from tidewatch.streaming import sinks
+from tidewatch.streaming.operators import resolve_approvals_stream
 
 # Limits at which the test events, one per second, give incidents of every kind.
 LIMITS = Limits(window_sec=30, burst=4, cpu=55, mem=65, lat=100)
@@ -420,6 +422,58 @@ def malformed_split(spark, sf):
     return both.groupBy("kind", "body").agg(F.count("*").alias("records"))
 
 
+# Streams over the same tables, run to the end of what is there
+
+
+def _folders(spark: SparkSession, name: str) -> list[str]:
+    root = scratch_path(spark, name)
+    return [f"{root}/{part}" for part in ("out", "carry", "checkpoint")]
+
+
+def stream_enrich_global(spark, sf):
+    out, carry, checkpoint = _folders(spark, "enrich")
+    sinks.rolling_sink(V.metrics_raw(spark, sf, stream=True), out, carry, checkpoint).awaitTermination()
+    return spark.read.parquet(f"{out}/batch=*").select(*_ENRICHED, *[r9(c) for c in M.FEATURES])
+
+
+def stream_bursts(spark, sf):
+    out, carry, checkpoint = _folders(spark, "bursts")
+    logs = normalize_logs(V.logs_raw(spark, sf, stream=True))
+    sinks.burst_sink(logs, out, carry, checkpoint, LIMITS.window_sec, LIMITS.burst).awaitTermination()
+    return spark.read.parquet(f"{out}/batch=*").drop("ts")
+
+
+def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table written out and read back as a stream of its files."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def stream_cooldown(spark, sf):
+    allowed, _ = candidates_of(spikes(spark, sf), load_rules(spark))
+    out, carry, checkpoint = _folders(spark, "cooldown")
+    sinks.cooldown_sink(_as_stream(spark, allowed, "candidates"), out, carry, checkpoint).awaitTermination()
+    emitted = R.to_intents(spark.read.parquet(f"{out}/batch=*"))
+    return emitted.select("seq", "rule_id", "target_service", "action_id", "status")
+
+
+def stream_approvals(spark, sf):
+    """Only what the end of the stream has reached can expire."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    intents = intents_of(plain_spikes(spark, sf), load_rules(spark), require_approval=True).checkpoint()
+    asked = _as_stream(spark, intents, "intents")
+    answered = _as_stream(spark, V.approvals_of(intents), "approvals")
+    out, _, checkpoint = _folders(spark, "results")
+    results = resolve_approvals_stream(asked, answered).drop("result_at")
+    writer = results.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select(
+        "event_type", "action_id", "action_type", "target_service", "status", "message", "ts", "incident_id",
+        "rule_id", "executed_action", "approver",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_logs": normalize,
     "keyword_incidents": keyword_incidents,
@@ -467,4 +521,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_round_trip": topic_round_trip,
     "malformed_split": malformed_split,
     "forest_scores": forest_scores,
+    "stream_enrich_global": stream_enrich_global,
+    "stream_bursts": stream_bursts,
+    "stream_cooldown": stream_cooldown,
+    "stream_approvals": stream_approvals,
 }

@@ -69,7 +69,7 @@ def write_log_store(df: DataFrame, path: str, mode: str = "append", files: int |
     shared by several tasks and each file covers few services and a short time.
     """
     dated = df.withColumn("dt", F.to_date("ts"))
-    order = [*PARTITIONS, "service", "ts"]
+    order = [*PARTITIONS, "service", "ts", "seq"]
     ranged = dated.repartitionByRange(files, *order) if files else dated.repartitionByRange(*order)
     ranged.sortWithinPartitions(*order).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 

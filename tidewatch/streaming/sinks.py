@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tidewatch.functions.scalars import micros
 from tidewatch.operators.bursts import SECOND, burst_fires, detect_bursts, error_logs
+from tidewatch.operators.joins import broadcast_if_small
 from tidewatch.operators.metrics import finish_metrics, prepare_metrics, rolling_stats
 from tidewatch.operators.remediation import DEDUP_TTL, apply_cooldown
 from tidewatch.schemas import METRICS_RAW
@@ -151,7 +152,8 @@ def burst_sink(
         found = detect_bursts(rows.drop("_new"), window_sec, threshold, ts, seq, fires=fires)
         last = fires.groupBy("service").agg(F.max(F.struct("_at", F.col(seq).alias("_seq"))).alias("_fired"))
         here = F.struct(micros(ts).alias("_at"), F.col(seq).alias("_seq"))
-        since = rows.drop("_new").join(last, "service", "left").filter(F.col("_fired").isNull() | (here > F.col("_fired")))
+        later = F.col("_fired").isNull() | (here > F.col("_fired"))
+        since = rows.drop("_new").join(broadcast_if_small(last), "service", "left").filter(later)
         return found, _latest(since.drop("_fired"), ["service"], [ts, seq], threshold - 1)
 
     return _replay(df, out, carry, checkpoint, error_logs, work, trigger)
@@ -176,7 +178,7 @@ def cooldown_sink(
     def work(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         emitted = apply_cooldown(rows, ttl, ts, seq).checkpoint()
         pair = ["rule_id", "target_service"]
-        newest = rows.groupBy(*pair).agg(F.max(micros(ts)).alias("_newest"))
+        newest = broadcast_if_small(rows.groupBy(*pair).agg(F.max(micros(ts)).alias("_newest")))
         reach = F.greatest(F.col("cooldown_sec").cast("bigint"), F.lit(ttl).cast("bigint")) * SECOND
         live = emitted.join(newest, pair).filter(micros(ts) + reach >= F.col("_newest")).drop("_newest")
         return emitted.filter("_new").drop("_new"), live

@@ -99,11 +99,11 @@ an AS (
 )
 
 BURSTS = f""",
-num AS (
+num AS MATERIALIZED (
   SELECT *, row_number() OVER w AS rn, lag(sec, {LIMITS.burst - 1}) OVER w AS old
   FROM logj WHERE severity IN ('error', 'critical') WINDOW w AS (PARTITION BY service ORDER BY sec, seq)),
-cand AS (SELECT service, rn FROM num WHERE sec - old <= {LIMITS.window_sec}),
-nx AS (
+cand AS MATERIALIZED (SELECT service, rn FROM num WHERE sec - old <= {LIMITS.window_sec}),
+nx AS MATERIALIZED (
   SELECT a.service, a.rn, min(b.rn) AS nrn FROM cand a JOIN cand b ON a.service = b.service AND b.rn >= a.rn + {LIMITS.burst}
   GROUP BY a.service, a.rn),
 fire AS (
@@ -179,13 +179,13 @@ ided AS (
   SELECT *, coalesce(given, substr(sha256('{{"details":' || details || ',"incident_type":"' || incident_type
               || '","service":"' || service || '","source":"' || source || '","timestamp":"' || timestamp || '"}}'), 1, 24)) AS incident_id
   FROM judged WHERE reason = 'allowed'),
-acts AS (
+acts AS MATERIALIZED (
   SELECT *, substr(sha256('{{"action_type":"' || action_type || '","incident_id":"' || incident_id || '","parameters":'
               || parameters || ',"rule_id":"' || rule_id || '","target_service":"' || target_service || '"}}'), 1, 24) AS action_id
   FROM ided)"""
 
 COOLDOWN = """,
-cnx AS (
+cnx AS MATERIALIZED (
   SELECT a.rule_id, a.target_service, a.sec, min(b.sec) AS nsec
   FROM acts a JOIN acts b ON a.rule_id = b.rule_id AND a.target_service = b.target_service
    AND b.sec >= a.sec + a.cooldown_sec
@@ -334,7 +334,7 @@ ORACLES: dict[str, str] = {
     "ttl_dedup": _q(
         EVENTS
         + """,
-n AS (SELECT a.user_id, a.seq, min(b.seq) AS nseq FROM ev a JOIN ev b ON a.user_id = b.user_id AND b.seq > a.seq + 600 GROUP BY ALL),
+n AS MATERIALIZED (SELECT a.user_id, a.seq, min(b.seq) AS nseq FROM ev a JOIN ev b ON a.user_id = b.user_id AND b.seq > a.seq + 600 GROUP BY ALL),
 keep AS (
   SELECT user_id, min(seq) AS seq FROM ev GROUP BY user_id
   UNION ALL

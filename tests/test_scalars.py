@@ -66,7 +66,7 @@ def test_parse_ts(spark):
 
 def test_round_exact_equals_ieee_rounding(spark):
     rng = random.Random(5)
-    values = [2.675, 4.40375, 0.02875, 0.03125, 0.09375, 1.00005, 12.34565, 0.0, 80.00005, 1e-9]
+    values = [2.675, 4.40375, 0.02875, 0.03125, 0.09375, 1.00005, 12.34565, 0.0, 80.00005, 1e-9, 1e18 / 7, 4e15 / 3, -2.675]
     values += [round(rng.random() * 500, 2) / rng.randrange(1, 100) for _ in range(3000)]
     got = column(spark, values, S.round_exact("v", 4), "double")
     assert got == [round(v, 4) for v in values]

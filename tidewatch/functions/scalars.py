@@ -89,13 +89,14 @@ def round_exact(c: Column | str, digits: int) -> Column:
     whole = F.floor(product).cast("double")
     over = (product - whole - 0.5) + error
     up = (over > 0) | ((over == 0) & (whole % 2 != 0))
-    return F.when(up, whole + 1).otherwise(whole) / scale
+    # From 2^52 on a double has no fraction left to round.
+    return F.when(F.abs(product) >= float(1 << 52), x).otherwise(F.when(up, whole + 1).otherwise(whole) / scale)
 
 
 def safe_ratio(a: Column | str, b: Column | str, digits: int = 4) -> Column:
     """Rounded a / b, or 0 where b is not positive."""
     a, b = as_col(a), as_col(b)
-    return F.when(b > 0, round_exact(a / b, digits)).otherwise(F.lit(0.0))
+    return F.when(b > 0, round_exact(F.try_divide(a, b), digits)).otherwise(F.lit(0.0))
 
 
 def regex_escape(text: str) -> str:

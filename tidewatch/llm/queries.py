@@ -7,11 +7,32 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import read_documents
 from tidewatch.llm.exact_dedup import duplicate_groups
+from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.sharding import shard_documents
+from tidewatch.llm.token_files import read_token_files, write_token_files
+from tidewatch.session import scratch_path
 
 SHARDS = 16
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(read_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), 2048, keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_documents(spark, sf_dir), path, vocabulary("byte_bpe_50k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = {s: 1.0 for s in range(SHARDS + 1)}
     placed = shard_documents(read_documents(spark, sf_dir), {s: even[s] for s in range(SHARDS)}, even)
@@ -23,6 +44,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_token_files": op2_token_files,
     "op5_sharding": op5_sharding,
     "op7_exact_dedup": op7_exact_dedup,
 }

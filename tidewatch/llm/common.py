@@ -39,3 +39,21 @@ def partitions(spark: SparkSession) -> int:
 def with_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the key and the text (null: empty)."""
     return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+
+
+#: A key with at least one row in this many is hot. There can't be more hot keys than this, so what belongs to them may be broadcast.
+HOT_PARTS = 1000
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Inner join with a table that has one row per key, when any key may hold a large part of the rows.
+
+    Rows of hot keys meet their group by broadcast (at most HOT_PARTS groups, by arithmetic) and stay where they are;
+    all others are shuffled. Both inputs are read more than once, so pass stored or checkpointed ones.
+    """
+    total = rows.count()
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_PARTS >= F.lit(total))
+    hot = counts.select(key).checkpoint()
+    near = rows.join(F.broadcast(groups.join(F.broadcast(hot), key)), key)
+    far = rows.join(F.broadcast(hot), key, "left_anti").join(groups, key)
+    return near.unionByName(far)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import read_documents
 from tidewatch.llm.exact_dedup import duplicate_groups
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.quality import METRICS, judge_documents
 from tidewatch.llm.sharding import shard_documents
+from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_files import read_token_files, write_token_files
 from tidewatch.session import scratch_path
 
@@ -43,11 +45,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read_documents(spark, sf_dir))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_documents(spark, sf_dir), shingle=3, distance=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(read_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", *[m for m in METRICS if m != "n_words"], "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op5_sharding": op5_sharding,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash": op9_simhash,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
@@ -55,4 +70,37 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_quality": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        runs AS (
+            SELECT r, i, array_to_string(w[i:i + 4], chr(1)) AS run
+            FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM split WHERE len(w) >= 5)),
+        twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, run) AS n FROM runs) WHERE n > 1),
+        inside AS (
+            SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
+        lines AS (
+            SELECT r, sum(n - 1) AS n
+            FROM (SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM split)
+                  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line)
+            GROUP BY r),
+        counted AS (
+            SELECT r, doc_id, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(inside.n, 0)::BIGINT AS n_repeat_words
+            FROM split LEFT JOIN lines USING (r) LEFT JOIN inside USING (r)),
+        based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+        hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM based WHERE source IS NOT NULL GROUP BY source),
+        moments AS (
+            SELECT (sum(f) + 0.5) / (sum(n) + 1) AS m, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ** 2 AS v, count(*) / sum(n) AS h FROM hosts),
+        prior AS (
+            SELECT m, CASE WHEN v - m * (1 - m) * h > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / (v - m * (1 - m) * h) - 1)) ELSE 1e6 END AS weight
+            FROM moments),
+        rates AS (SELECT source, (f + m * weight) / (n + weight) AS rate, n + weight AS total FROM hosts, prior),
+        condemned AS (SELECT source FROM rates WHERE rate - 2 * sqrt(rate * (1 - rate) / (total + 1)) > 0.5)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM condemned)) AS kept
+        FROM based""",
 }

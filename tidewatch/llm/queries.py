@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import read_documents
 from tidewatch.llm.exact_dedup import duplicate_groups
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.pii import find_personal_data, personal_data_digest
 from tidewatch.llm.quality import METRICS, judge_documents
+from tidewatch.llm.secrets import scan_secrets, secret_digest
 from tidewatch.llm.sharding import shard_documents
 from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_files import read_token_files, write_token_files
@@ -35,6 +37,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan_secrets(read_documents(spark, sf_dir)))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(find_personal_data(read_documents(spark, sf_dir)))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = {s: 1.0 for s in range(SHARDS + 1)}
     placed = shard_documents(read_documents(spark, sf_dir), {s: even[s] for s in range(SHARDS)}, even)
@@ -59,6 +69,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op3_secrets": op3_secrets,
+    "op4_pii": op4_pii,
     "op5_sharding": op5_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.common import read_documents
 from tidewatch.llm.exact_dedup import duplicate_groups
 from tidewatch.llm.packing import pack_documents
@@ -51,6 +52,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read_documents(spark, sf_dir))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_pii": op4_pii,
     "op5_sharding": op5_sharding,
+    "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,

@@ -23,7 +23,7 @@ import numpy as np
 REMEMBERED = 250_000
 LONGEST = 40
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 20
+STRIDE = 1 << 22
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
 
@@ -40,34 +40,24 @@ def strides(text: str, size: int = STRIDE) -> Iterator[str]:
     yield text[begin:]
 
 
-class PieceTokenizer:
-    """``encode`` gives each text's ids as little-endian unsigned 32-bit integers."""
+class PieceMemory:
+    """``encode`` gives each text's ids as little-endian unsigned 32-bit integers. Subclasses say how pieces are encoded.
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task uses one core
-        from tokenizers import Tokenizer
+    ``spaced``: a space belongs to the word behind it. ``worded``: white space is dropped. ``special``: strings that are ids of their own.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        before = spec.get("pre_tokenizer") or {}
-        steps = [x.get("type") for x in before.get("pretokenizers", [])]
-        replaced = [x for x in (spec.get("normalizer") or {}).get("normalizers", []) if x.get("type") == "Replace"]
-        self.spaced = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not spec.get("normalizer")
-        self.worded = steps[:1] == ["Split"] and before["pretokenizers"][0].get("behavior") == "Removed" and any(x["pattern"] == {"Regex": "\\s+"} for x in replaced)
-        self.special = [x["content"] for x in spec.get("added_tokens", [])]
+    def __init__(self, spaced: bool, worded: bool, special: Sequence[str]) -> None:
+        self.spaced, self.worded, self.special = spaced, worded, list(special)
         self.known: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
-    def _whole(self, texts: Sequence[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, texts: Sequence[str]) -> list[bytes]:
+        raise NotImplementedError
 
     def _learn(self, memory: dict[str, bytes], pieces: set[str], before: str) -> None:
         new = [p for p in pieces if p not in memory]
         if new:
-            memory.update(zip(new, self._whole([before + p for p in new]), strict=True))
+            memory.update(zip(new, self.whole([before + p for p in new]), strict=True))
 
     def _apart(self, texts: Sequence[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
@@ -109,7 +99,7 @@ class PieceTokenizer:
             if not text:
                 continue
             if not self._cuttable(text):
-                out[i] = self._whole([text])[0]
+                out[i] = self.whole([text])[0]
                 continue
             for part in strides(text):
                 # A later slice begins with the space before its first piece, which splitting turns into an empty head.
@@ -123,6 +113,33 @@ class PieceTokenizer:
         return out
 
 
+class PieceTokenizer(PieceMemory):
+    """A tokenizer file of the tokenizers library."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task uses one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        before = spec.get("pre_tokenizer") or {}
+        steps = [x.get("type") for x in before.get("pretokenizers", [])]
+        replaced = [x for x in (spec.get("normalizer") or {}).get("normalizers", []) if x.get("type") == "Replace"]
+        bytes_only = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        words_only = steps[:1] == ["Split"] and before["pretokenizers"][0].get("behavior") == "Removed"
+        super().__init__(
+            spaced=bool(bytes_only and not spec.get("normalizer")),
+            worded=words_only and any(x["pattern"] == {"Regex": "\\s+"} for x in replaced),
+            special=[x["content"] for x in spec.get("added_tokens", [])],
+        )
+
+    def whole(self, texts: Sequence[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 _LOADED: dict[str, PieceTokenizer] = {}
 
 

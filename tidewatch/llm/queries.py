@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.bpe import round_trip
 from tidewatch.llm.common import read_documents
 from tidewatch.llm.exact_dedup import duplicate_groups
+from tidewatch.llm.langid import identify_languages
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.pii import find_personal_data, personal_data_digest
 from tidewatch.llm.quality import METRICS, judge_documents
@@ -60,6 +61,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read_documents(spark, sf_dir))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_documents(spark, sf_dir), shingle=3, distance=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -79,6 +84,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_langid": op8_langid,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }

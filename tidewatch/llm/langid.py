@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 HIDDEN = 16
-SLICE = 64
+SLICE = 32
 DOCS_PER_LANGUAGE = 600
 WORDS_PER_DOC = 60
 STEPS = 500
@@ -231,8 +231,9 @@ def training_words(docs: DataFrame, text_col: str, lang_col: str, draw: Column,
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 all_words = [w for w in text.encode("utf-8", "surrogatepass").split() if LETTER[np.frombuffer(w, np.uint8)].any()]
                 few = all_words[:: -(-len(all_words) // WORDS_PER_DOC)] if all_words else []
+                few = [w[a : a + SLICE] for w in few for a in range(0, len(w), SLICE)]
                 langs += [lang] * len(few)
-                found += [w[:SLICE] for w in few]
+                found += few
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], names=["lang", "word"])
 
     table = chosen.select("lang", "text").mapInArrow(words, "lang string, word binary").toArrow()

@@ -139,8 +139,17 @@ def secret_digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spelled(F.col("base")), 256).alias("base_sha256"), spelled(F.col("found")).alias("spans"))
 
 
-def mask_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", allowed: Sequence[str] = ALLOWED) -> DataFrame:
-    """The documents with every secret replaced; texts without one stay as they are, a null stays null."""
+def mask_secrets(
+    docs: DataFrame, text_col: str = "text", length_col: str | None = None, mask: str = "[secret]", allowed: Sequence[str] = ALLOWED
+) -> DataFrame:
+    """The documents with every secret replaced; texts without one stay as they are, a null stays null.
+
+    ``length_col`` names a column that holds the text's length and is to follow where the text changes.
+    """
     rows = with_secrets(carried(docs, clean=text_of(text_col)), "clean", allowed)
-    text = F.when(F.size("found") > 0, masked(F.col("clean"), F.col("found"), mask)).otherwise(F.col(f"{ROW}.`{text_col}`"))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])
+    rows = rows.withColumn("clean", F.when(F.size("found") > 0, masked(F.col("clean"), F.col("found"), mask)))
+    new = {text_col: F.col("clean")}
+    if length_col:
+        new[length_col] = F.length("clean").cast(docs.schema[length_col].dataType)
+    old = {c: F.col(f"{ROW}.`{c}`") for c in docs.columns}
+    return rows.select(*[(F.when(F.col("clean").isNotNull(), new[c]).otherwise(old[c]) if c in new else old[c]).alias(c) for c in docs.columns])

@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewatch.llm.common import read_documents, stored
 from tidewatch.llm.exact_dedup import drop_exact_copies
@@ -40,11 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = mask_secrets(docs)
-    if "n_chars" not in docs.columns:
-        return clean
-    kind = docs.schema["n_chars"].dataType
-    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return mask_secrets(docs, length_col="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,139 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm.pii import find_personal_data, personal_data_digest
+from tidewatch.llm.secrets import ALLOWED, HEX_BITS, TOKEN_BITS, WINDOW, mask_secrets, scan_secrets, secret_digest
+from tidewatch.llm.spans import find_spans
+
+
+def entropy(window):
+    return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
+
+
+def slow_secrets(text):
+    base = []
+    for m in re.finditer(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[1]) >= 12:
+            base.append((m.start(), 0, "assign", m.end()))
+    base += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    base += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    more = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        v = m[0]
+        if not re.search("[0-9]", v) or not re.search("[A-Za-z]", v) or any(re.search(p, v) for p in ALLOWED):
+            continue
+        if any(b[0] < m.end() and m.start() < b[3] for b in base):
+            continue
+        windows = [v[i : i + WINDOW] for i in range(len(v) - WINDOW + 1)]
+        hot = [i for i, w in enumerate(windows) if entropy(w) + 1e-6 >= (HEX_BITS if re.fullmatch("[0-9a-fA-F]*", w) else TOKEN_BITS)]
+        if hot:
+            more.append((m.start() + hot[0], 3, "entropy", m.start() + hot[-1] + WINDOW))
+    return sorted(base), sorted(base + more)
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def slow_pii(text):
+    out = [(0, m.start(), "email", m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(1, m.start(), "ip", m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and luhn(digits):
+            out.append((2, m.start(), "card", m.end()))
+    return out + [(3, m.start(), "phone", m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+
+
+def mixed(parts, n, seed):
+    r = random.Random(seed)
+    return ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(n)]
+
+
+SECRETS = ["token", "=", "PassWord", " ", ": ", '"', "AKIA", "ABCDEF012345678", "deadbeef", "0123456789abcdef", "é", "😀", "a", "Zx9", "-", "/", "\n", "api_key", "Q7", "ſecret"]
+PERSONAL = ["a@b", "@", "c.de", ".", "1.2.3.4", "255.", "300", "4041894974608795", "4041 8949-7460 8795", "+1 (222) 333-4444", "+", "12", "é", "😀", " ", "-", "x", "%", "0001.", "\n"]
+
+
+@pytest.fixture(scope="module")
+def secret_texts(table, rows):
+    return [r["text"] for r in table] + [t for _, t in rows] + mixed(SECRETS, 300, 3) + ["token=abcdefghijkl " * 700]
+
+
+@pytest.fixture(scope="module")
+def personal_texts(table, rows):
+    return [r["text"] for r in table] + [t for _, t in rows if len(t or "") < 10_000] + mixed(PERSONAL, 300, 4) + ["a.b@c.de " * 700]
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+
+def test_positions_count_code_points(spark):
+    df = spark.createDataFrame([("x😀ab ab",), ("",), ("none",), ("ab" * 1000,)], "t string")
+    got = [[(s.start, s.end, s.value) for s in r.s] for r in df.select(find_spans(F.col("t"), "ab").alias("s")).collect()]
+    assert got == [[(2, 4, "ab"), (5, 7, "ab")], [], [], [(2 * i, 2 * i + 2, "ab") for i in range(1000)]]
+
+
+def test_secrets_equal_brute_force(spark, secret_texts):
+    for r in scan_secrets(frame(spark, secret_texts)).collect():
+        assert ([tuple(x) for x in r.base], [tuple(x) for x in r.found]) == slow_secrets(secret_texts[r.doc_id] or "")
+
+
+def test_random_strings_are_found_and_known_ones_are_not(spark):
+    texts = ["key xK7pQ2mZ9vB4nL8wR1tY here", "id 123e4567-e89b-12d3-a456-426614174000 here", "see release-notes-2024-final-version-3", "sha256-n4bQgYhMfWWaLxqVb1", "antidisestablishmentarianism"]
+    got = [r.spans for r in secret_digest(scan_secrets(frame(spark, texts))).orderBy("doc_id").collect()]
+    assert got == ["entropy:4:24", "", "", "", ""]
+
+
+def test_masked_texts(spark, secret_texts, awkward):
+    for r in mask_secrets(frame(spark, secret_texts)).collect():
+        text, want, at = secret_texts[r.doc_id], "", 0
+        spans = slow_secrets(text or "")[1]
+        for k, (start, _, _, end) in enumerate(spans):
+            if start > at or k == 0:
+                want += text[at:start] + "[secret]"
+            at = max(at, end)
+        assert r.text == (want + text[at:] if spans else text)
+    masked = mask_secrets(awkward, length_col="n_chars")
+    assert masked.columns == awkward.columns and masked.schema == awkward.schema
+    assert Counter(map(tuple, masked.collect())) == Counter(map(tuple, awkward.collect()))
+
+
+def test_personal_data_equals_brute_force(spark, personal_texts):
+    for r in find_personal_data(frame(spark, personal_texts)).collect():
+        assert [tuple(x) for x in r.base] == slow_pii(personal_texts[r.doc_id] or "")
+        assert [tuple(x) for x in r.found][: len(r.base)] == [tuple(x) for x in r.base]
+
+
+def test_patterns_of_seeds_name_unseen_identifiers(spark):
+    r = random.Random(9)
+    texts = [f"please reach customer line +1 (555) {r.randrange(100, 999)}-{r.randrange(1000, 9999)} soon" for _ in range(40)]
+    texts += [f"please reach customer line AB-{r.randrange(10**6, 10**7)} soon" for _ in range(3)]
+    texts += [f"built in version {i}.0.{r.randrange(10**6)} today" for i in range(40)]
+    got = {r.doc_id: r.spans for r in personal_data_digest(find_personal_data(frame(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        kinds = [x.split(":")[0] for x in got[i].split(",") if x]
+        assert kinds == (["phone"] if i < 40 else ["context"] if i < 43 else [])
+        if kinds == ["context"]:
+            start, end = map(int, got[i].split(":")[1:])
+            assert t[start:end].startswith("AB-")
+
+
+def test_long_runs_stay_cheap(spark):
+    texts = ["1" * 30_000, "a" * 100_000, "+" + "1 " * 20_000, "a." * 30_000 + "@", "1-" * 20_000, "1." * 20_000, "f" * 100_000, "AKIA" * 10_000]
+    assert find_personal_data(frame(spark, texts)).count() == len(texts)
+    assert scan_secrets(frame(spark, texts)).count() == len(texts)
+
+
+def test_no_rows(empty, awkward):
+    assert scan_secrets(empty).isEmpty() and mask_secrets(empty).isEmpty() and find_personal_data(empty).isEmpty()
+    assert find_personal_data(awkward).count() == awkward.count()

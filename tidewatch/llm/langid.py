@@ -178,6 +178,8 @@ class Reader:
         """For each word: its positions' probabilities added up over letters, and the number of these."""
         cuts = [(i, w[a : a + SLICE]) for i, w in enumerate(words) for a in range(0, len(w), SLICE)]
         out = np.zeros((len(words), len(self.net.languages) + 1))
+        if not self.net.languages:
+            return out
         cuts.sort(key=lambda c: len(c[1]))
         for begin in range(0, len(cuts), 4096):
             few = cuts[begin : begin + 4096]

@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import with_text
-from tidewatch.llm.tokens import PieceMemory
+from tidewatch.llm.tokens import PieceMemory, byte_letters
 
 # Fixed value: how this family of vocabularies cuts a text into words. White space is spelled out.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -42,13 +42,6 @@ LONGEST_WORD = 40
 DOCS = 1000
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in vocabulary files: printable ones for themselves, the others from 256 on, in order."""
-    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    rest = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @dataclass
 class Vocabulary:
     """Token bytes by id, and how merges make them."""

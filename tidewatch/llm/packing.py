@@ -30,6 +30,8 @@ from tidewatch.llm.common import stored, with_text
 from tidewatch.llm.tokens import tokenizer_at
 
 CAPACITY = 2048
+#: Documents encoded at once.
+DOCS = 2500
 END_ID = 0
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
@@ -158,8 +160,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                few = batch.slice(begin, 500)
+            for begin in range(0, batch.num_rows, DOCS):
+                few = batch.slice(begin, DOCS)
                 rows: list[tuple] = []
                 for doc_id, ids in zip(few.column("doc_id").to_pylist(), encoder.encode(few.column("text").to_pylist()), strict=True):
                     ids += end

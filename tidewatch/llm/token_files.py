@@ -34,6 +34,8 @@ END_ID = 0
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 SAMPLE = 64
+#: Documents encoded at once.
+DOCS = 2500
 
 BLOCKS = (
     "part int, block int, first long, n_ids long, n_docs int, width int, doc_ids array<bigint>, "
@@ -107,8 +109,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         doc_ids: list = []
         held: list[bytes] = []
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                few = batch.slice(begin, 500)
+            for begin in range(0, batch.num_rows, DOCS):
+                few = batch.slice(begin, DOCS)
                 for doc_id, raw in zip(few.column("doc_id").to_pylist(), encoder.encode(few.column("text").to_pylist()), strict=True):
                     ids = np.append(np.frombuffer(raw, dtype="<u4"), np.uint32(end_id)).astype(f"<u{width}").tobytes()
                     if held and (size + len(ids) // width > BLOCK_IDS or len(held) >= BLOCK_DOCS):

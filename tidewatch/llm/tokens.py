@@ -15,17 +15,40 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces remembered in a worker, and the longest piece worth remembering.
 REMEMBERED = 250_000
 LONGEST = 40
+#: Marks that part from the word before them.
+MARKS = ".,;:!?"
+MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 22
+STRIDE = 1 << 23
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
+#: Stands before a line break between two other characters; texts that have it themselves are encoded whole.
+SIGN = "\0"
+LINE = SIGN + "\n"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in vocabulary files: printable ones for themselves, the others from 256 on, in order."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def single_spaced(text: str) -> bool:
+    """Whether the only white space is single spaces and line breaks between other characters."""
+    words = text.split()
+    blanks = text.count(" ") + text.count("\n")
+    return len(words) == blanks + 1 and len(text) - sum(map(len, words)) == blanks
 
 
 def strides(text: str, size: int = STRIDE) -> Iterator[str]:
@@ -40,6 +63,35 @@ def strides(text: str, size: int = STRIDE) -> Iterator[str]:
     yield text[begin:]
 
 
+class Memory:
+    """Values of pieces met before, in two generations: what was not used while REMEMBERED others came is forgotten."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.long: list[str] = []
+
+    def missing(self, pieces: Iterable[str]) -> list[str]:
+        """The unknown ones; known ones are in ``young`` afterwards."""
+        young, old = self.young, self.old
+        away = [p for p in pieces if p not in young]
+        if old:
+            young.update((p, old[p]) for p in away if p in old)
+            away = [p for p in away if p not in young]
+        return away
+
+    def add(self, pieces: Sequence[str], values: Sequence[bytes]) -> None:
+        self.young.update(zip(pieces, values, strict=True))
+        self.long += [p for p in pieces if len(p) > LONGEST]
+
+    def settle(self) -> None:
+        for p in self.long:
+            self.young.pop(p, None)
+        self.long = []
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+
+
 class PieceMemory:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit integers. Subclasses say how pieces are encoded.
 
@@ -48,42 +100,107 @@ class PieceMemory:
 
     def __init__(self, spaced: bool, worded: bool, special: Sequence[str]) -> None:
         self.spaced, self.worded, self.special = spaced, worded, list(special)
-        self.known: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.known, self.first = Memory(), Memory()
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
         raise NotImplementedError
 
-    def _learn(self, memory: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = [p for p in pieces if p not in memory]
-        if new:
-            memory.update(zip(new, self.whole([before + p for p in new]), strict=True))
+    def apart(self, pieces: Sequence[str], spaced: bool) -> list[bytes]:
+        """The ids of pieces that stand alone, or behind a space."""
+        return self.whole([" " + p for p in pieces] if spaced and self.spaced else pieces)
+
+    def _parts(self, piece: str, spaced: bool) -> list[tuple[bool, str]]:
+        """A piece as parts that are tokenized alike on their own, each with or without the space before it.
+
+        A line's first piece comes with the break before it, and a mark parts from the letter or digit before it.
+        """
+        out = []
+        if piece.startswith(LINE):
+            out.append((False, "\n"))
+            piece, spaced = piece[len(LINE) :], False
+        marked = len(piece) > 1 and piece[-1] in MARKED and piece[-2].isalnum()
+        out.append((spaced, piece[:-1] if marked else piece))
+        if marked:
+            out.append((False, piece[-1]))
+        return out
+
+    def _learn(self, tails: Sequence[str], heads: Sequence[str]) -> None:
+        """Afterwards all tails (pieces behind a space) are in ``known``, all heads in ``first``."""
+        memories = {True: self.known, False: self.first if self.spaced else self.known}
+        need: dict[bool, list[str]] = {True: [], False: []}
+        marked: list[tuple[bool, str]] = []
+        joined = []
+        for spaced, pieces in ((True, self.known.missing(tails)), (False, self.first.missing(heads))):
+            for piece in pieces:
+                if piece.isalpha():
+                    need[spaced].append(piece)
+                elif piece[-1:] in MARKED and piece[:-1].isalpha():  # most others: a word and its mark
+                    marked.append((spaced, piece))
+                    need[spaced].append(piece[:-1])
+                    need[False].append(piece[-1])
+                else:
+                    parts = self._parts(piece, spaced)
+                    if len(parts) > 1:
+                        joined.append((spaced, piece, parts))
+                    for x, part in parts:
+                        need[x].append(part)
+        for spaced, wanted in need.items():
+            if unknown := memories[spaced].missing(set(wanted)):
+                memories[spaced].add(unknown, self.apart(unknown, spaced))
+        known, first = memories[True].young, memories[False].young
+        for spaced, piece in marked:
+            memories[spaced].young[piece] = (known if spaced else first)[piece[:-1]] + first[piece[-1]]
+        for spaced, piece, parts in joined:
+            memories[spaced].add([piece], [b"".join([known[part] if x else first[part] for x, part in parts])])
 
     def _apart(self, texts: Sequence[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        heads = [p[0] for p in split] if self.spaced else []
-        tails = [p[1:] for p in split] if self.spaced else split
-        self._learn(self.known, set().union(*tails), " " if self.spaced else "")
-        self._learn(self.first, set(heads), "")
-        get = self.known.__getitem__
-        out = [b"".join(map(get, p)) for p in tails]
+        """Arrow cuts the texts and numbers their distinct pieces; only these are looked up, and numpy lines up their ids."""
+        split = pc.split_pattern(pa.array(texts, type=pa.string()), " ")
+        offsets = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        at = coded.indices.to_numpy().astype(np.int64)
         if self.spaced:
-            out = [self.first[h] + ids for h, ids in zip(heads, out, strict=True)]
-        self.known = self._kept(self.known)
-        self.first = self._kept(self.first)
-        return out
+            # The first piece of a text has no space before it: it counts as a piece of another kind.
+            heads, which = np.unique(at[offsets[:-1]], return_inverse=True)
+            at[offsets[:-1]] = len(pieces) + which
+            head_pieces = [pieces[i] for i in heads.tolist()]
+            self._learn(pieces, head_pieces)
+            values = [*map(self.known.young.__getitem__, pieces), *map(self.first.young.__getitem__, head_pieces)]
+        else:
+            self._learn(pieces, [])
+            values = list(map(self.known.young.__getitem__, pieces))
+        self.known.settle()
+        self.first.settle()
+        flat = np.frombuffer(b"".join(values), dtype="<u4")
+        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+        first = np.cumsum(sizes) - sizes
+        size = sizes[at]
+        end = np.cumsum(size)
+        ids = flat[np.repeat(first[at] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        stops = np.concatenate([[0], end])[offsets].tolist()
+        return [ids[4 * x : 4 * y] for x, y in zip(stops[:-1], stops[1:], strict=True)]
 
-    def _kept(self, memory: dict[str, bytes]) -> dict[str, bytes]:
-        if len(memory) > REMEMBERED:
-            return {}
-        for p in [p for p in memory if len(p) > LONGEST]:
-            del memory[p]
-        return memory
+    def _plain(self, text: str) -> str:
+        """Line breaks become spaces, or a space and a sign, where that is exact; where case does not count, Latin-1 (which nothing
+        composes or decomposes) becomes small."""
+        if self.spaced:
+            return text.replace("\n", " " + LINE) if single_spaced(text) else text
+        if any(s in text for s in self.special):
+            return text
+        text = text.replace("\n", " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
 
     def _cuttable(self, text: str) -> bool:
         if self.worded:
             return True
-        return self.spaced and not any(s in text for s in self.special) and not _BESIDE_SPACE.search(text)
+        if not self.spaced or SIGN in text or any(s in text for s in self.special):
+            return False
+        return single_spaced(text) or not _BESIDE_SPACE.search(text)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -101,7 +218,7 @@ class PieceMemory:
             if not self._cuttable(text):
                 out[i] = self.whole([text])[0]
                 continue
-            for part in strides(text):
+            for part in strides(self._plain(text)):
                 # A later slice begins with the space before its first piece, which splitting turns into an empty head.
                 group.append((i, part))
                 size += len(part)
@@ -135,9 +252,38 @@ class PieceTokenizer(PieceMemory):
             worded=words_only and any(x["pattern"] == {"Regex": "\\s+"} for x in replaced),
             special=[x["content"] for x in spec.get("added_tokens", [])],
         )
+        letters = byte_letters()
+        self.letter = {b: c for c, b in letters.items()}.__getitem__
+        self.before = self.letter(32) if self.spaced else ""
+        self.model = self.tokenizer.model
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+    def apart(self, pieces: Sequence[str], spaced: bool) -> list[bytes]:
+        """Latin-1 words (small ones, where case does not count) are words of the vocabulary's model as they stand."""
+        if not (self.spaced or self.worded):
+            return super().apart(pieces, spaced)
+        out: list[bytes | None] = []
+        before = self.before if spaced else ""
+        tokenize, letter = self.model.tokenize, self.letter
+        for p in pieces:
+            if p.isalpha() and (self.spaced or p.islower()):
+                if not p.isascii():
+                    try:
+                        p.encode("latin-1")
+                    except UnicodeEncodeError:
+                        out.append(None)
+                        continue
+                    p = "".join(map(letter, p.encode()))
+                out.append(array("I", [t.id for t in tokenize(before + p)]).tobytes())
+            else:
+                out.append(None)
+        others = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(others, super().apart([pieces[i] for i in others], spaced), strict=True):
+            out[i] = ids
+        return out
 
 
 _LOADED: dict[str, PieceTokenizer] = {}

@@ -23,13 +23,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces remembered in a worker, and the longest piece worth remembering.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 LONGEST = 40
 #: Marks that part from the word before them.
 MARKS = ".,;:!?"
 MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 23
+STRIDE = 1 << 22
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
 #: Stands before a line break between two other characters; texts that have it themselves are encoded whole.
@@ -177,7 +177,9 @@ class PieceMemory:
         first = np.cumsum(sizes) - sizes
         size = sizes[at]
         end = np.cumsum(size)
-        ids = flat[np.repeat(first[at] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        place = np.repeat((first[at] - (end - size)).astype(np.int32), size)  # a stride has few ids, so small numbers do
+        place += np.arange(len(place), dtype=np.int32)
+        ids = flat[place].tobytes()
         stops = np.concatenate([[0], end])[offsets].tolist()
         return [ids[4 * x : 4 * y] for x, y in zip(stops[:-1], stops[1:], strict=True)]
 

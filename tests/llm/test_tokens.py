@@ -90,6 +90,14 @@ def test_token_files_hold_every_document(spark, awkward, rows, tmp_path, monkeyp
     assert Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == want
 
 
+def test_keys_may_be_texts(spark, tmp_path):
+    docs = spark.createDataFrame([("b", "two words"), ("a", "one")], "name string, body string")
+    path = str(tmp_path / "files")
+    write_token_files(docs, path, BYTES, id_col="name", text_col="body")
+    assert [(r.doc_id, r.n_tokens) for r in read_token_files(spark, path).orderBy("start").collect()] == [("a", 2), ("b", 3)]
+    assert {r.doc_id for r in pack_documents(docs, WORDS, id_col="name", text_col="body").collect()} == {"a", "b"}
+
+
 def test_token_files_of_nothing(spark, empty, tmp_path):
     path = str(tmp_path / "files")
     write_token_files(empty, path, BYTES)

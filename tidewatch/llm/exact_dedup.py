@@ -104,13 +104,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     text = text_of(text_col)
     others = [F.col(c) for c in docs.columns if c != text_col]
-    rows = carried(docs, doc_id=F.col(id_col), h=F.xxhash64(text), sha=F.unhex(F.sha2(text, 256)), rest=F.xxhash64(F.to_json(F.struct(*others))))
+    mark = F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(F.to_json(F.struct(*others))).alias("rest"))
+    rows = carried(docs, h=F.xxhash64(text), sha=F.unhex(F.sha2(text, 256)), mark=mark)
     keys = rows.select("h")
     probed = probe(rows, stored(repeated_filter(keys, "h", blocks), "dedup-filter"), "h", blocks)
     alone = probed.filter(~F.col("maybe")).select(f"{ROW}.*")
     maybe = probed.filter("maybe")
-    last = maybe.groupBy("sha").agg(F.max(F.struct("doc_id", "rest")).alias("last")).select("sha", "last.doc_id", "last.rest")
-    # Joined on the key of the surviving row, so that the rows of one large group spread over all tasks.
-    on = (F.col("m.sha") == F.col("l.sha")) & F.col("m.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("m.rest") == F.col("l.rest"))
-    left = maybe.alias("m").join(last.alias("l"), on, "left_semi").dropDuplicates(["sha", "doc_id", "rest"])
+    last = maybe.groupBy("sha").agg(F.max("mark").alias("mark"))
+    # Joined on the mark of the surviving row, so that the rows of one large group spread over all tasks.
+    # Structs compare nulls as equal values.
+    left = maybe.join(last, ["sha", "mark"], "left_semi").dropDuplicates(["sha", "mark"])
     return alone.unionByName(left.select(f"{ROW}.*"))

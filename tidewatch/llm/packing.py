@@ -31,10 +31,10 @@ from tidewatch.llm.tokens import tokenizer_at
 
 CAPACITY = 2048
 #: Documents encoded at once.
-DOCS = 2500
+DOCS = 1200
 END_ID = 0
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
+PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class ComplementIndex:
@@ -151,7 +151,9 @@ def packing_plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*table.T.copy())
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+def pieces_of(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Token pieces of at most ``capacity`` ids; ``nth`` numbers those of one length in one partition (``part``)."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -172,19 +174,22 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
                         seen[length] += 1
                 if rows:
                     doc, piece, start, length, crc, data, where, nth = zip(*rows, strict=True)
-                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+                    kinds = (few.column("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
                     columns = [pa.array(c, type=t) for c, t in zip((doc, piece, start, length, crc, data, where, nth), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "part", "nth"])
 
-    return with_text(docs).mapInArrow(cut, PIECES)
+    key = docs.schema[id_col].dataType.simpleString()
+    return with_text(docs, id_col, text_col).mapInArrow(cut, f"doc_id {key}, {PIECES}, part int, nth long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset``.
 
     ``ids`` (little-endian unsigned 32-bit) is null without ``keep_ids``, for those who only need the placement.
     """
-    pieces = stored(pieces_of(docs, tokenizer, capacity, end_id, keep_ids), "pieces")
+    pieces = stored(pieces_of(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col), "pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
@@ -206,6 +211,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"],
                 )
 
-    return numbered.mapInArrow(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long"
-    )
+    key = docs.schema[id_col].dataType.simpleString()
+    return numbered.mapInArrow(place, f"doc_id {key}, {PIECES}, sequence_id long, offset long")

@@ -240,7 +240,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     spark = fps.sparkSession
     parts = max(distance + 1, -(-BITS // PART_BITS))
     filed = stored(signatures(fps, bit_parts(fps, parts), distance), "signatures")
-    sizes = filed.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"), F.max("probe").alias("any_probe"), F.max(~F.col("probe")).alias("any_filed"))
+    sizes = filed.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"), F.max("probe").alias("any_probe"))
     sizes = stored(sizes.filter("n > 1 AND any_probe").select("part", "value", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")), "buckets")
     keyed = filed.select(F.struct("part", "value").alias("bucket"), "fp")
     shared = attach(keyed, sizes.select(F.struct("part", "value").alias("bucket"), "chunks"), "bucket")
@@ -316,9 +316,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents that stand for their class, with all their columns; one of wholly equal rows stays."""
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
     kept = stored(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash"))).select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(),
+        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash"))).select(F.struct("doc_id", "text_hash").alias("mark")).distinct(),
         "kept",
     )
-    rows = carried(docs, doc_id=F.col(id_col).cast("long"), text_hash=F.xxhash64(text_of(text_col)))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash"]).select(f"{ROW}.*")
+    # Structs compare nulls as equal values.
+    rows = carried(docs, mark=F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash")))
+    return rows.join(kept, "mark", "left_semi").dropDuplicates(["mark"]).select(f"{ROW}.*")

@@ -35,10 +35,10 @@ BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 SAMPLE = 64
 #: Documents encoded at once.
-DOCS = 2500
+DOCS = 1200
 
 BLOCKS = (
-    "part int, block int, first long, n_ids long, n_docs int, width int, doc_ids array<bigint>, "
+    "part int, block int, first long, n_ids long, n_docs int, width int, doc_ids array<{}>, "
     "low_bits int, low binary, high binary, samples binary, ids binary"
 )
 
@@ -87,18 +87,18 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.low_bits) | low
 
 
-def _block(part: int, block: int, first: int, width: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
+def _block(key: pa.DataType, part: int, block: int, first: int, width: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
     ends = np.cumsum([len(x) // width for x in ids])
     ef = EliasFano.of(ends)
     row = {
         "part": [part], "block": [block], "first": [first], "n_ids": [int(ends[-1])], "n_docs": [len(ids)], "width": [width],
         "doc_ids": [doc_ids], "low_bits": [ef.low_bits], "low": [ef.low], "high": [ef.high], "samples": [ef.samples], "ids": [b"".join(ids)],
     }
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int32(), *[pa.binary()] * 4)
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(key), pa.int32(), *[pa.binary()] * 4)
     return pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(row.values(), kinds, strict=True)], names=list(row))
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every document, appends ``end_id`` and writes the files in ascending ``doc_id`` order."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,33 +108,37 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         block = first = size = 0
         doc_ids: list = []
         held: list[bytes] = []
+        key = pa.int64()
         for batch in batches:
+            key = batch.column("doc_id").type
             for begin in range(0, batch.num_rows, DOCS):
                 few = batch.slice(begin, DOCS)
                 for doc_id, raw in zip(few.column("doc_id").to_pylist(), encoder.encode(few.column("text").to_pylist()), strict=True):
                     ids = np.append(np.frombuffer(raw, dtype="<u4"), np.uint32(end_id)).astype(f"<u{width}").tobytes()
                     if held and (size + len(ids) // width > BLOCK_IDS or len(held) >= BLOCK_DOCS):
-                        yield _block(part, block, first, width, doc_ids, held)
+                        yield _block(key, part, block, first, width, doc_ids, held)
                         block, first, size, doc_ids, held = block + 1, first + size, 0, [], []
                     doc_ids.append(doc_id)
                     held.append(ids)
                     size += len(ids) // width
         if held:
-            yield _block(part, block, first, width, doc_ids, held)
+            yield _block(key, part, block, first, width, doc_ids, held)
 
     ordered = (
-        with_text(docs)
+        with_text(docs, id_col, text_col)
         .withColumn("nth", F.monotonically_increasing_id())
         .repartitionByRange(partitions(docs.sparkSession), "doc_id", "nth")
         .sortWithinPartitions("doc_id", "nth")
         .select("doc_id", "text")
     )
-    ordered.mapInArrow(encode, BLOCKS).write.option("compression", "zstd").parquet(path)
+    kind = docs.schema[id_col].dataType.simpleString()
+    ordered.mapInArrow(encode, BLOCKS.format(kind)).write.option("compression", "zstd").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of each document; ``ids`` are little-endian unsigned 32-bit integers."""
     files = spark.read.parquet(path)
+    kind = files.schema["doc_ids"].dataType.elementType.simpleString()
     # One number per part: what lies before it.
     sizes = {r["part"]: r["n"] for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     before, total = {}, 0
@@ -145,13 +149,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 b = batch.slice(i, 1)
-                row = {c: b.column(c)[0].as_py() for c in ("part", "first", "n_docs", "width", "doc_ids", "low_bits", "low", "high", "samples", "ids")}
+                row = {c: b.column(c)[0].as_py() for c in ("part", "first", "n_docs", "width", "low_bits", "low", "high", "samples", "ids")}
                 ends = EliasFano(row["n_docs"], row["low_bits"], row["low"], row["high"], row["samples"]).all()
                 starts = np.concatenate([[0], ends[:-1]])
                 ids = np.frombuffer(row["ids"], dtype=f"<u{row['width']}").astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(row["doc_ids"], type=pa.int64()),
+                        b.column("doc_ids")[0].values,
                         pa.array(starts + (before[row["part"]] + row["first"])),
                         pa.array(ends - starts),
                         pa.array([ids[4 * a : 4 * z] for a, z in zip(starts.tolist(), ends.tolist(), strict=True)], type=pa.binary()),
@@ -159,4 +163,4 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return files.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
+    return files.mapInArrow(decode, f"doc_id {kind}, start long, n_tokens long, ids binary")

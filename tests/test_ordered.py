@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import at
-from tidewatch.operators.blocks import number_rows, rolling, running_total, sorted_blocks
-from tidewatch.operators.bursts import burst_fires, trailing_count
+from tidewatch.operators.blocks import number_rows, rolling, running_total, sorted_blocks, unplaced
+from tidewatch.operators.bursts import all_incidents, burst_fires, detect_bursts, trailing_count
 from tidewatch.operators.folds import block_fold
 from tidewatch.operators.remediation import apply_cooldown, dedup_ttl
 from tidewatch.operators.spacing import greedy_spacing
@@ -85,6 +85,33 @@ def test_greedy_spacing(spark, gap, max_steps):
     assert {r.id for r in out.collect()} == want
 
 
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_long_step_functions_are_composed_in_few_jobs(spark):
+    """One hot key whose functions stay in a table: the jobs grow with the logarithm of the blocks."""
+    rows = [("hot", 3 * i + i % 2, i) for i in range(3000)] + [("z", i, 5000 + i) for i in range(40)]
+    counts = {}
+    for blocks in (6, 12, 24):
+        found = []
+        counts[blocks] = jobs_of(spark, f"spacing-{blocks}", lambda blocks=blocks, found=found: found.extend(
+            greedy_spacing(frame(spark, rows), ["k"], "p", ["id"], 100, blocks=blocks, max_steps=1).collect()
+        ))
+        want, last = [], {}
+        for k, p, i in rows:
+            if k not in last or p >= last[k] + 100:
+                want.append(i)
+                last[k] = p
+        assert sorted(r.id for r in found) == sorted(want)
+    assert counts[24] - counts[12] <= counts[12] - counts[6] + 6 and counts[24] < 2 * counts[12]
+
+
 def test_greedy_spacing_where_chains_never_meet(spark):
     rows = [("a", i, i) for i in range(300)]
     out = greedy_spacing(frame(spark, rows), ["k"], "p", ["id"], 7, blocks=12)
@@ -152,10 +179,9 @@ def test_bursts_equal_the_sequential_rule(spark, threshold, span, n):
     assert got == want and want
 
 
-@pytest.mark.parametrize("slice_rows", [10_000, 5])
-def test_trailing_count(spark, slice_rows):
+def test_trailing_count(spark):
     rows = trace(6, 300, 200)
-    out = trailing_count(logs(spark, rows), 30, slice_sec=40, slice_rows=slice_rows)
+    out = trailing_count(logs(spark, rows), 30)
     got = {r.seq: r.trailing_count for r in out.collect()}
     want, seen = {}, {}
     for k, p, i in rows:
@@ -164,6 +190,30 @@ def test_trailing_count(spark, slice_rows):
     assert got == want
 
 
+def test_trailing_count_of_copies_and_unplaced_rows(spark):
+    rows = [("a", 0, 1), ("a", 5, 2), ("a", 10, 3), ("a", 10, 3), ("a", 10, None), ("a", None, 4), (None, 10, 5), ("b", 10, 6)]
+    df = spark.createDataFrame([(k, None if p is None else at(p), i) for k, p, i in rows], "service string, ts timestamp, seq long")
+    got = sorted(((r.service or "", r.seq or 0, r.trailing_count) for r in trailing_count(df, 30).collect()), key=str)
+    want = [("", 5, None), ("a", 0, 3), ("a", 1, 1), ("a", 2, 2), ("a", 3, 4), ("a", 3, 5), ("a", 4, None), ("b", 6, 1)]
+    assert got == sorted(want, key=str)
+
+
+def test_bursts_of_copies_and_rows_without_time(spark):
+    rows = [("a", p, p) for p in range(8)] + [("a", 7, 7), ("a", None, 99)] + [("a", 100, 100)] * 17
+    df = spark.createDataFrame(
+        [(k, None if p is None else at(p), i, "error", "m") for k, p, i in rows],
+        "service string, ts timestamp, seq long, severity string, message string",
+    )
+    df = df.withColumns({"timestamp": F.lit(None).cast("string"), "original_level": F.lit("ERROR"), "trace_id": F.lit("t")})
+    fires = burst_fires(df, 30, 8)
+    assert sorted(r.seq for r in fires.collect()) == [7, 100, 100]
+    assert sorted(r.seq for r in detect_bursts(df, 30, 8).collect()) == [7, 100, 100]
+    assert [r.seq for r in unplaced(df, ["ts", "seq"]).collect()] == [99]
+    keyword = df.select("service", "ts", "seq", "timestamp")
+    rest = all_incidents(fires.select("service", F.timestamp_micros("_at").alias("ts"), "seq"), keyword, keyword.limit(0))
+    assert rest.count() == df.count()
+
+
 def test_dedup_ttl_end_is_still_a_duplicate(spark):
     df = spark.createDataFrame([("a", at(s), i) for i, s in enumerate([0, 600, 601, 1201, 1202])], "action_id string, ts timestamp, seq bigint")
     assert sorted(r.seq for r in dedup_ttl(df).collect()) == [0, 2, 4]

@@ -47,6 +47,14 @@ def sorted_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], bloc
     )
 
 
+def unplaced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that have no place in an order because one of the columns is null; the ordered operators leave them out."""
+    missing = F.lit(False)
+    for c in columns:
+        missing = missing | F.col(c).isNull()
+    return df.filter(missing)
+
+
 def key_starts(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
     """Positions in the batch at which a run of equal keys begins; position 0 is always one."""
     n = batch.num_rows

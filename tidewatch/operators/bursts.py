@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidewatch.functions.scalars import canonical_json, iso_z, micros, or_default
 from tidewatch.operators.blocks import number_rows, running_total
-from tidewatch.operators.joins import broadcast_if_small
+from tidewatch.operators.joins import picked_and_rest
 from tidewatch.operators.logs import LOG_FIELDS, log_json
 from tidewatch.operators.spacing import greedy_spacing
+from tidewatch.session import shared_dir
 
 SECOND = 1_000_000
 
@@ -20,66 +20,32 @@ def error_logs(df: DataFrame) -> DataFrame:
     return df.filter(F.lower("severity").isin("error", "critical")).withColumn("service", or_default("service", "unknown"))
 
 
-# Largest (service, time slice) that a window function may sort in one task.
-SLICE_ROWS = 5_000_000
-
-
 def trailing_count(
     df: DataFrame,
     window_sec: int = 30,
-    slice_sec: int | None = None,
     by: str = "service",
     ts: str = "ts",
     seq: str = "seq",
     name: str = "trailing_count",
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Number of rows of the same ``by`` value in [ts - window, ts], the row itself and earlier ones.
 
-    A row exactly ``window_sec`` old counts. Rows are grouped by (by, time slice), so one busy service
-    spreads over many tasks; each slice also gets the rows of the last ``window_sec`` before it. The slices
-    are counted first, and if one has more than ``slice_rows`` rows, the ranks of the window's ends are taken
-    from sorted blocks instead, which split any slice.
+    A row exactly ``window_sec`` old counts. The count is the difference of two running totals over sorted blocks: rows up to
+    this one, less rows before its window, for which every row adds a weightless marker sorted before the rows of that time. Blocks
+    split any service. Rows are numbered in a checkpoint, so records delivered again count each, one after the other; a null
+    ``seq`` sorts first, and rows without time or ``by`` stay, with a null count.
     """
-    width = (slice_sec or 10 * window_sec) * SECOND
+    shared_dir(df.sparkSession)
     reach = window_sec * SECOND
-    if width < reach:
-        raise ValueError("slice_sec must be at least window_sec")
-    at = micros(ts)
-    home = F.floor(at / width).cast("bigint")
-    largest = df.groupBy(by, home.alias("_slice")).count().agg(F.max("count")).first()[0] or 0
-    if largest > slice_rows:
-        return _trailing_count_by_rank(df, reach, by, ts, seq, name)
-
-    spill = F.floor((at + reach) / width).cast("bigint")
-    copies = (
-        df.withColumn("_at", at)
-        .withColumn("_home", home)
-        .withColumn("_slice", F.explode(F.when(spill > home, F.array(home, spill)).otherwise(F.array(home))))
-    )
-    ordered = Window.partitionBy(by, "_slice").orderBy("_at", seq)
-    trailing = Window.partitionBy(by, "_slice").orderBy("_at").rangeBetween(-reach, 0)
-    return (
-        copies.withColumn("_rn", F.row_number().over(ordered))
-        .withColumn(name, (F.col("_rn") - F.min("_rn").over(trailing) + 1).cast("bigint"))
-        .filter(F.col("_slice") == F.col("_home"))
-        .drop("_at", "_home", "_slice", "_rn")
-    )
-
-
-def _trailing_count_by_rank(df: DataFrame, reach: int, by: str, ts: str, seq: str, name: str) -> DataFrame:
-    """The same count as a difference of two running totals: rows up to this one, less rows before its window.
-
-    Every row adds a weightless marker at the start of its window, sorted before the rows of that time.
-    """
-    narrow = df.select(by, micros(ts).alias("_at"), seq)
-    ends = narrow.select(by, "_at", F.lit(1).alias("_kind"), seq, F.lit(1).cast("bigint").alias("_w"))
-    starts = narrow.select(by, F.col("_at") - reach, F.lit(0), seq, F.lit(0).cast("bigint"))
-    ranked = running_total(ends.union(starts), [by], ["_at", "_kind", seq], "_w", "_upto")
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    placed = F.coalesce(F.col(seq).cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+    narrow = rows.select(by, micros(ts).alias("_at"), placed.alias("_seq"), "_row").dropna(subset=[by, "_at"])
+    ends = narrow.select(by, "_at", F.lit(1).alias("_kind"), "_seq", "_row", F.lit(1).cast("bigint").alias("_w"))
+    starts = narrow.select(by, F.col("_at") - reach, F.lit(0), "_seq", "_row", F.lit(0).cast("bigint"))
+    ranked = running_total(ends.union(starts), [by], ["_at", "_kind", "_seq", "_row"], "_w", "_upto")
     sign = F.when(F.col("_kind") == 1, F.col("_upto")).otherwise(-F.col("_upto"))
-    event = F.col("_at") + F.when(F.col("_kind") == 1, 0).otherwise(reach)
-    counts = ranked.groupBy(by, event.alias("_at"), seq).agg(F.sum(sign).alias(name))
-    return df.withColumn("_at", micros(ts)).join(counts, [by, "_at", seq]).select(*df.columns, name)
+    counts = ranked.groupBy("_row").agg(F.sum(sign).alias(name))
+    return rows.join(counts, "_row", "left").drop("_row")
 
 
 def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str = "ts", seq: str = "seq") -> DataFrame:
@@ -88,9 +54,10 @@ def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str
     A row can fire when the ``threshold - 1``-th error before it in its service is at most ``window_sec``
     old, and does when at least ``threshold`` errors came since the last fire. Only three narrow columns
     are shuffled, once. Runs jobs, see ``blocks``, and returns the written fires, at most one per
-    ``threshold`` errors.
+    ``threshold`` errors. A record delivered again counts again. Rows without time or number have no place in
+    the order and never fire; ``blocks.unplaced`` gives them for counting or a dead-letter output.
     """
-    narrow = error_logs(df).select("service", micros(ts).alias("_at"), seq)
+    narrow = error_logs(df).select("service", micros(ts).alias("_at"), seq).dropna()
     numbered = number_rows(
         narrow, ["service"], ["_at", seq], lag_of="_at", lag=threshold - 1, lag_name="_old", keep_block=True
     )
@@ -111,13 +78,13 @@ def detect_bursts(
 ) -> DataFrame:
     """ERROR_RATE_SPIKE incidents of parsed logs; the firing log is the sample in ``details``.
 
-    The fires are joined back to the logs for the sample, as a broadcast when they are few. Pass the
-    result of ``burst_fires`` if it is also used elsewhere.
+    The fires are joined back to the logs for the sample, as a broadcast when they are few; of copies of one
+    record, only as many as fired. Pass the result of ``burst_fires`` if it is also used elsewhere.
     """
     if fires is None:
         fires = burst_fires(df, window_sec, threshold, ts, seq)
-    fires = broadcast_if_small(fires)
     logs = error_logs(df).withColumn("_at", micros(ts))
+    fired, _ = picked_and_rest(logs, fires, ["service", "_at", seq])
     details = canonical_json(
         {
             "window_sec": F.lit(window_sec),
@@ -127,7 +94,7 @@ def detect_bursts(
         },
         raw=("sample_log",),
     )
-    return logs.join(fires, ["service", "_at", seq]).select(
+    return fired.select(
         F.coalesce(F.nullif("timestamp", F.lit("")), iso_z(ts)).alias("timestamp"),
         "service",
         F.lit("critical").alias("severity"),
@@ -146,14 +113,13 @@ def all_incidents(
     seq: str = "seq",
     fires: DataFrame | None = None,
 ) -> DataFrame:
-    """One incident stream. A log record on which a burst fired gives no keyword incident.
+    """One incident stream. A log record on which a burst fired gives no keyword incident; other copies of it do.
 
     ``fires`` is the result of ``burst_fires``, cheaper to test against than ``bursts`` itself.
     """
     if fires is None:
         fires = bursts.select("service", micros(ts).alias("_at"), seq)
-    fired = broadcast_if_small(fires.select("service", "_at", seq))
-    keyword = logs.withColumn("_at", micros(ts)).join(fired, ["service", "_at", seq], "left_anti")
+    _, keyword = picked_and_rest(logs.withColumn("_at", micros(ts)), fires.select("service", "_at", seq), ["service", "_at", seq])
     return bursts.unionByName(keyword.select(*logs.columns), allowMissingColumns=True).unionByName(
         anomalies, allowMissingColumns=True
     )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators.blocks import BLOCK, arrow_schema, key_fields, non_empty, sorted_blocks
+from tidewatch.operators.blocks import BLOCK, arrow_schema, key_at, key_fields, key_starts, non_empty, sorted_blocks
 
 State = dict
 Step = Callable[[State, dict], list[dict]]  # changes the state, returns output rows
@@ -57,6 +57,20 @@ def block_fold(
         single = True
         state: State = {}
         for batch in non_empty(batches):
+            if ending is None:
+                # Only the rows of the block's last key decide its end state; keys that end before are passed over.
+                starts = key_starts(batch, keys)
+                begin = int(starts[-1])
+                if first is None:
+                    first = key = key_at(batch, keys, 0)
+                    block = batch.column(BLOCK)[0].as_py()
+                    state = json.loads(entering.get(block, "{}"))
+                last = key_at(batch, keys, begin)
+                if last != key:
+                    key, state, single = last, {}, False
+                for row in batch.slice(begin).to_pylist():
+                    step(state, row)
+                continue
             out: list[dict] = []
             for row in batch.to_pylist():
                 k = tuple(row[c] for c in keys)
@@ -68,7 +82,7 @@ def block_fold(
                     out += finish(state)
                     key, state, single = k, {}, False
                 out += step(state, row)
-            if ending is not None and out:
+            if out:
                 yield pa.RecordBatch.from_pylist(out, schema=out_arrow)
         if first is None:
             return

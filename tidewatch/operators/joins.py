@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else ``df`` for a shuffle join.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint when its rows, written out, have at most ``max_bytes``, else ``df`` for a shuffle join.
 
-    The check counts at most ``max_rows + 1`` rows, so pass a frame that is cheap to read, such as one
+    Every partition adds up its own rows, so no task sees them all. Pass a frame that is cheap to read, such as one
     made from checkpointed blocks.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
+def picked_and_rest(rows: DataFrame, picked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that were picked, the other rows). ``picked`` holds the keys of a row as often as it was picked.
+
+    Records delivered more than once have equal keys; of these as many are taken as were picked.
+    """
+    times = broadcast_if_small(picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")))
+    met = rows.join(times, list(keys))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    met = met.withColumn("_nth", nth)
+    taken = met.filter(F.col("_nth") <= F.col("_times")).select(*rows.columns)
+    left = met.filter(F.col("_nth") > F.col("_times")).select(*rows.columns)
+    return taken, rows.join(times, list(keys), "left_anti").select(*rows.columns).unionByName(left)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from tidewatch.functions.scalars import (
 )
 from tidewatch.operators.bursts import SECOND
 from tidewatch.operators.folds import block_fold
-from tidewatch.operators.joins import broadcast_if_small
+from tidewatch.operators.joins import picked_and_rest
 from tidewatch.operators.spacing import greedy_spacing
 from tidewatch.sources.rulebook import Policy
 
@@ -188,15 +188,18 @@ def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts",
 
     Only an emission starts a cooldown or a TTL. Without the TTL this is greedy spacing, which runs in
     parallel at any key size. The TTL can only matter for a (rule, target) on which spacing emitted some
-    action id twice; just those, normally none, go through the ordered fold.
+    action id twice within it; just those, normally none, go through the ordered fold. An incident delivered again
+    is one more candidate and is silenced like any other. Candidates without a time or number are left out.
     """
     key = ["rule_id", "target_service"]
     order = ["_at", seq, "rule_order"]
     placed = candidates.withColumn("_at", micros(ts))
-    narrow = placed.select(*key, *order, "cooldown_sec", "action_id")
+    narrow = placed.select(*key, *order, "cooldown_sec", "action_id").dropna(subset=[*key, *order])
     spaced = greedy_spacing(narrow, key, "_at", order[1:], F.col("cooldown_sec").cast("bigint") * SECOND).checkpoint()
 
-    repeated = spaced.groupBy(*key, "action_id").count().filter("count > 1").select(*key).distinct()
+    # Without the TTL more would be emitted than with it, so an id that comes back only after its TTL needs no fold.
+    again = F.col("_at") - F.lag("_at").over(Window.partitionBy(*key, "action_id").orderBy(*order))
+    repeated = spaced.withColumn("_since", again).filter(F.col("_since") <= ttl * SECOND).select(*key).distinct()
     if not repeated.isEmpty():
         known = repeated.checkpoint()
         schema = T.StructType([f for f in narrow.schema.fields])
@@ -209,5 +212,5 @@ def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts",
             schema,
         )
         spaced = spaced.join(known, key, "left_anti").unionByName(folded)
-    emitted = broadcast_if_small(spaced.select(*key, *order))
-    return placed.join(emitted, [*key, *order]).select(*candidates.columns)
+    taken, _ = picked_and_rest(placed, spaced.select(*key, *order), [*key, *order])
+    return taken.select(*candidates.columns)

@@ -15,6 +15,7 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,11 @@ from tidewatch.operators.blocks import (
 )
 
 GAP = "_gap"
-# Longest step function that a block sends to the driver. A longer one stays where it is and is
-# evaluated by a job on that block once its starting point is known.
-MAX_STEPS = 10_000
+# Steps that all blocks together send to the driver. If there are more, the functions stay in a table and are composed
+# there; the rows kept are the same.
+SENT_STEPS = 100_000
+# An entry before every position.
+_EARLIEST = -(1 << 61)
 
 
 def _step_function(pos: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +68,75 @@ def _pick(pos: np.ndarray, gap: int, last: int | None) -> tuple[list[int], int |
     return picked, last
 
 
+def _steps(blocks: DataFrame, keys: Sequence[str], pos: str, nodes: dict[int, tuple[int, int]]) -> DataFrame:
+    """``chain, idx, upper, last``: the step functions of single-key blocks as rows; ``nodes`` places a block in its chain."""
+
+    def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []  # positions of one block
+        block = gap = 0
+        for batch in non_empty(batches):
+            block, gap = batch.column(BLOCK)[0].as_py(), batch.column(GAP)[0].as_py()
+            parts.append(batch.column(pos).to_numpy(zero_copy_only=False).astype(np.int64))
+        if parts and block in nodes:
+            upper, last = _step_function(np.concatenate(parts), gap)
+            chain, idx = nodes[block]
+            same = [np.full(len(upper), x, dtype=np.int64) for x in (chain, idx)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, upper, last)], names=["chain", "idx", "upper", "last"])
+
+    return blocks.select(*dict.fromkeys([*keys, pos, GAP, BLOCK])).mapInArrow(functions, _STEPS)
+
+
+_STEPS = "chain long, idx long, upper long, last long"
+
+
+def _composed(steps: DataFrame, gaps: dict[int, int]) -> DataFrame:
+    """Each two neighbours as one function, with half the ``idx``."""
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["idx", "upper"])
+        left, right = pdf[pdf.idx % 2 == 0], pdf[pdf.idx % 2 == 1]
+        chain, idx = int(pdf.chain.iloc[0]), int(pdf.idx.iloc[0]) // 2
+        ends = left["last"].to_numpy(copy=True)
+        if len(right):
+            at = np.searchsorted(right.upper.to_numpy(), ends + gaps[chain])
+            reached = at < len(right)
+            ends[reached] = right["last"].to_numpy()[at[reached]]
+        # What enters behind the left block goes straight to the right one.
+        behind = right[right.upper > left.upper.max()] if len(left) else right
+        upper, last = np.append(left.upper, behind.upper), np.append(ends, behind["last"])
+        keep = np.append(last[1:] != last[:-1], True)
+        return pd.DataFrame({"chain": chain, "idx": idx, "upper": upper[keep], "last": last[keep]})
+
+    return steps.groupBy("chain", F.floor(F.col("idx") / 2).alias("half")).applyInPandas(lambda pdf: compose(pdf), _STEPS)
+
+
+def _exits(steps: DataFrame, entries: dict[tuple[int, int], int], gaps: dict[int, int]) -> dict[tuple[int, int], int]:
+    """The next allowed position behind each (chain, idx) that is entered at the given one."""
+    asked = steps.sparkSession.createDataFrame([(c, i, x) for (c, i), x in entries.items()], "chain long, idx long, entry long")
+    met = steps.join(F.broadcast(asked), ["chain", "idx"]).filter("upper >= entry")
+    found = met.groupBy("chain", "idx").agg(F.min_by("last", "upper").alias("last")).collect()
+    return entries | {(r["chain"], r["idx"]): r["last"] + gaps[r["chain"]] for r in found}
+
+
+def _walk(steps: DataFrame, starts: dict[int, int], sizes: dict[int, int], gaps: dict[int, int]) -> tuple[dict, dict]:
+    """(entry, exit) of every (chain, idx): functions are composed pairwise upwards, then entries are handed down.
+
+    Two short jobs per level, and as many levels as the logarithm of the longest chain.
+    """
+    levels = [steps.checkpoint()]
+    counts = [sizes]
+    while max(counts[-1].values()) > 1:
+        levels.append(_composed(levels[-1], gaps).checkpoint())
+        counts.append({c: -(-n // 2) for c, n in counts[-1].items()})
+    entries = {(c, 0): x for c, x in starts.items()}
+    for level in range(len(levels) - 2, -1, -1):
+        lefts = {(c, 2 * i): x for (c, i), x in entries.items()}
+        behind = _exits(levels[level], lefts, gaps)
+        rights = {(c, i + 1): x for (c, i), x in behind.items() if i + 1 < counts[level][c]}
+        entries = lefts | rights
+    return entries, _exits(levels[0], entries, gaps)
+
+
 def _summaries(blocks: DataFrame, keys: Sequence[str], pos: str, max_steps: int) -> list:
     def summarize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last_key = None
@@ -130,7 +202,7 @@ def greedy_spacing(
     ties: Sequence[str],
     gap: int | Column,
     blocks: int | None = None,
-    max_steps: int = MAX_STEPS,
+    max_steps: int = SENT_STEPS,
     presorted: bool = False,
 ) -> DataFrame:
     """Rows kept by the greedy rule, in (keys, pos, ties) order, first row of a key always kept.
@@ -142,7 +214,8 @@ def greedy_spacing(
     cut = df.withColumn(GAP, F.greatest(gap_col.cast("bigint"), F.lit(0).cast("bigint")))
     if not presorted:
         cut = sorted_blocks(cut, keys, [pos, *ties], blocks)
-    summaries = _summaries(cut, keys, pos, max_steps)
+    sent = max_steps // (blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    summaries = _summaries(cut, keys, pos, sent)
     out_schema = T.StructType([f for f in df.schema.fields if f.name != BLOCK])
     kept = out_schema.names
 
@@ -166,28 +239,51 @@ def greedy_spacing(
             if rows:
                 yield batch.select(kept).take(pa.array(rows, type=pa.int64()))
 
-    def last_of_block(block: int, entry: int | None) -> int | None:
-        """Evaluate one block whose step function was too long to send."""
-        start = {} if entry is None else {block: entry}
-        one = cut.filter(F.col(BLOCK) == block).mapInArrow(lambda it: select(it, start), out_schema)
-        found = one.agg(F.max(pos)).first()[0]
-        return entry if found is None else found
-
     entering: dict[int, int] = {}
-    running = last = None
-    for s in summaries:
-        first = tuple(s["first_" + k] for k in keys)
-        if running != first:
-            last = None
-        elif last is not None:
-            entering[s[BLOCK]] = last
-        if not s["single"]:
-            last = s["last"]
-        elif not s["complete"]:
-            last = last_of_block(s[BLOCK], last)
-        else:
-            j = 0 if last is None else bisect_left(s["upper"], last + s["gap"])
-            last = s["ends"][j] if j < len(s["ends"]) else last
-        running = tuple(s["last_" + k] for k in keys)
+    if all(s["complete"] for s in summaries):
+        running = last = None
+        for s in summaries:
+            first = tuple(s["first_" + k] for k in keys)
+            if running != first:
+                last = None
+            elif last is not None:
+                entering[s[BLOCK]] = last
+            if not s["single"]:
+                last = s["last"]
+            else:
+                j = 0 if last is None else bisect_left(s["upper"], last + s["gap"])
+                last = s["ends"][j] if j < len(s["ends"]) else last
+            running = tuple(s["last_" + k] for k in keys)
+    else:
+        # Neighbouring blocks of one key are a chain. What enters a chain is known: its key began in the block before, or begins here.
+        nodes: dict[int, tuple[int, int]] = {}
+        starts: dict[int, int] = {}
+        sizes: dict[int, int] = {}
+        gaps: dict[int, int] = {}
+        follows: list[tuple[int, int]] = []  # a block of several keys, and the chain that its first key goes on from
+        running = last = chain = None
+        for s in summaries:
+            first = tuple(s["first_" + k] for k in keys)
+            if running != first:
+                last = chain = None
+            if s["single"]:
+                if chain is None:
+                    chain = len(starts)
+                    starts[chain], sizes[chain], gaps[chain] = _EARLIEST if last is None else last + s["gap"], 0, s["gap"]
+                nodes[s[BLOCK]] = (chain, sizes[chain])
+                sizes[chain] += 1
+            else:
+                if chain is not None:
+                    follows.append((s[BLOCK], chain))
+                elif last is not None:
+                    entering[s[BLOCK]] = last
+                last, chain = s["last"], None
+            running = tuple(s["last_" + k] for k in keys)
+        entries, exits = _walk(_steps(cut, keys, pos, nodes), starts, sizes, gaps)
+        for block, (c, i) in nodes.items():
+            if entries[c, i] != _EARLIEST:
+                entering[block] = entries[c, i] - gaps[c]
+        for block, c in follows:
+            entering[block] = exits[c, sizes[c] - 1] - gaps[c]
 
     return cut.mapInArrow(lambda it: select(it, entering), out_schema)

@@ -39,21 +39,19 @@ def _uniform(*parts: Column) -> Column:
 
 
 def tree_samples(df: DataFrame, n_rows: int, n_trees: int, sample: int, seed: int, seq: str) -> DataFrame:
-    """About ``2 * sample`` rows for every tree, with ``tree_id`` and the draw ``_u`` that orders them.
+    """The rows that may belong to a tree's sample, with ``tree_id`` and the draw ``_u`` that orders them.
 
-    Membership hangs on hashes of ``seq``, so a repeated task draws the same rows. On large data a row is
-    drawn at most once and then given a tree, which costs two hashes per row whatever the number of trees.
+    Each (row, tree) has a draw that hangs on ``seq`` alone, so a repeated task draws the same. Draws below a limit that
+    leaves every tree ``sample`` rows with near certainty are kept; a row is copied only for trees that take it.
     """
-    want = 2 * sample
-    if n_rows >= 2 * want * n_trees:
-        drawn = _uniform(F.col(seq), F.lit(seed)) < want * n_trees / n_rows
-        tree = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(seq)), F.lit(n_trees)).cast("int")
-        out = df.filter(drawn).withColumn("tree_id", tree)
-        return out.withColumn("_u", _uniform(F.col(seq), F.lit(seed + 2)))
-    # Few rows: each may serve several trees.
-    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
-    out = df.withColumn("tree_id", trees).withColumn("_u", _uniform(F.col(seq), F.col("tree_id"), F.lit(seed)))
-    return out.filter(F.col("_u") < min(1.0, want / n_rows))
+    want = sample + 6 * math.sqrt(sample) + 30
+    limit = min(1.0, want / n_rows)
+
+    def draw(tree: Column) -> Column:
+        return _uniform(F.col(seq), tree, F.lit(seed))
+
+    taking = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < limit)
+    return df.withColumn("tree_id", F.explode(taking)).withColumn("_u", draw(F.col("tree_id")))
 
 
 def grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
@@ -168,6 +166,8 @@ def fit_forest(
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf.tree_id.iloc[0])
         chosen = pdf.sort_values(["_u", seq]).head(size)
+        if len(chosen) < size:
+            raise ValueError(f"tree {tree} has {len(chosen)} of {size} rows; {seq} must identify rows")
         rng = np.random.default_rng([seed, tree])
         nodes = grow_tree(chosen[names].to_numpy(dtype=float), rng, max_depth)
         table = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left", "right", "size", "depth"])
@@ -178,6 +178,8 @@ def fit_forest(
     # The samples are small, so adaptive execution would put all trees into one task; a fixed number stays.
     slots = min(n_trees, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     nodes = drawn.repartition(slots, "tree_id").groupBy("tree_id").applyInPandas(build, NODE_SCHEMA).toPandas()
+    if nodes.tree_id.nunique() < n_trees:
+        raise ValueError(f"{nodes.tree_id.nunique()} of {n_trees} trees have rows; {seq} must identify rows")
     model = ForestModel(nodes, tuple(features), size)
     scores = x.select(model.raw_score(x).alias("s"))
     offset = exact_percentile(scores, "s", contamination).first()[0]

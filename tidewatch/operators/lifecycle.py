@@ -35,7 +35,9 @@ def lifecycle(
 
     acted = earliest(intents, "action_id", "intent_at", ["incident_id", "rule_id", "action_type", "target_service"])
     opened = earliest(incidents, "incident_id", "incident_at", ["service", "incident_type"])
-    out = opened.join(acted, "incident_id", "left").join(outcome, "action_id", "left")
+    # Results meet their intents first: incidents without an action would all carry the same null key.
+    handled = acted.join(outcome, "action_id", "left")
+    out = opened.join(handled, "incident_id", "left")
 
     def seconds(later: str, earlier: str):
         return (micros(later) - micros(earlier)) / 1e6

@@ -55,6 +55,10 @@ def test_log_lines(spark):
     assert (second.service, second.severity) == ("unknown", "info") and json.loads(second.message) == {"topic": "logs_parsed"}
     assert json.loads(by["nested", "2024-01-02T00:00:00Z"].message) == {"a": 1, "b": "x"}
     assert json.loads(by["plain", "2024-01-02T00:00:00Z"].message) == {"service": "s", "n": 3, "topic": "plain"}
+    assert json.loads(first.line) == {"message": "hello", "service": "", "severity": "warn", "timestamp": iso(5), "topic": "logs_parsed"}
+    assert json.loads(by["nested", "2024-01-02T00:00:00Z"].line) == {"message": {"a": 1, "b": "x"}, "topic": "nested"}
+    found = S.select_logs(S.log_lines({"logs_parsed": logs}, now=now), json_fields={"at": "$.timestamp"}, where="at IS NOT NULL")
+    assert [r.at for r in found.collect()] == [iso(5)]
 
 
 def lines(spark, n=3000):
@@ -174,12 +178,15 @@ def test_forest(spark, tmp_path):
     assert a == [r.anomaly_score for r in loaded.score(odd).orderBy("seq").collect()]
 
 
-def test_large_data_is_sampled_once_per_row(spark):
+def test_every_tree_can_take_its_full_sample(spark):
     df = spark.range(40_000).withColumnRenamed("id", "seq")
     out = tree_samples(df, 40_000, 10, 50, 1, "seq")
-    assert out.count() == out.select("seq").distinct().count()
     sizes = [r["count"] for r in out.groupBy("tree_id").count().collect()]
-    assert len(sizes) == 10 and all(50 <= s <= 160 for s in sizes)
+    assert len(sizes) == 10 and all(50 <= s <= 250 for s in sizes)
+    few = spark.range(30).withColumnRenamed("id", "seq")
+    assert {r["count"] for r in tree_samples(few, 30, 10, 30, 1, "seq").groupBy("tree_id").count().collect()} == {30}
+    with pytest.raises(ValueError, match="identify"):
+        fit_forest(spark.range(40_000).select(F.lit(7).alias("seq"), F.col("id").cast("double").alias("v")), ("v",), n_trees=10)
 
 
 def test_average_path():

@@ -224,9 +224,21 @@ def test_latest_skips_what_is_there(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "topic")
     source.mkdir()
     (source / "old.json").write_text('{"service":"old"}\n')
-    stream = read_topic(spark, "logs_raw", path=str(source), start="latest", stream=True).drop("_malformed")
+    checkpoint = str(tmp_path / "cp")
+
+    def stream():
+        return read_topic(spark, "logs_raw", path=str(source), start="latest", stream=True, checkpoint=checkpoint).drop("_malformed")
+
+    first = stream()
     (source / "new.json").write_text('{"service":"new"}\n')
     later = os.stat(source / "old.json").st_mtime + 10
     os.utime(source / "new.json", (later, later))
-    sinks.write_topic_stream(stream, "latest", str(tmp_path / "cp"), path=target).awaitTermination()
+    sinks.write_topic_stream(first, "latest", checkpoint, path=target).awaitTermination()
     assert plain(read_topic(spark, "logs_raw", path=target), "service") == [("new",)]
+    # What comes while the query is stopped is delivered when it runs again.
+    (source / "between.json").write_text('{"service":"between"}\n')
+    os.utime(source / "between.json", (later + 10, later + 10))
+    sinks.write_topic_stream(stream(), "latest", checkpoint, path=target).awaitTermination()
+    assert sorted(plain(read_topic(spark, "logs_raw", path=target), "service")) == [("between",), ("new",)]
+    with pytest.raises(ValueError):
+        read_topic(spark, "logs_raw", path=str(source), start="latest", stream=True)

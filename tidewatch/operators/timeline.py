@@ -167,6 +167,14 @@ def tail(df: DataFrame, n: int = 100, ts: str = "ts", seq: str = "seq", **labels
     return out.orderBy(F.desc(ts), F.desc(seq)).limit(n)
 
 
+def between_days(df: DataFrame, start: Column, end: Column | None = None, day: str = "dt") -> DataFrame:
+    """Leaves out whole days of a written store; without a ``day`` column nothing."""
+    if day not in df.columns:
+        return df
+    out = df.filter(F.col(day) >= F.to_date(start))
+    return out if end is None else out.filter(F.col(day) <= F.to_date(end))
+
+
 def query_range(
     df: DataFrame,
     start: datetime | str | Column,
@@ -182,15 +190,26 @@ def query_range(
     def moment(x: datetime | str | Column) -> Column:
         return x if isinstance(x, Column) else F.lit(x).cast("timestamp")
 
-    out = df.filter((F.col(ts) >= moment(start)) & (F.col(ts) <= moment(end)))
+    out = between_days(df, moment(start), moment(end)).filter((F.col(ts) >= moment(start)) & (F.col(ts) <= moment(end)))
     for name, value in labels.items():
         out = out.filter(F.col(name) == value)
     turn = F.asc if direction == "forward" else F.desc
     return out.orderBy(turn(ts), turn(seq)).limit(limit)
 
 
-def freshness(df: DataFrame, now: datetime | str | Column, seconds: int = 600, by: str = "topic", ts: str = "ts") -> DataFrame:
-    """Newest line per topic, and whether it is at most ``seconds`` old."""
+def freshness(
+    df: DataFrame, now: datetime | str | Column, seconds: int = 600, by: str = "topic", ts: str = "ts", known: Sequence[str] | None = None
+) -> DataFrame:
+    """Newest line per topic, and whether it is at most ``seconds`` old.
+
+    With the topics that should be there (``known``), only the last ``seconds`` are read, which on a written store opens the last
+    days alone; a topic without a line since then has a null ``newest`` and isn't fresh.
+    """
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
-    fresh = F.col("newest") >= now - F.expr(f"INTERVAL {seconds} SECONDS")
+    oldest = now - F.expr(f"INTERVAL {seconds} SECONDS")
+    fresh = F.col("newest") >= oldest
+    if known is not None:
+        recent = between_days(df, oldest).filter(F.col(ts) >= oldest).groupBy(by).agg(F.max(ts).alias("newest"))
+        names = df.sparkSession.createDataFrame([(k,) for k in known], f"{by} string")
+        return names.join(recent, by, "left").withColumn("fresh", F.coalesce(fresh, F.lit(False)))
     return df.groupBy(by).agg(F.max(ts).alias("newest")).withColumn("fresh", fresh)

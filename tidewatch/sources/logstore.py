@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import iso_z, parse_ts
-from tidewatch.sources.topics import PROVENANCE, union_topics
+from tidewatch.sources.topics import union_topics
 
 LABELS = ("source", "topic", "service", "severity")
 PARTITIONS = ("dt", "topic", "severity")
@@ -20,7 +20,8 @@ def normalize_log_lines(df: DataFrame, topic: str | None = None, now: Column | N
 
     A text message is kept, any other message becomes JSON text, and a record without message becomes JSON of
     the whole record. Missing service, severity and topic become unknown, info and unknown; blank ones stay.
-    ``ts`` is the parsed record time, or ``now`` where there is none. The ``clock`` columns are not part of the record.
+    ``ts`` is the parsed record time, or ``now`` where there is none. ``line`` is the JSON of the whole record, topic and (from
+    Kafka) partition, offset and headers included. The ``clock`` columns are not part of the record.
     """
     now = F.current_timestamp() if now is None else now
     name = F.lit(topic) if topic is not None else (F.col("topic") if "topic" in df.columns else F.lit(None))
@@ -45,6 +46,7 @@ def normalize_log_lines(df: DataFrame, topic: str | None = None, now: Column | N
         label("service", "unknown").alias("service"),
         label("severity", "info").alias("severity"),
         message.alias("message"),
+        record.alias("line"),
         F.coalesce(given, iso_z(at)).alias("timestamp"),
         at.alias("ts"),
         (F.col("seq") if "seq" in df.columns else F.lit(None).cast("bigint")).alias("seq"),
@@ -102,14 +104,15 @@ def select_logs(
 ) -> DataFrame:
     """Lines whose labels equal the given values; on a written store topic and severity prune partitions.
 
-    ``json_fields`` maps new columns to paths such as ``$.trace_id`` in the message; a field whose name is
-    already a label does not replace it. ``where`` filters after the extraction.
+    ``json_fields`` maps new columns to paths such as ``$.trace_id`` in the whole record (``line``; the message
+    of lines kept without it); a field whose name is already a label does not replace it. ``where`` filters after the extraction.
     """
     out = df
     for name, value in labels.items():
         out = out.filter(F.col(name) == value)
+    record = "line" if "line" in df.columns else "message"
     extracted = {
-        c: F.get_json_object("message", p) for c, p in (json_fields or {}).items() if c not in LABELS
+        c: F.get_json_object(record, p) for c, p in (json_fields or {}).items() if c not in LABELS
     }
     out = out.withColumns(extracted) if extracted else out
     return out if where is None else out.filter(where)

@@ -12,7 +12,6 @@ from tidewatch.functions.scalars import as_col
 from tidewatch.schemas import TOPICS
 
 MALFORMED = "_malformed"
-PROVENANCE = ("topic", "partition", "offset", "headers")
 
 
 def _schema(name: str, schema: str | T.StructType | None) -> T.StructType:
@@ -51,6 +50,18 @@ def _kafka(spark: SparkSession, topics: Sequence[str], start: str, stream: bool,
     return reader.load().select("topic", "partition", "offset", "headers", "value")
 
 
+def _cutoff(spark: SparkSession, path: str, checkpoint: str | None) -> str:
+    """Up to when files count as old: kept beside the checkpoint once it is known, and read again after that."""
+    if checkpoint is None:
+        raise ValueError("start='latest' on a folder needs the checkpoint that the query will use")
+    kept = f"{checkpoint.rstrip('/')}-start"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        newest = spark.read.format("binaryFile").load(path).agg(F.max("modificationTime").cast("string").alias("value"))
+        newest.select(F.coalesce("value", F.lit("1970-01-01 00:00:00")).alias("value")).write.text(kept)
+    return spark.read.text(kept).first()["value"]
+
+
 def read_topic(
     spark: SparkSession,
     name: str,
@@ -61,12 +72,14 @@ def read_topic(
     stream: bool = False,
     empty_as: str = "{}",
     options: Mapping[str, str] | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Typed records of one topic, with ``topic`` and, from Kafka, partition, offset and headers.
 
     ``fmt="kafka"`` subscribes to the topic (``options`` name the brokers); ``fmt="json"`` reads JSON lines
     below ``path``. ``start`` is earliest or latest: it counts for the first run of a streaming query, after
-    that its checkpoint does; for folders, latest skips files that are there when the stream is defined.
+    that its checkpoint does. For folders, latest skips files that are there when the stream is first defined; ``checkpoint`` names the
+    query's checkpoint folder, beside which that moment is kept, so that a restart delivers what came meanwhile.
     """
     layout = _schema(name, schema)
     options = dict(options or {})
@@ -76,9 +89,7 @@ def read_topic(
         if path is None:
             raise ValueError("fmt='json' needs a path")
         if start == "latest" and stream:
-            newest = spark.read.format("binaryFile").load(path).agg(F.max("modificationTime")).first()[0]
-            if newest is not None:
-                options.setdefault("_after", newest.isoformat())
+            options["_after"] = _cutoff(spark, path, checkpoint)
         after = options.pop("_after", None)
         lines = (spark.readStream if stream else spark.read).options(**options).schema("value string").format("text")
         raw = lines.load(path)

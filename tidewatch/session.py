@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +53,25 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Lets the Python workers of executors import this package, wherever the driver was started; once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewatch_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidewatch-package-")  # the driver hands the file out to executors as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tidewatch-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.join("tidewatch", os.path.relpath(full, root)))
+    context.addPyFile(path)
+    context._tidewatch_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, for a table this run writes."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

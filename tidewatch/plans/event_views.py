@@ -41,11 +41,11 @@ def events(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
 def logs_raw(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     digit = F.col("k") % 10
     message = (
-        F.when(digit == 0, F.concat(F.lit("authentication failed for user_id="), F.col("user_id").cast("string")))
-        .when(digit == 1, "db connection slow: p95=850ms")
-        .when(digit == 2, "payment request timeout: upstream=gateway")
-        .when(digit == 3, "cache miss rate elevated")
-        .otherwise(F.concat(F.lit("synthetic log #"), F.col("seq").cast("string")))
+        F.when(digit == 0, F.concat(F.lit("sign-in refused, authentication failed: account "), F.col("user_id").cast("string")))
+        .when(digit == 1, "pool warning: db connection slow again")
+        .when(digit == 2, "no answer in time, request timeout at the till")
+        .when(digit == 3, "too many a cache miss since midnight")
+        .otherwise(F.concat(F.lit("nothing to report, entry "), F.col("seq").cast("string")))
     )
     return events(spark, folder, stream).select(
         "timestamp",

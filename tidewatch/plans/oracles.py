@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from tidewatch.operators.approvals import ACTION_MESSAGES
-from tidewatch.plans.registered import LIMITS
-from tidewatch.sources.rulebook import DEFAULT_CONFIG
-
+# Values of the queries' limits, rules, aliases and messages, written out here so that a wrong one elsewhere shows.
+WINDOW_SEC, BURST, CPU, MEM, LAT = 30, 4, 55, 65, 100
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
 EVENTS = f"""
@@ -23,11 +21,11 @@ LOGS = (
     + """,
 logs AS (
   SELECT seq, tm, sec, timestamp, service, 'trace-' || seq AS trace_id,
-         CASE k % 10 WHEN 0 THEN 'authentication failed for user_id=' || user_id
-                     WHEN 1 THEN 'db connection slow: p95=850ms'
-                     WHEN 2 THEN 'payment request timeout: upstream=gateway'
-                     WHEN 3 THEN 'cache miss rate elevated'
-                     ELSE 'synthetic log #' || seq END AS message,
+         CASE k % 10 WHEN 0 THEN 'sign-in refused, authentication failed: account ' || user_id
+                     WHEN 1 THEN 'pool warning: db connection slow again'
+                     WHEN 2 THEN 'no answer in time, request timeout at the till'
+                     WHEN 3 THEN 'too many a cache miss since midnight'
+                     ELSE 'nothing to report, entry ' || seq END AS message,
          CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'warn' WHEN 'purchase' THEN 'debug'
                          ELSE 'info' END AS severity,
          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' WHEN 'purchase' THEN 'DEBUG'
@@ -87,11 +85,11 @@ scored AS (
 ml AS (
   SELECT seq, tm, sec, timestamp, service, cpu_avg_5, memory_avg_5, latency_avg_5, -far / 100 AS anomaly_score,
          far > 0 AS is_anomaly,
-         CASE WHEN NOT far > 0 THEN 'NONE' WHEN cpu_avg_5 > {LIMITS.cpu} THEN 'CPU_SPIKE'
-              WHEN latency_avg_5 > {LIMITS.lat} THEN 'LATENCY_SPIKE'
-              WHEN memory_avg_5 > {LIMITS.mem} THEN 'MEMORY_SPIKE' ELSE 'UNKNOWN_ANOMALY' END AS anomaly_type,
-         CASE WHEN NOT far > 0 THEN 'info' WHEN cpu_avg_5 > {LIMITS.cpu} THEN 'warn'
-              WHEN latency_avg_5 > {LIMITS.lat} THEN 'error' ELSE 'warn' END AS severity
+         CASE WHEN NOT far > 0 THEN 'NONE' WHEN cpu_avg_5 > {CPU} THEN 'CPU_SPIKE'
+              WHEN latency_avg_5 > {LAT} THEN 'LATENCY_SPIKE'
+              WHEN memory_avg_5 > {MEM} THEN 'MEMORY_SPIKE' ELSE 'UNKNOWN_ANOMALY' END AS anomaly_type,
+         CASE WHEN NOT far > 0 THEN 'info' WHEN cpu_avg_5 > {CPU} THEN 'warn'
+              WHEN latency_avg_5 > {LAT} THEN 'error' ELSE 'warn' END AS severity
   FROM scored),
 an AS (
   SELECT seq, tm, sec, timestamp, service, severity, anomaly_type AS incident_type, 'ml_output' AS source
@@ -100,11 +98,11 @@ an AS (
 
 BURSTS = f""",
 num AS MATERIALIZED (
-  SELECT *, row_number() OVER w AS rn, lag(sec, {LIMITS.burst - 1}) OVER w AS old
+  SELECT *, row_number() OVER w AS rn, lag(sec, {BURST - 1}) OVER w AS old
   FROM logj WHERE severity IN ('error', 'critical') WINDOW w AS (PARTITION BY service ORDER BY sec, seq)),
-cand AS MATERIALIZED (SELECT service, rn FROM num WHERE sec - old <= {LIMITS.window_sec}),
+cand AS MATERIALIZED (SELECT service, rn FROM num WHERE sec - old <= {WINDOW_SEC}),
 nx AS MATERIALIZED (
-  SELECT a.service, a.rn, min(b.rn) AS nrn FROM cand a JOIN cand b ON a.service = b.service AND b.rn >= a.rn + {LIMITS.burst}
+  SELECT a.service, a.rn, min(b.rn) AS nrn FROM cand a JOIN cand b ON a.service = b.service AND b.rn >= a.rn + {BURST}
   GROUP BY a.service, a.rn),
 fire AS (
   SELECT service, min(rn) AS rn FROM cand GROUP BY service
@@ -113,7 +111,7 @@ fire AS (
 bu AS (
   SELECT n.seq, n.tm, n.sec, n.timestamp, n.service, 'critical' AS severity, 'ERROR_RATE_SPIKE' AS incident_type,
          'logs_parsed' AS source,
-         '{{"count":{LIMITS.burst},"sample_log":' || js || ',"threshold":{LIMITS.burst},"window_sec":{LIMITS.window_sec}}}' AS details
+         '{{"count":{BURST},"sample_log":' || js || ',"threshold":{BURST},"window_sec":{WINDOW_SEC}}}' AS details
   FROM num n JOIN fire f ON n.service = f.service AND n.rn = f.rn)"""
 
 
@@ -134,8 +132,9 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
 
 
-ALIASES = f""",
-alias(a, c) AS (VALUES {_values(list(DEFAULT_CONFIG["service_aliases"].items()))})"""
+ALIASES = """,
+alias(a, c) AS (VALUES ('payment-service', 'payments'), ('payments-service', 'payments'), ('auth-service', 'auth'),
+                       ('db-service', 'db'), ('orders-service', 'orders'))"""
 
 CANON = """,
 canon AS (
@@ -147,14 +146,11 @@ canon AS (
   FROM spelled s LEFT JOIN alias ON a = lower(trim(s.service)))"""
 
 
-def _parameters(rule: dict) -> str:
-    items = sorted(rule["parameters"].items())
-    return "{" + ",".join(f'"{k}":' + (str(v) if isinstance(v, int) else f'"{v}"') for k, v in items) + "}"
-
-
 _RULES = [
-    (r["rule_id"], r["incident_type"], 2 if r["min_severity"] == "error" else 1, r["action_type"], _parameters(r), r["cooldown_sec"])
-    for r in DEFAULT_CONFIG["rules"]
+    ("cpu_spike_scale_up", "CPU_SPIKE", 1, "SCALE_UP", '{"reason":"cpu spike","replicas_delta":1}', 120),
+    ("latency_spike_scale_up", "LATENCY_SPIKE", 1, "SCALE_UP", '{"reason":"latency spike","replicas_delta":1}', 120),
+    ("error_rate_rolling_restart", "ERROR_RATE_SPIKE", 2, "ROLLING_RESTART", '{"reason":"error rate spike"}', 180),
+    ("memory_spike_restart", "MEMORY_SPIKE", 1, "ROLLING_RESTART", '{"reason":"memory spike"}', 300),
 ]
 
 SPIKES = """,
@@ -199,7 +195,7 @@ emitted AS (SELECT acts.* FROM acts JOIN kept USING (rule_id, target_service, se
 
 _MESSAGE = " ".join(
     f"WHEN '{name}' THEN " + "'" + text.replace("{}", "' || target_service || '") + "'"
-    for name, text in ACTION_MESSAGES.items()
+    for name, text in (("SCALE_UP", "Scaled up {}"), ("ROLLING_RESTART", "Performed rolling restart on {}"))
 )
 APPROVALS = f""",
 answered AS (
@@ -296,6 +292,38 @@ ORACLES: dict[str, str] = {
         """SELECT seq, service, count(*) OVER (PARTITION BY service ORDER BY sec RANGE BETWEEN 30 PRECEDING AND CURRENT ROW)
            AS trailing_count FROM logs WHERE severity IN ('error', 'critical')""",
     ),
+    "error_window_counts_redelivered": _q(
+        LOGS
+        + """,
+timed AS (SELECT seq, service, CASE WHEN seq % 11 = 0 THEN NULL ELSE sec END AS sec FROM logs WHERE severity IN ('error', 'critical')),
+copies AS (SELECT *, 0 AS c FROM timed UNION ALL SELECT *, 1 FROM timed WHERE seq % 7 = 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY service ORDER BY sec, seq, c) AS rn FROM copies WHERE sec IS NOT NULL)""",
+        """SELECT seq, service, rn - min(rn) OVER (PARTITION BY service ORDER BY sec RANGE BETWEEN 30 PRECEDING AND CURRENT ROW) + 1
+                  AS trailing_count FROM placed
+           UNION ALL SELECT seq, service, NULL FROM copies WHERE sec IS NULL""",
+    ),
+    "forest_fixed_scores": _q(
+        EVENTS
+        + METRICS
+        + """,
+mean AS (
+  SELECT n, CASE WHEN n = 1 THEN 0.0 WHEN n = 2 THEN 1.0 ELSE 2 * (ln(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n END AS path
+  FROM (SELECT unnest([1.0, 2.0, 55.0, 200.0, 254.0, 256.0])::DOUBLE AS n)),
+leaf AS (
+  SELECT seq, CASE WHEN cpu_avg_5 <= 50 THEN 200 WHEN latency_avg_5 <= 90 THEN 55 ELSE 1 END AS n0,
+         CASE WHEN cpu_avg_5 <= 50 THEN 1 ELSE 2 END AS d0, CASE WHEN memory_avg_5 <= 40 THEN 2 ELSE 254 END AS n1
+  FROM met),
+scored AS (
+  SELECT seq, 0.5 - pow(2, -(d0 + a.path + 1 + b.path) / 2 / whole.path) AS s
+  FROM leaf JOIN mean a ON a.n = n0 JOIN mean b ON b.n = n1 JOIN mean whole ON whole.n = 256)""",
+        "SELECT seq, round(s, 9) AS anomaly_score, s < 0 AS is_anomaly FROM scored",
+    ),
+    "forest_fit_summary": """
+        SELECT 100 AS trees, least(256, count(*))::INT AS smallest_root, least(256, count(*))::INT AS largest_root,
+               TRUE AS depth_bounded, TRUE AS share_flagged FROM events""",
+    "json_fields": _q(
+        LOGS, "SELECT seq, severity, message, trace_id, original_level FROM logs",
+    ),
     "error_bursts": _q(
         LOGS + BURSTS, "SELECT timestamp, service, severity, incident_type, source, details, seq FROM bu", True
     ),
@@ -486,6 +514,8 @@ line AS (
 
 ORACLES["stream_enrich_global"] = ORACLES["enrich_metrics_global"]
 ORACLES["stream_bursts"] = ORACLES["error_bursts"]
+ORACLES["stream_enrich_by_service"] = ORACLES["enrich_metrics_by_service"]
+ORACLES["stream_bursts_keyed"] = ORACLES["error_bursts"]
 ORACLES["stream_cooldown"] = ORACLES["intents_after_cooldown"]
 ORACLES["stream_approvals"] = _q(
     PLAIN_SPIKES,

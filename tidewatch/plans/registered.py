@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from tidewatch.operators import metrics as M
 from tidewatch.operators import remediation as R
 from tidewatch.operators import timeline as L
 from tidewatch.operators.approvals import route_actions
-from tidewatch.operators.forest import fit_forest
+from tidewatch.operators.forest import ForestModel, fit_forest
 from tidewatch.operators.lifecycle import lifecycle, match_by_keys, missing
 from tidewatch.operators.logs import log_incidents, normalize_logs
 from tidewatch.plans import event_views as V
@@ -24,7 +25,7 @@ from tidewatch.sources import logstore as S
 from tidewatch.sources import topics as T
 from tidewatch.sources.rulebook import load_rules
 from tidewatch.streaming import sinks
-from tidewatch.streaming.operators import resolve_approvals_stream
+from tidewatch.streaming.operators import detect_bursts_stream, resolve_approvals_stream, rolling_stats_stream
 
 # Limits at which the test events, one per second, give incidents of every kind.
 LIMITS = Limits(window_sec=30, burst=4, cpu=55, mem=65, lat=100)
@@ -96,6 +97,14 @@ def error_window_counts(spark, sf):
     return B.trailing_count(errors, 30).select("seq", "service", "trailing_count")
 
 
+def error_window_counts_redelivered(spark, sf):
+    """Every 7th record comes twice, every 11th has no time."""
+    errors = parsed(spark, sf).filter(F.col("severity").isin("error", "critical"))
+    errors = errors.withColumn("ts", F.when(F.col("seq") % 11 != 0, F.col("ts")))
+    twice = errors.unionByName(errors.filter(F.col("seq") % 7 == 0))
+    return B.trailing_count(twice, 30).select("seq", "service", "trailing_count")
+
+
 def error_bursts(spark, sf):
     out, _, _ = log_incident_stream(parsed(spark, sf), LIMITS)
     return out.drop("ts")
@@ -170,6 +179,33 @@ def forest_scores(spark, sf):
     return scored.select("seq", "service", "severity", "anomaly_type", r9("anomaly_score"), "is_anomaly")
 
 
+def forest_fixed_scores(spark, sf):
+    """A forest of two written-out trees."""
+    columns = ["tree_id", "node_id", "feature", "threshold", "left", "right", "size", "depth"]
+    nodes = [
+        (0, 0, 0, 50.0, 1, 2, 256, 0), (0, 1, -1, 0.0, -1, -1, 200, 1), (0, 2, 2, 90.0, 3, 4, 56, 1),
+        (0, 3, -1, 0.0, -1, -1, 55, 2), (0, 4, -1, 0.0, -1, -1, 1, 2),
+        (1, 0, 1, 40.0, 1, 2, 256, 0), (1, 1, -1, 0.0, -1, -1, 2, 1), (1, 2, -1, 0.0, -1, -1, 254, 1),
+    ]
+    model = ForestModel(pd.DataFrame(nodes, columns=columns), M.FEATURES, 256, -0.5)
+    return model.score(enriched(spark, sf)).select("seq", r9("anomaly_score"), "is_anomaly")
+
+
+def forest_fit_summary(spark, sf):
+    """What any fit must have: all trees, full samples, bounded depth, and the wanted share below 0."""
+    metrics = enriched(spark, sf)
+    model = fit_forest(metrics, M.FEATURES, seq="seq", seed=42)
+    roots = model.nodes[model.nodes.node_id == 0]
+    scored = model.score(metrics).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_anomaly").cast("long")).alias("flagged"))
+    return scored.select(
+        F.lit(len(roots)).alias("trees"),
+        F.lit(int(roots["size"].min())).alias("smallest_root"),
+        F.lit(int(roots["size"].max())).alias("largest_root"),
+        F.lit(bool(model.nodes.depth.max() <= 8)).alias("depth_bounded"),
+        (F.abs(F.col("flagged") / F.col("n") - 0.05) <= 0.01).alias("share_flagged"),
+    )
+
+
 # Remediation
 
 
@@ -319,6 +355,13 @@ def json_filter(spark, sf):
     return out.select("topic", "service", "severity", "kind", "seq")
 
 
+def json_fields(spark, sf):
+    """Fields of the whole record, also where the line shows its message alone."""
+    fields = {"trace_id": "$.trace_id", "original_level": "$.original_level", "severity": "$.level"}
+    out = S.select_logs(store(spark, sf), json_fields=fields, topic="logs_parsed")
+    return out.select("seq", "severity", "message", "trace_id", "original_level")
+
+
 def tail_errors(spark, sf):
     out = L.tail(store(spark, sf), 100, topic="logs_parsed", severity="error")
     return out.select("topic", "service", "severity", "message", "timestamp", "seq")
@@ -432,17 +475,52 @@ def _folders(spark: SparkSession, name: str) -> list[str]:
 
 def stream_enrich_global(spark, sf):
     out, carry, checkpoint = _folders(spark, "enrich")
-    sinks.rolling_sink(V.metrics_raw(spark, sf, stream=True), out, carry, checkpoint).awaitTermination()
+    raw = _in_order(spark, V.metrics_raw(spark, sf), "metrics_raw")
+    sinks.rolling_sink(raw, out, carry, checkpoint).awaitTermination()
     return spark.read.parquet(f"{out}/batch=*").select(*_ENRICHED, *[r9(c) for c in M.FEATURES])
 
 
 def stream_bursts(spark, sf):
     out, carry, checkpoint = _folders(spark, "bursts")
-    logs = normalize_logs(V.logs_raw(spark, sf, stream=True))
+    logs = normalize_logs(_in_order(spark, V.logs_raw(spark, sf), "logs_raw"))
     sinks.burst_sink(logs, out, carry, checkpoint, LIMITS.window_sec, LIMITS.burst).awaitTermination()
     return spark.read.parquet(f"{out}/batch=*").drop("ts")
 
 
+def _in_order(spark: SparkSession, df: DataFrame, name: str, parts: int = 5) -> DataFrame:
+    """A table written out by ranges of ``seq`` and read back as a stream that takes one range per micro-batch."""
+    path = scratch_path(spark, name)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low, high = df.agg(F.min("seq"), F.max("seq")).first()
+    for i in range(parts):
+        span = F.col("seq") - F.lit(low or 0)
+        width = ((high or 0) - (low or 0)) // parts + 1
+        df.filter(F.floor(span / width) == i).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _run(df: DataFrame, out: str, checkpoint: str) -> None:
+    writer = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
+def stream_enrich_by_service(spark, sf):
+    """Keyed state, one window per service."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    out, _, checkpoint = _folders(spark, "enrich-keyed")
+    _run(rolling_stats_stream(_in_order(spark, V.metrics_raw(spark, sf), "metrics_raw")), out, checkpoint)
+    return spark.read.parquet(out).select(*_ENRICHED, *[r9(c) for c in M.FEATURES])
+
+
+def stream_bursts_keyed(spark, sf):
+    """Keyed state, one detector per service."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    out, _, checkpoint = _folders(spark, "bursts-keyed")
+    logs = normalize_logs(_in_order(spark, V.logs_raw(spark, sf), "logs_raw"))
+    _run(detect_bursts_stream(logs, LIMITS.window_sec, LIMITS.burst), out, checkpoint)
+    return spark.read.parquet(out).drop("ts")
+
+
 def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A table written out and read back as a stream of its files."""
     path = scratch_path(spark, name)
@@ -453,7 +531,7 @@ def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def stream_cooldown(spark, sf):
     allowed, _ = candidates_of(spikes(spark, sf), load_rules(spark))
     out, carry, checkpoint = _folders(spark, "cooldown")
-    sinks.cooldown_sink(_as_stream(spark, allowed, "candidates"), out, carry, checkpoint).awaitTermination()
+    sinks.cooldown_sink(_in_order(spark, allowed.checkpoint(), "candidates"), out, carry, checkpoint).awaitTermination()
     emitted = R.to_intents(spark.read.parquet(f"{out}/batch=*"))
     return emitted.select("seq", "rule_id", "target_service", "action_id", "status")
 
@@ -466,8 +544,7 @@ def stream_approvals(spark, sf):
     answered = _as_stream(spark, V.approvals_of(intents), "approvals")
     out, _, checkpoint = _folders(spark, "results")
     results = resolve_approvals_stream(asked, answered).drop("result_at")
-    writer = results.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    _run(results, out, checkpoint)
     return spark.read.parquet(out).select(
         "event_type", "action_id", "action_type", "target_service", "status", "message", "ts", "incident_id",
         "rule_id", "executed_action", "approver",
@@ -485,6 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_types": anomaly_types,
     "anomaly_incidents": anomaly_incident_records,
     "error_window_counts": error_window_counts,
+    "error_window_counts_redelivered": error_window_counts_redelivered,
     "error_bursts": error_bursts,
     "all_incidents": every_incident,
     "canonical_incidents": canonical_incidents,
@@ -503,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_store_round_trip": log_store_round_trip,
     "select_logs": select_logs,
     "json_filter": json_filter,
+    "json_fields": json_fields,
     "tail_errors": tail_errors,
     "range_query": range_query,
     "freshness": freshness,
@@ -521,8 +600,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_round_trip": topic_round_trip,
     "malformed_split": malformed_split,
     "forest_scores": forest_scores,
+    "forest_fixed_scores": forest_fixed_scores,
+    "forest_fit_summary": forest_fit_summary,
     "stream_enrich_global": stream_enrich_global,
     "stream_bursts": stream_bursts,
+    "stream_enrich_by_service": stream_enrich_by_service,
+    "stream_bursts_keyed": stream_bursts_keyed,
     "stream_cooldown": stream_cooldown,
     "stream_approvals": stream_approvals,
 }

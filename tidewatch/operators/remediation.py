@@ -166,8 +166,8 @@ def to_intents(df: DataFrame, require_approval: bool = False, ts: str = "ts") ->
 def dedup_ttl(
     df: DataFrame, key: str = "action_id", ttl: int = DEDUP_TTL, ts: str = "ts", seq: Sequence[str] = ("seq",)
 ) -> DataFrame:
-    """Drop a row whose key was kept at most ``ttl`` seconds before, the exact end included."""
-    placed = df.withColumn("_at", micros(ts))
+    """Drop a row whose key was kept at most ``ttl`` seconds before, the exact end included; and rows without key or time."""
+    placed = df.withColumn("_at", micros(ts)).dropna(subset=[key, "_at"])
     return greedy_spacing(placed, [key], "_at", list(seq), ttl * SECOND + 1).drop("_at")
 
 

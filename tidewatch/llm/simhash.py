@@ -314,11 +314,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents that stand for their class, with all their columns; one of wholly equal rows stays."""
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    kept = stored(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash"))).select(F.struct("doc_id", "text_hash").alias("mark")).distinct(),
-        "kept",
-    )
+    mark = F.struct("doc_id", "text_hash").alias("mark")
+    stands = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash"))
+    found = stored(near_duplicates(docs, id_col, text_col, shingle, distance).select(mark, stands.alias("stands")), "near-duplicates")
+    # Stored, so that Spark knows their size: where few rows go, the texts of the others need no shuffle.
+    goes = stored(found.filter(~F.col("stands")).select("mark").distinct(), "goes")
+    again = stored(found.filter("stands").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"), "again")
     # Structs compare nulls as equal values.
     rows = carried(docs, mark=F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash")))
-    return rows.join(kept, "mark", "left_semi").dropDuplicates(["mark"]).select(f"{ROW}.*")
+    stay = rows.join(goes, "mark", "left_anti")
+    repeated = stay.join(again, "mark", "left_semi").dropDuplicates(["mark"])
+    return stay.join(again, "mark", "left_anti").unionByName(repeated).select(f"{ROW}.*")

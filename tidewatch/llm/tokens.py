@@ -149,7 +149,7 @@ class PieceMemory:
                 memories[spaced].add(unknown, self.apart(unknown, spaced))
         known, first = memories[True].young, memories[False].young
         for spaced, piece in marked:
-            memories[spaced].young[piece] = (known if spaced else first)[piece[:-1]] + first[piece[-1]]
+            memories[spaced].add([piece], [(known if spaced else first)[piece[:-1]] + first[piece[-1]]])
         for spaced, piece, parts in joined:
             memories[spaced].add([piece], [b"".join([known[part] if x else first[part] for x, part in parts])])
 

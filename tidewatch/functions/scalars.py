@@ -59,11 +59,6 @@ def severity_rank(c: Column | str) -> Column:
     return lookup(F.lower(as_col(c)), SEVERITY_RANK, 0)
 
 
-def severity_at_least(c: Column | str, floor: Column | str) -> Column:
-    """``floor`` is a column, or the name of a column."""
-    return severity_rank(c) >= severity_rank(floor)
-
-
 def strip(c: Column | str) -> Column:
     """Trim all ASCII white space, not just blanks."""
     return F.btrim(as_col(c), F.lit(" \t\n\r\x0b\x0c"))

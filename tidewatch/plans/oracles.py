@@ -347,6 +347,16 @@ scored AS (
     "policy_decisions": _q(
         SPELLED_SPIKES, "SELECT seq, rule_id, action_type, target_service, reason FROM judged", True
     ),
+    "glob_decisions": _q(
+        KEYWORDS,
+        """SELECT seq, rule_id, action_type, service AS target_service,
+                  CASE WHEN service NOT IN ('payments', 'db') THEN 'not_in_allowlist'
+                       WHEN action_type = 'REBOOT' THEN 'action_type_not_allowed' ELSE 'allowed' END AS reason
+           FROM kw JOIN (VALUES ('any_letter', 'AUTH_FAILURE', ['db'], 'SCALE_UP'), ('set', 'DB_LATENCY', ['orders', 'payments'], 'REBOOT'),
+                                ('other_set', 'REQUEST_TIMEOUT', ['orders', 'payments'], 'ROLLING_RESTART')) AS rule(rule_id, kind, services, action_type)
+             ON kind = incident_type AND list_contains(services, service)
+           WHERE severity IN ('warn', 'error', 'critical')""",
+    ),
     "action_intents": _q(
         SPELLED_SPIKES,
         """SELECT seq, 'ACTION_INTENT' AS event_type, timestamp, service, 'warn' AS severity, incident_id,

@@ -234,6 +234,25 @@ def policy_decisions(spark, sf):
     return both.select("seq", "rule_id", "action_type", "target_service", "reason")
 
 
+_GLOBS = {
+    "rules": [
+        {"rule_id": "any_letter", "incident_type": "AUTH_FAILURE", "pattern": "?b", "action_type": "SCALE_UP"},
+        {"rule_id": "set", "incident_type": "DB_LATENCY", "pattern": "[op]*", "action_type": "REBOOT"},
+        {"rule_id": "other_set", "incident_type": "REQUEST_TIMEOUT", "pattern": "[!a]*s", "action_type": "ROLLING_RESTART"},
+    ],
+    "policy": {"allowlist_services": ["payments", "db"], "allowlist_action_types": ["SCALE_UP", "ROLLING_RESTART"]},
+}
+
+
+def glob_decisions(spark, sf):
+    """Rules for some services only, and an action type that is not allowed."""
+    book = load_rules(spark, _GLOBS)
+    known = R.canonicalize_incidents(log_incidents(parsed(spark, sf)), book.aliases)
+    allowed, rejected = R.apply_policy(R.match_rules(known, book.rules, book.default_severity), book.policy)
+    both = allowed.withColumn("reason", F.lit("allowed")).unionByName(rejected)
+    return both.select("seq", "rule_id", "action_type", "target_service", "reason")
+
+
 def action_intents(spark, sf):
     allowed, _ = candidates_of(spikes(spark, sf), load_rules(spark))
     out = R.to_intents(allowed)
@@ -568,6 +587,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canonical_incidents": canonical_incidents,
     "rule_candidates": rule_candidates,
     "policy_decisions": policy_decisions,
+    "glob_decisions": glob_decisions,
     "action_intents": action_intents,
     "intents_after_cooldown": intents_after_cooldown,
     "ttl_dedup": ttl_dedup,

@@ -2,8 +2,9 @@
 
 The network reads the bytes of a word forwards and backwards and gives every position a probability for each language; a document's
 probabilities are the mean over the positions of letters in its whole text. It is trained here in numpy, by backpropagation through time.
-The state starts anew at each word (a stretch between ASCII white space, in slices of at most ``SLICE`` bytes), so words can run as one
-matrix, and what a word adds is the same wherever it stands: workers remember it for a bounded number of words.
+The state starts anew at each word (a stretch between ASCII white space without the signs at its ends, ASCII letters small, in slices of
+at most ``SLICE`` bytes), so words can run as one matrix, and what a word adds is the same wherever it stands: workers remember it for
+a bounded number of words.
 
 Training takes words, spread evenly over whole documents, from about ``docs_per_language`` labelled documents of each language, chosen
 by hash. That bound is the method's own parameter; everything else covers all rows and whole texts.
@@ -19,9 +20,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.tokens import Memory
+
 UNKNOWN = "und"
 HIDDEN = 16
 SLICE = 32
@@ -31,14 +35,18 @@ STEPS = 500
 BATCH = 512
 RATE = 0.01
 SEED = 7
-#: Words remembered in a worker, and the longest one worth it.
-REMEMBERED = 250_000
-LONGEST = 40
+#: Stripped from both ends of a word: ASCII signs.
+SIGNS = bytes(b for b in range(128) if not chr(b).isalnum())
 
 #: Bytes that count as letters: ASCII letters, and all bytes of other characters.
 LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 
 
+def plain(word: str) -> bytes:
+    """The bytes that the network reads of a word: without signs at its ends, ASCII letters small."""
+    return word.encode("utf-8", "surrogatepass").strip(SIGNS).lower()
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -170,9 +178,7 @@ class Reader:
     """Applies a network to texts and remembers what words add."""
 
     net: ByteNetwork
-    place: dict[bytes, int] = field(default_factory=dict)
-    sums: np.ndarray | None = None
-    used: int = 0
+    memory: Memory = field(default_factory=Memory)
 
     def _run(self, words: list[bytes]) -> np.ndarray:
         """For each word: its positions' probabilities added up over letters, and the number of these."""
@@ -192,22 +198,20 @@ class Reader:
 
     def read(self, texts: Sequence[str]) -> np.ndarray:
         """For each text: probabilities added up over letters, and the number of these."""
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(texts, type=pa.string()))
+        offsets = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        words = [plain(w) for w in coded.dictionary.to_pylist()]
+        new = self.memory.missing(set(words))
+        self.memory.add(new, [row.tobytes() for row in self._run(new).astype(np.float32)])
         width = len(self.net.languages) + 1
-        if self.sums is None or self.used > REMEMBERED:
-            self.place, self.sums, self.used = {}, np.zeros((0, width)), 0
-        new = sorted(set().union(*split).difference(self.place))
-        short, long = [w for w in new if len(w) <= LONGEST], [w for w in new if len(w) > LONGEST]
-        added = self._run(short + long)
-        self.place.update(zip(short, range(self.used, self.used + len(short)), strict=True))
-        self.used += len(short)
-        self.sums = np.concatenate([self.sums[: self.used - len(short)], added])  # long words stand behind, for these texts only
-        once = dict(zip(long, range(self.used, self.used + len(long)), strict=True))
-        find = {**self.place, **once}.__getitem__ if once else self.place.__getitem__
+        table = np.frombuffer(b"".join(map(self.memory.young.__getitem__, words)), dtype=np.float32).reshape(-1, width)
+        self.memory.settle()
+        rows = table[coded.indices.to_numpy()].astype(float)
         out = np.zeros((len(texts), width))
-        for i, words in enumerate(split):
-            if words:
-                out[i] = self.sums[np.fromiter(map(find, words), dtype=np.int64, count=len(words))].sum(axis=0)
+        some = np.flatnonzero(np.diff(offsets))
+        if len(some):
+            out[some] = np.add.reduceat(rows, offsets[:-1][some], axis=0)
         return out
 
     def label(self, text: str | None, total: np.ndarray) -> tuple[str, float]:
@@ -231,7 +235,7 @@ def training_words(docs: DataFrame, text_col: str, lang_col: str, draw: Column,
         for batch in batches:
             langs, found = [], []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                all_words = [w for w in text.encode("utf-8", "surrogatepass").split() if LETTER[np.frombuffer(w, np.uint8)].any()]
+                all_words = [w for w in map(plain, text.split()) if LETTER[np.frombuffer(w, np.uint8)].any()]
                 few = all_words[:: -(-len(all_words) // WORDS_PER_DOC)] if all_words else []
                 few = [w[a : a + SLICE] for w in few for a in range(0, len(w), SLICE)]
                 langs += [lang] * len(few)

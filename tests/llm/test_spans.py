@@ -134,6 +134,13 @@ def test_long_runs_stay_cheap(spark):
     assert scan_secrets(frame(spark, texts)).count() == len(texts)
 
 
+def test_many_marks_are_allowed_without_deep_recursion(spark):
+    texts = ["a1" + "-" * 100_000, "/a1" * 100_000, "a1" + "=" * 2_500, "-a1" * 3_000 + "-12345"]
+    got = [r.spans for r in secret_digest(scan_secrets(frame(spark, texts))).orderBy("doc_id").collect()]
+    assert got[:3] == [""] * 3
+    assert got == [",".join(f"{k}:{a}:{b}" for a, _, k, b in slow_secrets(t)[1]) for t in texts]
+
+
 def test_no_rows(empty, awkward):
     assert scan_secrets(empty).isEmpty() and mask_secrets(empty).isEmpty() and find_personal_data(empty).isEmpty()
     assert find_personal_data(awkward).count() == awkward.count()

@@ -38,10 +38,11 @@ WINDOW = 20
 HEX_BITS = 3.0
 TOKEN_BITS = 3.9
 #: Candidates that are long and mixed for a good reason: UUIDs, checksums named as such, and words joined by marks.
+#: Candidates have any length and Java recurses once per repeat of a group, except in a possessive one; no mark can be given back anyway.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"^sha(1|256|384|512)-",
-    r"^[A-Za-z]{0,15}[0-9]{0,4}([-_/=+][A-Za-z]{0,15}[0-9]{0,4})+$",
+    r"^[A-Za-z]{0,15}[0-9]{0,4}(?:[-_/=+][A-Za-z]{0,15}[0-9]{0,4})++$",
 )
 #: Entropy is added up in whole numbers of this many to the bit.
 _SCALE = 1_000_000

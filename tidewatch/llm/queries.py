@@ -40,7 +40,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_digest(scan_secrets(read_documents(spark, sf_dir)))
+    return secret_digest(scan_secrets(read_documents(spark, sf_dir), whole=True))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

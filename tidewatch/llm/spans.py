@@ -73,6 +73,15 @@ def apart_from(spans: Column, others: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
 
 
+def beyond(spans: Column, others: Column) -> Column:
+    """The spans with a character that none of the others has. ``others`` come sorted by start."""
+
+    def reached(s: Column) -> Column:
+        return F.aggregate(others, s["start"], lambda at, o: F.when(o["start"] <= at, F.greatest(at, o["end"])).otherwise(at))
+
+    return F.filter(spans, lambda s: reached(s) < s["end"])
+
+
 def masked(text: Column, spans: Column, mask: str) -> Column:
     """The text with every span replaced by ``mask``; spans that overlap or touch give one mask. ``spans`` come sorted by start."""
 

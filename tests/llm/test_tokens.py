@@ -42,6 +42,12 @@ def test_pieces_give_the_ids_of_whole_texts(path, monkeypatch):
         assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == library(path, texts)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_other_case_does_not_make_special_strings(path):
+    texts = ["end <|EndOfText|> here", "<|STARTOFTEXT|>", "A <|endofTEXT|>\nb <|endoftext|> C", "Été <|StartOfText|>, OK", "Ω <|EndOfText|>", "x<|ENDOFTEXT|>Y. End"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in PieceTokenizer(path).encode(texts)] == library(path, texts)
+
+
 @given(st.text("ab \n", max_size=80), st.integers(1, 9))
 def test_strides_put_together_give_the_text(text, size):
     parts = list(strides(text, size))

@@ -195,7 +195,9 @@ class PieceMemory:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return text
-        return text.lower()
+        small = text.lower()
+        # What only looks like a special string must not become one.
+        return text if any(s in small for s in self.special) else small
 
     def _cuttable(self, text: str) -> bool:
         if self.worded:

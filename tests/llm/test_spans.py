@@ -130,6 +130,30 @@ def test_patterns_of_seeds_name_unseen_identifiers(spark):
             assert t[start:end].startswith("AB-")
 
 
+def contexts(spark, texts):
+    got = {r.doc_id: r.spans for r in personal_data_digest(find_personal_data(frame(spark, texts))).collect()}
+    return [[t[slice(*map(int, x.split(":")[1:]))] for x in got[i].split(",") if x.startswith("context")] for i, t in enumerate(texts)]
+
+
+def test_found_identifiers_are_seeds_of_the_next_round(spark):
+    texts = [f"reach customer line +1 (555) {200 + i}-{3000 + i} soon" for i in range(80)]
+    texts += [f"reach customer line AB-{1000000 + i} soon, booked under ticket AB-{1000000 + i} today" for i in range(20)]
+    texts += ["booked under ticket ZZ-7654321 today"]
+    texts += [f"built in version {i}.0.{100000 + i} today" for i in range(40)]
+    got = contexts(spark, texts)
+    assert got[100] == ["ZZ-7654321"]
+    assert got[80:100] == [[f"AB-{1000000 + i}"] * 2 for i in range(20)] and not any(got[:80] + got[101:])
+
+
+def test_patterns_back_off_to_one_word(spark):
+    before = ["my", "your", "our", "their", "his", "her", "the", "a", "this", "that"]
+    texts = [f"so {before[i % 10]} hotline +1 (555) {200 + i}-{3000 + i} rings" for i in range(40)]  # four seeds behind each pair
+    texts += ["so whose hotline AB-1234567 rings", "so whose version AB-1234568 rings"]
+    texts += [f"so {before[i % 10]} version {i}.0.{100000 + i} rings" for i in range(40)]
+    got = contexts(spark, texts)
+    assert got[40:42] == [["AB-1234567"], []] and not any(got[:40] + got[42:])
+
+
 def test_long_runs_stay_cheap(spark):
     texts = ["1" * 30_000, "a" * 100_000, "+" + "1 " * 20_000, "a." * 30_000 + "@", "1-" * 20_000, "1." * 20_000, "f" * 100_000, "AKIA" * 10_000]
     assert find_personal_data(frame(spark, texts)).count() == len(texts)

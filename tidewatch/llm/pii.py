@@ -3,8 +3,9 @@
 E-mail addresses, IP numbers, payment cards and telephone numbers are found by their form. They are also seeds: the words before a
 seed make a lexical pattern, and a pattern that mostly stands before identifiers is trusted to name others whose form nobody wrote
 down. Patterns and identifier-like strings make a graph whose edges count how often a pattern stands before a string. Each round scores a pattern by
-the share of trusted strings behind it, and an unknown string by the patterns it stands behind. At the end, unknown strings
-behind patterns of high confidence are reported as ``context`` spans.
+the share of trusted strings behind it, and an unknown string by the patterns it stands behind; a string of high score is a seed of the
+next round, so that it induces patterns of its own. Two words with too few seeds behind them back off to the last one. At the end, unknown
+strings behind patterns of high confidence are reported as ``context`` spans.
 
 The graph holds only strings with digits and the words before them. It is built from DataFrame functions and lives in stored tables;
 a pattern or string may own any share of the edges (sums are combined before the shuffle, joins go through ``attach``).
@@ -40,11 +41,13 @@ REACH = 70
 ROUNDS = 3
 #: What a pattern of no evidence weighs against the evidence there is.
 DOUBT = 2.0
-#: A pattern must stand before so many different seeds, and reach this confidence, to name new identifiers.
+#: A pattern must stand before so many different seeds (forms, or strings found in an earlier round), and reach this confidence, to name new identifiers.
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.8
 #: Confidence from which a pattern adds to the score of a string.
 HEARD = 0.5
+#: Score from which a string found in one round is a seed of the next, with the score of one.
+KNOWN = 0.8
 
 
 def _digits(value: Column) -> Column:
@@ -99,6 +102,10 @@ def _in_context(text: Column, spans: Column, seed: bool) -> Column:
     return F.filter(seen, lambda s: s["pattern"] != "")
 
 
+def _last_word(pattern: Column) -> Column:
+    return F.substring_index(pattern, " ", -1)
+
+
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, nth, base, seen``, stored: the fixed forms of each document, and all strings with the words before them."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("nth"), text_of(text_col).alias("text"))
@@ -110,22 +117,45 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return stored(rows.select("doc_id", "nth", slim.alias("base"), seen.alias("seen")), "pii")
 
 
+def _backed_off(patterns: DataFrame, min_seeds: int) -> DataFrame:
+    """``pattern, by, confidence``: each pattern that has seeds enough by itself, any other by its last word where that has."""
+    enough = patterns.filter(F.col("seeds") >= min_seeds)
+    own = enough.select("pattern", F.col("pattern").alias("by"), "confidence")
+    poor = patterns.filter((F.col("seeds") < min_seeds) & F.col("pattern").contains(" ")).select("pattern", _last_word(F.col("pattern")).alias("by")).checkpoint()
+    words = enough.filter(~F.col("pattern").contains(" ")).select(F.col("pattern").alias("by"), "confidence").checkpoint()
+    return own.unionByName(attach(poor, words, "by").select("pattern", "by", "confidence")).checkpoint()
+
+
 def trusted_patterns(
-    seen: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE
+    seen: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, known: float = KNOWN
 ) -> DataFrame:
-    """``pattern, confidence`` of the patterns that may name identifiers, from rows ``pattern, instance, seed``."""
-    edges = stored(seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")), "pii-edges")
+    """``pattern, confidence`` of the patterns that may name identifiers, from rows ``pattern, instance, seed``.
+
+    A pattern of two words with too few seeds has the confidence of its last word, which counts all that stands behind that word.
+    """
+    counted = seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"))
+    both = F.array_distinct(F.array("pattern", _last_word(F.col("pattern"))))
+    levels = counted.select(F.explode(both).alias("level"), "pattern", "instance", "n", "seed")
+    grouped = levels.groupBy(F.col("level").alias("pattern"), "instance")
+    # own: the pattern is the longest one right before the string, somewhere.
+    edges = stored(grouped.agg(F.sum("n").alias("n"), F.max("seed").alias("seed"), F.max(F.col("level") == F.col("pattern")).alias("own")), "pii-edges")
     scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score")).checkpoint()
     patterns = None
     for last in [False] * (rounds - 1) + [True]:
         weighed = attach(edges, scores, "instance")
-        sums = weighed.groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("good"), F.sum("n").alias("all"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-        patterns = sums.select("pattern", "seeds", F.round(F.col("good") / (F.col("all") + DOUBT), 6).alias("confidence")).checkpoint()
+        found = (F.col("score") == 1).cast("int")
+        sums = weighed.groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("good"), F.sum("n").alias("all"), F.sum(found).alias("seeds"))
+        sums = sums.select("pattern", "seeds", F.round(F.col("good") / (F.col("all") + DOUBT), 6).alias("confidence")).checkpoint()
+        patterns = _backed_off(sums, min_seeds)
         if not last:
-            doubt = F.when((F.col("confidence") >= HEARD) & (F.col("seeds") >= min_seeds), F.log(1 - F.least("confidence", F.lit(0.999999)))).otherwise(F.lit(0.0))
-            heard = attach(edges, patterns.select("pattern", doubt.alias("doubt")), "pattern")
-            scores = heard.groupBy("instance").agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(F.round(1 - F.exp(F.sum("doubt")), 6)).alias("score")).checkpoint()
-    return stored(patterns.filter((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence"), "pii-patterns")
+            doubt = F.when(F.col("confidence") >= HEARD, F.log(1 - F.least("confidence", F.lit(0.999999)))).otherwise(F.lit(0.0))
+            heard = attach(edges.filter("own").select("pattern", "instance"), patterns.select("pattern", "by", doubt.alias("doubt")), "pattern")
+            once = heard.groupBy("instance", "by").agg(F.first("doubt").alias("doubt"))
+            told = once.groupBy("instance").agg(F.round(1 - F.exp(F.sum("doubt")), 6).alias("told"))
+            strings = edges.groupBy("instance").agg(F.max("seed").alias("seed")).join(told, "instance", "left")
+            told = F.coalesce("told", F.lit(0.0))
+            scores = strings.select("instance", F.when(F.col("seed") | (told >= known), F.lit(1.0)).otherwise(told).alias("score")).checkpoint()
+    return stored(patterns.filter(F.col("confidence") >= min_confidence).select("pattern", "confidence"), "pii-patterns")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:

@@ -154,6 +154,18 @@ def test_patterns_back_off_to_one_word(spark):
     assert got[40:42] == [["AB-1234567"], []] and not any(got[:40] + got[42:])
 
 
+def test_identifiers_of_any_length_and_behind_labels_and_marks(spark):
+    long, late = "AB-" + "1234567-" * 20 + "9", "Q" * 60 + "-7654321"
+    want = [long, late, "AB-1234567", "AB-1234568", "AB-1234569", "AB-1234570", "AB-1234571", "aa:bb:cc:11:22:33"]
+    texts = [f"reach customer +1 (555) {200 + i}-{3000 + i} soon" for i in range(60)]
+    texts += [f"reach customer {long} soon", f"reach customer {late}. Soon", "reach Customer:AB-1234567 soon", "reach customer=AB-1234568, soon"]
+    texts += ["reach customer /AB-1234569/ soon", "reach customer +AB-1234570 soon", "reach customer -_AB-1234571 soon", "reach customer aa:bb:cc:11:22:33 soon"]
+    texts += ["reach customer AB-1234567é soon", "reach customer without soon", "reach customer " + "a." * 50_000 + " soon", "reach customer 1" + "/" * 100_000 + "b soon"]
+    got = contexts(spark, texts)
+    assert got[60:68] == [[x] for x in want] and not any(got[:60] + got[68:71])
+    assert got[71] == ["1" + "/" * 100_000 + "b"]
+
+
 def test_long_runs_stay_cheap(spark):
     texts = ["1" * 30_000, "a" * 100_000, "+" + "1 " * 20_000, "a." * 30_000 + "@", "1-" * 20_000, "1." * 20_000, "f" * 100_000, "AKIA" * 10_000]
     assert find_personal_data(frame(spark, texts)).count() == len(texts)

@@ -31,8 +31,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: An identifier-like string: at least six characters with a digit, ended by a letter or digit.
-IDENTIFIER = r"(?<![\p{L}0-9._@:/+-])(?=[A-Za-z._@:/-]{0,40}+[0-9])[A-Za-z0-9](?:[A-Za-z0-9._@:/-]{0,62}[A-Za-z0-9])?(?![\p{L}0-9])"
+#: A whole run of identifier characters that has a digit, of any length, unless a letter of another alphabet goes on with it.
+RUN = r"(?<![\p{L}0-9._@:/-])(?=[A-Za-z._@:/-]*+[0-9])[A-Za-z0-9._@:/-]++(?:(?<![A-Za-z0-9])|(?!\p{L}))"
+#: What is not part of the identifier-like string in a run: marks and labels (words with a colon, but no pairs of hexadecimal digits) before it,
+#: marks behind it.
+LEAD = r"^(?:[._@:/-]++|(?![A-Fa-f]{2}:[0-9A-Fa-f]{2}(?::|$))[A-Za-z]++:)*+"
+TRAIL = r"(?<![._@:/-])[._@:/-]++$"
 MIN_IDENTIFIER = 6
 #: Up to two words right before a string, with at most three other characters behind each.
 BEFORE = r"(?:(\p{L}{1,30})[^\p{L}0-9]{1,3})?(\p{L}{1,30})[^\p{L}0-9]{1,3}$"
@@ -102,6 +106,17 @@ def _in_context(text: Column, spans: Column, seed: bool) -> Column:
     return F.filter(seen, lambda s: s["pattern"] != "")
 
 
+def identifiers(text: Column) -> Column:
+    """The identifier-like strings: at least six characters with a digit, begun and ended by a letter or digit."""
+
+    def cut(s: Column) -> Column:
+        lead, trail = F.length(F.regexp_extract(s["value"], LEAD, 0)), F.length(F.regexp_extract(s["value"], TRAIL, 0))
+        size = F.length(s["value"]) - lead - trail
+        return F.struct((s["start"] + lead).alias("start"), (s["end"] - trail).alias("end"), F.substring(s["value"], lead + 1, size).alias("value"))
+
+    return F.filter(F.transform(find_spans(text, RUN), cut), lambda s: s["end"] - s["start"] >= MIN_IDENTIFIER)
+
+
 def _last_word(pattern: Column) -> Column:
     return F.substring_index(pattern, " ", -1)
 
@@ -111,7 +126,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("nth"), text_of(text_col).alias("text"))
     rows = rows.withColumn("base", base_spans(F.col("text")))
     text, base = F.col("text"), F.col("base")
-    unknown = F.filter(apart_from(find_spans(text, IDENTIFIER), base), lambda s: s["end"] - s["start"] >= MIN_IDENTIFIER)
+    unknown = apart_from(identifiers(text), base)
     seen = F.concat(_in_context(text, base, True), _in_context(text, unknown, False))
     slim = F.transform(base, lambda s: F.struct(s["order"].alias("order"), s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return stored(rows.select("doc_id", "nth", slim.alias("base"), seen.alias("seen")), "pii")

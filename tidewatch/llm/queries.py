@@ -189,11 +189,11 @@ ORACLES = {
             SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, bit + 1 FROM bytes WHERE bit < 8),
         crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM bytes WHERE bit = 8),
         crcs AS (
-            SELECT doc_id, 0 AS at, 4294967295 AS crc FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+            SELECT doc_id, 0 AS pos, 4294967295 AS crc FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
             UNION ALL
-            SELECT doc_id, at + 1, xor(crc >> 8, crcs[(xor(crc, ascii(substr(doc_id::VARCHAR, at + 1, 1))) & 255) + 1])
-            FROM crcs, crc_table WHERE at < strlen(doc_id::VARCHAR)),
-        marked AS (SELECT doc_id FROM crcs WHERE at = strlen(doc_id::VARCHAR) AND xor(crc, 4294967295) % 5 = 0),
+            SELECT doc_id, pos + 1, xor(crc >> 8, crcs[(xor(crc, ascii(substr(doc_id::VARCHAR, pos + 1, 1))) & 255) + 1])
+            FROM crcs, crc_table WHERE pos < strlen(doc_id::VARCHAR)),
+        marked AS (SELECT doc_id FROM crcs WHERE pos = strlen(doc_id::VARCHAR) AND xor(crc, 4294967295) % 5 = 0),
         spelled AS (
             SELECT doc_id, source,
                    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')

@@ -81,14 +81,10 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
 def with_copies(rows: DataFrame) -> DataFrame:
     """``doc_id, part, bits, n``: bit 4 is set where a smaller key has the same text; equal rows are one with their number."""
     once = stored(rows.groupBy("digest", "doc_id", "part", "bits").agg(F.count(F.lit(1)).alias("n")), "audit-texts")
-    # Only texts that several keys share have anything to look up.
-    shared = once.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).filter("doc_id < last").select("digest", "doc_id", F.lit(True).alias("first"))
-    groups = shared.select("digest")
-    alone = once.join(groups, "digest", "left_anti")
-    copies = once.join(groups, "digest", "left_semi").join(shared, ["digest", "doc_id"], "left")
+    firsts = once.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
     repeats = F.col("doc_id").isNotNull() & F.col("first").isNull()
     bits = F.col("bits") + F.when(repeats, F.lit(1 << FILTERS.index("E"))).otherwise(F.lit(0))
-    return alone.select("doc_id", "part", "bits", "n").unionByName(copies.select("doc_id", "part", bits.alias("bits"), "n"))
+    return once.join(firsts, ["digest", "doc_id"], "left").select("doc_id", "part", bits.alias("bits"), "n")
 
 
 def failure_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:

@@ -13,8 +13,9 @@ from tokenizers import Tokenizer
 from tidewatch.llm import tokens
 from tidewatch.llm.bpe import PrefixEncoder, decode_documents, encode_documents, round_trip
 from tidewatch.llm.packing import combinations, pack_documents, packing_plan
-from tidewatch.llm.token_files import EliasFano, read_token_files, write_token_files
-from tidewatch.llm.tokens import PieceTokenizer, strides
+from tidewatch.llm import token_files
+from tidewatch.llm.token_files import EliasFano, look_up, read_token_files, token_file_digests, write_token_files
+from tidewatch.llm.tokens import MARKS, PieceTokenizer, single_spaced, strides
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +49,21 @@ def test_other_case_does_not_make_special_strings(path):
     assert [np.frombuffer(x, "<u4").tolist() for x in PieceTokenizer(path).encode(texts)] == library(path, texts)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_letter_before_every_mark(path):
+    """Some letters end, normalized, in a sign that the mark joins."""
+    letters = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}{m}" for c in letters[at : at + 500]) for m in MARKS for at in range(0, len(letters), 500)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in PieceTokenizer(path).encode(texts)] == library(path, texts)
+
+
+@given(st.text("a \n\t\x1c\xa0\u2028", max_size=9))
+def test_single_spaces(text):
+    words = text.split()
+    blanks = text.count(" ") + text.count("\n")
+    assert single_spaced(text) == (len(words) == blanks + 1 and len(text) - sum(map(len, words)) == blanks)
+
+
 @given(st.text("ab \n", max_size=80), st.integers(1, 9))
 def test_strides_put_together_give_the_text(text, size):
     parts = list(strides(text, size))
@@ -79,16 +95,35 @@ def test_round_trip_of_documents(awkward, rows):
 def test_elias_fano_selects_every_number(values):
     values = np.sort(np.array(values, dtype=np.int64))
     code = EliasFano.of(values)
-    assert code.all().tolist() == values.tolist() == [code.select(k) for k in range(len(values))]
+    assert code.select_many(np.arange(len(values))).tolist() == values.tolist() == [code.select(k) for k in range(len(values))]
+    some = np.random.default_rng(len(values)).permutation(len(values))[:20]
+    assert code.select_many(some).tolist() == values[some].tolist()
     assert 8 * (len(code.low) + len(code.high)) <= len(values) * (3 + max(1, int(values.max(initial=1)) // max(1, len(values))).bit_length()) + 24
-    with pytest.raises(IndexError):
-        code.select(len(values))
+    for k in (-1, len(values)):
+        with pytest.raises(IndexError):
+            code.select(k)
+        with pytest.raises(IndexError):
+            code.select_many(np.array([k]))
 
 
-def test_token_files_hold_every_document(spark, awkward, rows, tmp_path, monkeypatch):
+def test_elias_fano_with_a_long_gap():
+    values = np.concatenate([np.arange(5000), 10**9 + np.arange(3)])
+    code = EliasFano.of(values)
+    assert code.select_many(np.arange(len(values))).tolist() == values.tolist()
+
+
+@pytest.mark.parametrize("ids, docs, group", [(1 << 20, 1 << 14, 1 << 24), (3000, 4, 500), (50, 1, 1)])
+def test_token_files_hold_every_document(spark, awkward, rows, tmp_path, monkeypatch, ids, docs, group):
+    for name, value in (("BLOCK_IDS", ids), ("BLOCK_DOCS", docs), ("GROUP_IDS", group)):
+        monkeypatch.setattr(token_files, name, value)
     path = str(tmp_path / "files")
     write_token_files(awkward, path, BYTES)
+    assert all(r.n_docs == 1 or (r.n_ids <= ids and r.n_docs <= docs) for r in spark.read.parquet(path).collect())
     got = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    digests = {(r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in got}
+    assert {tuple(r) for r in token_file_digests(spark, path).collect()} == digests
+    few = awkward.filter("doc_id IN (6, 12, 15) OR doc_id IS NULL").select("doc_id").unionByName(spark.range(90, 95).toDF("doc_id"))
+    assert Counter(map(tuple, look_up(spark, path, few).collect())) == Counter(map(tuple, (r for r in got if r.doc_id in (6, 12, 15))))
     keys = [(r.doc_id is not None, r.doc_id or 0) for r in got]
     assert keys == sorted(keys)
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
@@ -104,6 +139,17 @@ def test_keys_may_be_texts(spark, tmp_path):
     assert {r.doc_id for r in pack_documents(docs, WORDS, id_col="name", text_col="body").collect()} == {"a", "b"}
 
 
+def test_wide_ids_and_many_equal_keys(spark, tmp_path):
+    docs = spark.createDataFrame([(7, f"word {i}") for i in range(3000)] + [(i, "x") for i in range(40)], "doc_id long, text string").repartition(6)
+    path = str(tmp_path / "files")
+    write_token_files(docs, path, BYTES, end_id=1 << 17)
+    got = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted([7] * 3000 + list(range(40)))
+    assert {np.frombuffer(r.ids, "<u4")[-1] for r in got} == {1 << 17}
+    # One key's documents lie in several parts.
+    assert spark.read.parquet(path).selectExpr("part", "explode(doc_ids) AS d").filter("d = 7").select("part").distinct().count() > 1
+
+
 def test_token_files_of_nothing(spark, empty, tmp_path):
     path = str(tmp_path / "files")
     write_token_files(empty, path, BYTES)

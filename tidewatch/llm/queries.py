@@ -18,7 +18,7 @@ from tidewatch.llm.quality import METRICS, judge_documents
 from tidewatch.llm.secrets import scan_secrets, secret_digest
 from tidewatch.llm.sharding import shard_documents
 from tidewatch.llm.simhash import near_duplicates
-from tidewatch.llm.token_files import read_token_files, write_token_files
+from tidewatch.llm.token_files import token_file_digests, write_token_files
 from tidewatch.session import scratch_path
 
 SHARDS = 16
@@ -39,7 +39,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(read_documents(spark, sf_dir), path, vocabulary("byte_bpe_50k.json"))
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_file_digests(spark, path)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,9 +29,12 @@ LONGEST = 40
 MARKS = ".,;:!?"
 MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 22
+STRIDE = 1 << 24
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
+#: White space but spaces and line breaks: in ASCII, and anywhere.
+_RARE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_RARER = _RARE + "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Stands before a line break between two other characters; texts that have it themselves are encoded whole.
 SIGN = "\0"
 LINE = SIGN + "\n"
@@ -46,9 +49,11 @@ def byte_letters() -> dict[str, int]:
 
 def single_spaced(text: str) -> bool:
     """Whether the only white space is single spaces and line breaks between other characters."""
-    words = text.split()
-    blanks = text.count(" ") + text.count("\n")
-    return len(words) == blanks + 1 and len(text) - sum(map(len, words)) == blanks
+    if not text or text[0] in " \n" or text[-1] in " \n":
+        return False
+    if "  " in text or "\n" in text and ("\n\n" in text or " \n" in text or "\n " in text):
+        return False
+    return not any(c in text for c in (_RARE if text.isascii() else _RARER))
 
 
 def strides(text: str, size: int = STRIDE) -> Iterator[str]:
@@ -109,16 +114,21 @@ class PieceMemory:
         """The ids of pieces that stand alone, or behind a space."""
         return self.whole([" " + p for p in pieces] if spaced and self.spaced else pieces)
 
+    def parted(self, letter: str, mark: str) -> bool:
+        """Whether a mark is cut from the letter or digit before it."""
+        return letter.isalnum()
+
     def _parts(self, piece: str, spaced: bool) -> list[tuple[bool, str]]:
         """A piece as parts that are tokenized alike on their own, each with or without the space before it.
 
-        A line's first piece comes with the break before it, and a mark parts from the letter or digit before it.
+        A line's first piece comes with the break before it, and a mark parts from the letter or digit before it, unless the
+        normalized letter ends in a sign that joins the mark.
         """
         out = []
         if piece.startswith(LINE):
             out.append((False, "\n"))
             piece, spaced = piece[len(LINE) :], False
-        marked = len(piece) > 1 and piece[-1] in MARKED and piece[-2].isalnum()
+        marked = len(piece) > 1 and piece[-1] in MARKED and self.parted(piece[-2], piece[-1])
         out.append((spaced, piece[:-1] if marked else piece))
         if marked:
             out.append((False, piece[-1]))
@@ -134,7 +144,7 @@ class PieceMemory:
             for piece in pieces:
                 if piece.isalpha():
                     need[spaced].append(piece)
-                elif piece[-1:] in MARKED and piece[:-1].isalpha():  # most others: a word and its mark
+                elif piece[-1:] in MARKED and piece[:-1].isalpha() and self.parted(piece[-2], piece[-1]):  # most others: a word and its mark
                     marked.append((spaced, piece))
                     need[spaced].append(piece[:-1])
                     need[False].append(piece[-1])
@@ -159,7 +169,7 @@ class PieceMemory:
         offsets = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        at = coded.indices.to_numpy().astype(np.int64)
+        at = coded.indices.to_numpy().astype(np.int32)
         if self.spaced:
             # The first piece of a text has no space before it: it counts as a piece of another kind.
             heads, which = np.unique(at[offsets[:-1]], return_inverse=True)
@@ -173,38 +183,40 @@ class PieceMemory:
         self.known.settle()
         self.first.settle()
         flat = np.frombuffer(b"".join(values), dtype="<u4")
-        sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
-        first = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2
+        # A stride has few ids, so small numbers do.
+        first = np.cumsum(sizes, dtype=np.int32) - sizes
         size = sizes[at]
-        end = np.cumsum(size)
-        place = np.repeat((first[at] - (end - size)).astype(np.int32), size)  # a stride has few ids, so small numbers do
+        end = np.cumsum(size, dtype=np.int32)
+        place = np.repeat(first[at] - (end - size), size)
         place += np.arange(len(place), dtype=np.int32)
-        ids = flat[place].tobytes()
+        ids = flat.take(place).tobytes()
         stops = np.concatenate([[0], end])[offsets].tolist()
         return [ids[4 * x : 4 * y] for x, y in zip(stops[:-1], stops[1:], strict=True)]
 
-    def _plain(self, text: str) -> str:
-        """Line breaks become spaces, or a space and a sign, where that is exact; where case does not count, Latin-1 (which nothing
-        composes or decomposes) becomes small."""
-        if self.spaced:
-            return text.replace("\n", " " + LINE) if single_spaced(text) else text
-        if any(s in text for s in self.special):
-            return text
-        text = text.replace("\n", " ")
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text
-        small = text.lower()
-        # What only looks like a special string must not become one.
-        return text if any(s in small for s in self.special) else small
-
-    def _cuttable(self, text: str) -> bool:
+    def _plain(self, text: str) -> str | None:
+        """The text as it may be cut at spaces, or None where that would not be exact.
+
+        Line breaks become spaces, or a space and a sign; where case does not count, Latin-1 (which nothing composes or decomposes)
+        becomes small.
+        """
         if self.worded:
-            return True
+            if any(s in text for s in self.special):
+                return text
+            text = text.replace("\n", " ")
+            if not text.isascii():
+                try:
+                    text.encode("latin-1")
+                except UnicodeEncodeError:
+                    return text
+            small = text.lower()
+            # What only looks like a special string must not become one.
+            return text if any(s in small for s in self.special) else small
         if not self.spaced or SIGN in text or any(s in text for s in self.special):
-            return False
-        return single_spaced(text) or not _BESIDE_SPACE.search(text)
+            return None
+        if single_spaced(text):
+            return text.replace("\n", " " + LINE)
+        return None if _BESIDE_SPACE.search(text) else text
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -219,10 +231,11 @@ class PieceMemory:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if not self._cuttable(text):
+            plain = self._plain(text)
+            if plain is None:
                 out[i] = self.whole([text])[0]
                 continue
-            for part in strides(self._plain(text)):
+            for part in strides(plain):
                 # A later slice begins with the space before its first piece, which splitting turns into an empty head.
                 group.append((i, part))
                 size += len(part)
@@ -257,6 +270,7 @@ class PieceTokenizer(PieceMemory):
             special=[x["content"] for x in spec.get("added_tokens", [])],
         )
         letters = byte_letters()
+        self.marks_parted: dict[str, bool] = {}
         self.letter = {b: c for c, b in letters.items()}.__getitem__
         self.before = self.letter(32) if self.spaced else ""
         self.model = self.tokenizer.model
@@ -264,6 +278,17 @@ class PieceTokenizer(PieceMemory):
     def whole(self, texts: Sequence[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def parted(self, letter: str, mark: str) -> bool:
+        """What the tokenizer's own normalizer and pre-tokenizer do, remembered for each letter."""
+        if letter.isascii():
+            return letter.isalnum()
+        found = self.marks_parted.get(letter + mark)
+        if found is None:
+            normalizer = self.tokenizer.normalizer
+            text = f"a{letter}{mark}"
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normalizer.normalize_str(text) if normalizer else text)
+            found = self.marks_parted[letter + mark] = letter.isalnum() and bool(pieces) and pieces[-1][0] == mark
+        return found
 
     def apart(self, pieces: Sequence[str], spaced: bool) -> list[bytes]:
         """Latin-1 words (small ones, where case does not count) are words of the vocabulary's model as they stand."""
@@ -271,9 +296,9 @@ class PieceTokenizer(PieceMemory):
             return super().apart(pieces, spaced)
         out: list[bytes | None] = []
         before = self.before if spaced else ""
-        tokenize, letter = self.model.tokenize, self.letter
+        tokenize, letter, any_case = self.model.tokenize, self.letter, self.spaced
         for p in pieces:
-            if p.isalpha() and (self.spaced or p.islower()):
+            if p.isalpha() and (any_case or p.islower()):
                 if not p.isascii():
                     try:
                         p.encode("latin-1")

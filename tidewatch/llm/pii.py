@@ -10,7 +10,8 @@ strings behind patterns of high confidence are reported as ``context`` spans.
 The graph holds only strings with digits and the words before them. It is built from DataFrame functions and lives in stored tables;
 a pattern or string may own any share of the edges (sums are combined before the shuffle, joins go through ``attach``).
 
-Defined cases: a null text is empty and has no spans; repeated rows are found each, and count each in the graph; an empty table gives
+Defined cases: a null text is empty and has no spans; a very long text is read whole, and one with very many matches takes time in proportion to
+them; repeated rows are found each, and count each in the graph; an empty table gives
 no rows; other columns are not read.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import attach, stored, text_of
-from tidewatch.llm.spans import apart_from, count_of, find_spans, spelled
+from tidewatch.llm.spans import beyond, count_of, cut, find_spans, let, pieces_of_text, spelled
 
 # The forms. A run of the first class can only succeed from its first character, so the search does not begin inside one,
 # which keeps long runs cheap; a match may begin where the last one ended.
@@ -42,6 +43,8 @@ MIN_IDENTIFIER = 6
 BEFORE = r"(?:(\p{L}{1,30})[^\p{L}0-9]{1,3})?(\p{L}{1,30})[^\p{L}0-9]{1,3}$"
 REACH = 70
 
+_SEEN = "array<struct<pattern:string,instance:string,start:int,end:int,seed:boolean>>"
+
 ROUNDS = 3
 #: What a pattern of no evidence weighs against the evidence there is.
 DOUBT = 2.0
@@ -94,27 +97,31 @@ def base_spans(text: Column) -> Column:
 def _in_context(text: Column, spans: Column, seed: bool) -> Column:
     """Spans with the lower-case words before them, where there are any."""
 
-    def pattern(s: Column) -> Column:
-        reach = F.least(F.lit(REACH), s["start"])
-        before = F.lower(F.substring(text, s["start"] - reach + 1, reach))
-        return F.trim(F.concat_ws(" ", F.regexp_extract(before, BEFORE, 1), F.regexp_extract(before, BEFORE, 2)))
+    def pattern(pieces: Column, s: Column) -> Column:
+        before = F.lower(cut(pieces, F.greatest(s["start"] - REACH, F.lit(0)), s["start"]))
+        return let(before, lambda b: F.trim(F.concat_ws(" ", F.regexp_extract(b, BEFORE, 1), F.regexp_extract(b, BEFORE, 2))))
+
+    def with_words(pieces: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda s: F.struct(
+                pattern(pieces, s).alias("pattern"), F.lower(s["value"]).alias("instance"), s["start"].alias("start"), s["end"].alias("end"), F.lit(seed).alias("seed")
+            ),
+        )
 
-    seen = F.transform(
-        spans,
-        lambda s: F.struct(pattern(s).alias("pattern"), F.lower(s["value"]).alias("instance"), s["start"].alias("start"), s["end"].alias("end"), F.lit(seed).alias("seed")),
-    )
+    seen = F.when(F.size(spans) > 0, let(pieces_of_text(text), with_words)).otherwise(F.array().cast(_SEEN))
     return F.filter(seen, lambda s: s["pattern"] != "")
 
 
 def identifiers(text: Column) -> Column:
     """The identifier-like strings: at least six characters with a digit, begun and ended by a letter or digit."""
 
-    def cut(s: Column) -> Column:
+    def trimmed(s: Column) -> Column:
         lead, trail = F.length(F.regexp_extract(s["value"], LEAD, 0)), F.length(F.regexp_extract(s["value"], TRAIL, 0))
         size = F.length(s["value"]) - lead - trail
         return F.struct((s["start"] + lead).alias("start"), (s["end"] - trail).alias("end"), F.substring(s["value"], lead + 1, size).alias("value"))
 
-    return F.filter(F.transform(find_spans(text, RUN), cut), lambda s: s["end"] - s["start"] >= MIN_IDENTIFIER)
+    return F.filter(F.transform(find_spans(text, RUN), trimmed), lambda s: s["end"] - s["start"] >= MIN_IDENTIFIER)
 
 
 def _last_word(pattern: Column) -> Column:
@@ -126,10 +133,11 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("nth"), text_of(text_col).alias("text"))
     rows = rows.withColumn("base", base_spans(F.col("text")))
     text, base = F.col("text"), F.col("base")
-    unknown = apart_from(identifiers(text), base)
-    seen = F.concat(_in_context(text, base, True), _in_context(text, unknown, False))
+    # What a fixed form covers in part is an identifier of its own.
+    unknown = let(identifiers(text), lambda found: beyond(found, base))
+    rows = rows.withColumn("seen", F.concat(_in_context(text, base, True), let(unknown, lambda found: _in_context(text, found, False))))
     slim = F.transform(base, lambda s: F.struct(s["order"].alias("order"), s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return stored(rows.select("doc_id", "nth", slim.alias("base"), seen.alias("seen")), "pii")
+    return stored(rows.select("doc_id", "nth", slim.alias("base"), "seen"), "pii")
 
 
 def _backed_off(patterns: DataFrame, min_seeds: int) -> DataFrame:

@@ -4,13 +4,13 @@ Fixed forms are assignments of a long value to a telling name, access keys and l
 long string of token characters that has letters and digits is a candidate: a window slides over it, its Shannon entropy is kept up to
 date from the counts of the character that enters and the one that leaves, and is held against the limit of the window's
 character class (hexadecimal or any token character). The span from the first to the last window over its limit is reported, unless the
-whole candidate is on the allow-list. Where a fixed form covers part of a candidate, the candidate is left out, or with ``whole`` measured like
-any other and reported if its span goes beyond the fixed forms; spans may then overlap, and masking joins them.
+whole candidate is on the allow-list or fixed forms cover the span. A candidate that a fixed form covers in part is measured like any other; spans may
+then overlap, and masking joins them.
 
 One projection of built-in functions: nothing is shuffled, and a row's work depends on that row's text.
 
-Defined cases: a null text is empty and has no spans; repeated rows give repeated results; an empty table gives no rows; other
-columns pass through ``mask_secrets`` and are not read by ``scan_secrets``.
+Defined cases: a null text is empty and has no spans; a very long text is read whole, and one with very many matches takes time in proportion to
+them; repeated rows give repeated results; an empty table gives no rows; other columns pass through ``mask_secrets`` and are not read by ``scan_secrets``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import ROW, carried, text_of
-from tidewatch.llm.spans import SPANS, apart_from, beyond, count_of, find_spans, labelled, let, masked, spelled
+from tidewatch.llm.spans import SPANS, beyond, count_of, find_spans, labelled, let, masked, spelled
 
 # The forms and their lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -111,10 +111,8 @@ def _base(text: Column) -> Column:
     return F.array_sort(found)
 
 
-def _entropy(text: Column, base: Column, allowed: Sequence[str], whole: bool) -> Column:
+def _entropy(text: Column, base: Column, allowed: Sequence[str]) -> Column:
     candidates = find_spans(text, CANDIDATE)
-    if not whole:
-        candidates = apart_from(candidates, base)
     if allowed:
         known = "|".join(f"(?:{pattern})" for pattern in allowed)
         candidates = F.filter(candidates, lambda s: ~s["value"].rlike(known))
@@ -123,19 +121,19 @@ def _entropy(text: Column, base: Column, allowed: Sequence[str], whole: bool) ->
         lambda s: let(hot_part(s["value"]), lambda h: F.when(h.isNotNull(), F.struct((s["start"] + h["first"]).alias("start"), (s["start"] + h["last"]).alias("end"), s["value"].alias("value")))),
     )
     parts = F.filter(parts, lambda s: s.isNotNull()).cast(SPANS)
-    return labelled(beyond(parts, base) if whole else parts, "entropy", 3)
+    return labelled(let(parts, lambda x: beyond(x, base)), "entropy", 3)
 
 
-def with_secrets(rows: DataFrame, text_col: str, allowed: Sequence[str] = ALLOWED, whole: bool = False) -> DataFrame:
+def with_secrets(rows: DataFrame, text_col: str, allowed: Sequence[str] = ALLOWED) -> DataFrame:
     """Adds ``base`` and ``found`` (base and entropy spans): arrays of (start, order, kind, end), by start, then kind."""
     rows = rows.withColumn("base", _base(F.col(text_col)))
-    return rows.withColumn("found", F.array_sort(F.concat("base", _entropy(F.col(text_col), F.col("base"), allowed, whole))))
+    return rows.withColumn("found", F.array_sort(F.concat("base", _entropy(F.col(text_col), F.col("base"), allowed))))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: Sequence[str] = ALLOWED, whole: bool = False) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: Sequence[str] = ALLOWED) -> DataFrame:
     """``doc_id, base, found`` for every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return with_secrets(rows, "text", allowed, whole).select("doc_id", "base", "found")
+    return with_secrets(rows, "text", allowed).select("doc_id", "base", "found")
 
 
 def secret_digest(found: DataFrame) -> DataFrame:
@@ -151,7 +149,7 @@ def mask_secrets(
 
     ``length_col`` names a column that holds the text's length and is to follow where the text changes.
     """
-    rows = with_secrets(carried(docs, clean=text_of(text_col)), "clean", allowed, whole)
+    rows = with_secrets(carried(docs, clean=text_of(text_col)), "clean", allowed)
     rows = rows.withColumn("clean", F.when(F.size("found") > 0, masked(F.col("clean"), F.col("found"), mask)))
     new = {text_col: F.col("clean")}
     if length_col:

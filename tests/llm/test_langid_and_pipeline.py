@@ -34,21 +34,43 @@ def test_reader_adds_up_all_positions(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
     net = ByteNetwork.fresh(["x", "y"], 4, np.random.default_rng(1))
     reader = Reader(net)
-    texts = ["One two, one", "", " drei\nvier " + "lang" * 30, "12 !!", "(one)"]
+    texts = ["One two, one", "", " drei\nvier " + "lang" * 30, "12 !!", "(one)", "  a  ", "x"]
     for _ in range(2):
         got = reader.read(texts)
         for text, total in zip(texts, got, strict=True):
-            want = np.zeros(3)
-            for word in (w.strip("(),!").lower().encode() for w in text.split()):
-                for a in range(0, len(word), langid.SLICE):
-                    piece = word[a : a + langid.SLICE]
-                    p = net.forward(*as_rows([piece]))["p"][:, 0]
-                    keep = [chr(b).isalpha() for b in piece]
-                    want[:2] += p[keep].sum(axis=0)
-                    want[2] += sum(keep)
+            data = text.encode().lower()
+            p = reader.positions(text)
+            assert p.shape == (len(data), 2)
+            keep = [chr(b).isalpha() for b in data]
+            want = [*p[keep].sum(axis=0), sum(keep)]
             assert np.allclose(total, want, atol=1e-4)
 
 
+def test_every_byte_is_read_in_order():
+    net = ByteNetwork.fresh(["x", "y"], 4, np.random.default_rng(1))
+    text = "Ein, zwei;\n(drei) " + "vier" * 20 + " é"
+    p = Reader(net).positions(text)
+    assert p.shape == (len(text.encode()), 2) and np.allclose(p.sum(axis=1), 1)
+    at = 0
+    for piece in text.split(" "):
+        data = langid.unit(piece)
+        for a in range(0, len(data), langid.SLICE):
+            part = data[a : a + langid.SLICE]
+            want = net.forward(*as_rows([part]))["p"][:, 0]
+            assert np.allclose(p[at : at + len(part)], want[: len(p) - at], atol=1e-6)
+            at += len(part)
+    assert at == len(p) + 1
+
+
+def test_training_reads_whole_texts(spark):
+    texts = {1: ("the " * 3000 + "end, of.  it", "en"), 2: ("der die das", "de"), 3: (None, "de"), 4: ("no label", None)}
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in texts.items()], "doc_id long, text string, lang string")
+    got = langid.training_slices(docs, "text", "lang", langid.F.lit(0).cast("long"))
+    want = Counter((lang, s) for t, lang in texts.values() if t and lang for s in langid.sliced(map(langid.unit, t.split(" "))))
+    assert {(lang, s): n for lang, s, n in got} == want
+    assert want["en", b"the "] == 3000 and want["en", b" "] == 1
+
+
 def test_held_out_documents_are_recognised(spark, documents):
     truth = {r["doc_id"]: r["lang"] for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "lang"]).to_pylist()}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -60,7 +82,7 @@ def test_held_out_documents_are_recognised(spark, documents):
 
 
 def test_awkward_rows(awkward, rows, empty):
-    net = fit([("en", b"the"), ("de", b"der")] * 5, steps=3)
+    net = fit([("en", b"the ", 5), ("de", b"der ", 5)], steps=3)
     got = predict(awkward, net).collect()
     want = Counter(i for i, _ in rows)
     assert Counter(r.doc_id for r in got) == want

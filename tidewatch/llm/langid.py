@@ -1,16 +1,18 @@
 """Language identification with a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of a word forwards and backwards and gives every position a probability for each language; a document's
+The network reads the bytes of a text forwards and backwards and gives every position a probability for each language; a document's
 probabilities are the mean over the positions of letters in its whole text. It is trained here in numpy, by backpropagation through time.
-The state starts anew at each word (a stretch between ASCII white space without the signs at its ends, ASCII letters small, in slices of
-at most ``SLICE`` bytes), so words can run as one matrix, and what a word adds is the same wherever it stands: workers remember it for
-a bounded number of words.
 
-Training takes words, spread evenly over whole documents, from about ``docs_per_language`` labelled documents of each language, chosen
-by hash. That bound is the method's own parameter; everything else covers all rows and whole texts.
+A text is taken as units: what stands before a space, with that space, ASCII letters small, in slices of at most ``SLICE`` bytes. Units
+hold every byte of a text once (and a space behind its end). The state starts anew at each, so units can run as one matrix, and what a unit
+adds is the same wherever it stands: workers remember it for a bounded number of units.
+
+Training reads the whole texts of about ``docs_per_language`` labelled documents of each language, chosen by hash; units are drawn as often as they
+stand there. That bound is the method's own parameter; everything else covers all rows and whole texts.
 
 Defined cases: a null text, one without a letter, and any text when nothing was learned give ``und`` and score 0; a null label is not
-learned from; a null key is not held out; repeated rows give repeated results; an empty table gives no rows; other columns are not read.
+learned from; a null key is not held out; a very long text is read whole; repeated rows give repeated results; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -24,27 +26,30 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import stored
 from tidewatch.llm.tokens import Memory
 
 UNKNOWN = "und"
 HIDDEN = 16
 SLICE = 32
 DOCS_PER_LANGUAGE = 600
-WORDS_PER_DOC = 60
 STEPS = 500
 BATCH = 512
 RATE = 0.01
 SEED = 7
-#: Stripped from both ends of a word: ASCII signs.
-SIGNS = bytes(b for b in range(128) if not chr(b).isalnum())
-
 #: Bytes that count as letters: ASCII letters, and all bytes of other characters.
 LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 
 
-def plain(word: str) -> bytes:
-    """The bytes that the network reads of a word: without signs at its ends, ASCII letters small."""
-    return word.encode("utf-8", "surrogatepass").strip(SIGNS).lower()
+def unit(piece: str) -> bytes:
+    """The bytes that the network reads of a piece that a space ends, or the text's end."""
+    return piece.encode("utf-8", "surrogatepass").lower() + b" "
+
+
+def sliced(units: Iterable[bytes]) -> Iterator[bytes]:
+    for u in units:
+        for a in range(0, len(u), SLICE):
+            yield u[a : a + SLICE]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -150,19 +155,20 @@ def as_rows(words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return rows.reshape(len(words), width), lengths
 
 
-def fit(examples: Sequence[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> ByteNetwork:
-    """Trains on (language, word) pairs with Adam; batches take every language alike."""
+def fit(examples: Sequence[tuple[str, bytes, int]], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> ByteNetwork:
+    """Trains on (language, slice, how often it occurs) with Adam; batches take every language alike."""
     rng = np.random.default_rng(seed)
     examples = sorted(examples)
-    languages = sorted({lang for lang, _ in examples})
+    languages = sorted({lang for lang, _, _ in examples})
     net = ByteNetwork.fresh(languages, hidden, rng)
     if len(languages) < 2:
         return net
-    by = [[w for lang, w in examples if lang == name] for name in languages]
+    by = [[w for lang, w, _ in examples if lang == name] for name in languages]
+    upto = [np.cumsum([n for lang, _, n in examples if lang == name]) for name in languages]
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in net.weights()]
     share = max(1, batch // len(languages))
     for step in range(1, steps + 1):
-        words = [pool[i] for pool in by for i in rng.integers(0, len(pool), share)]
+        words = [pool[i] for pool, sums in zip(by, upto, strict=True) for i in np.searchsorted(sums, rng.integers(0, sums[-1], share), side="right")]
         labels = np.repeat(np.arange(len(languages)), share)
         _, grads = net.gradients(*as_rows(words), labels)
         now = rate * min(1.0, 2 * (1 - step / (steps + 1)))  # constant, then falling to zero
@@ -180,16 +186,27 @@ class Reader:
     net: ByteNetwork
     memory: Memory = field(default_factory=Memory)
 
-    def _run(self, words: list[bytes]) -> np.ndarray:
-        """For each word: its positions' probabilities added up over letters, and the number of these."""
-        cuts = [(i, w[a : a + SLICE]) for i, w in enumerate(words) for a in range(0, len(w), SLICE)]
-        out = np.zeros((len(words), len(self.net.languages) + 1))
+    def positions(self, text: str) -> np.ndarray:
+        """The probability of each language (column) at every byte of a text."""
+        slices = list(sliced(map(unit, text.split(" "))))
+        found = np.empty((sum(map(len, slices)), len(self.net.languages)))
+        begins = np.cumsum([0, *map(len, slices)])
+        for begin in range(0, len(slices), 4096):
+            p = self.net.forward(*as_rows(slices[begin : begin + 4096]))["p"]
+            for i, s in enumerate(slices[begin : begin + 4096]):
+                found[begins[begin + i] : begins[begin + i + 1]] = p[: len(s), i]
+        return found[:-1]
+
+    def _run(self, units: list[bytes]) -> np.ndarray:
+        """For each unit: its positions' probabilities added up over letters, and the number of these."""
+        cuts = [(i, u[a : a + SLICE]) for i, u in enumerate(units) for a in range(0, len(u), SLICE)]
+        out = np.zeros((len(units), len(self.net.languages) + 1))
         if not self.net.languages:
             return out
         cuts.sort(key=lambda c: len(c[1]))
         for begin in range(0, len(cuts), 4096):
             few = cuts[begin : begin + 4096]
-            rows, lengths = as_rows([w for _, w in few])
+            rows, lengths = as_rows([u for _, u in few])
             run = self.net.forward(rows, lengths)
             letters = (LETTER[rows] & (run["there"] > 0)).T.astype(np.float32)
             total = np.concatenate([(run["p"] * letters[..., None]).sum(axis=0), letters.sum(axis=0)[:, None]], axis=1)
@@ -198,14 +215,14 @@ class Reader:
 
     def read(self, texts: Sequence[str]) -> np.ndarray:
         """For each text: probabilities added up over letters, and the number of these."""
-        split = pc.ascii_split_whitespace(pa.array(texts, type=pa.string()))
+        split = pc.split_pattern(pa.array(texts, type=pa.string()), " ")
         offsets = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
-        words = [plain(w) for w in coded.dictionary.to_pylist()]
-        new = self.memory.missing(set(words))
+        units = list(map(unit, coded.dictionary.to_pylist()))
+        new = self.memory.missing(set(units))
         self.memory.add(new, [row.tobytes() for row in self._run(new).astype(np.float32)])
         width = len(self.net.languages) + 1
-        table = np.frombuffer(b"".join(map(self.memory.young.__getitem__, words)), dtype=np.float32).reshape(-1, width)
+        table = np.frombuffer(b"".join(map(self.memory.young.__getitem__, units)), dtype=np.float32).reshape(-1, width)
         self.memory.settle()
         rows = table[coded.indices.to_numpy()].astype(float)
         out = np.zeros((len(texts), width))
@@ -222,28 +239,22 @@ class Reader:
         return self.net.languages[best], round(min(1.0, max(0.0, float(mean[best]))), 6)
 
 
-def training_words(docs: DataFrame, text_col: str, lang_col: str, draw: Column, docs_per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """(language, word) pairs from about ``docs_per_language`` documents of each language: those of the smallest draws."""
+def training_slices(docs: DataFrame, text_col: str, lang_col: str, draw: Column, docs_per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, bytes, int]]:
+    """(language, slice, how often) of the whole texts of about ``docs_per_language`` documents of each language: those of the smallest draws."""
     labelled = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), draw.alias("draw")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return []
-    parts = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, docs_per_language / n))])
-    chosen = labelled.filter((F.shiftrightunsigned("draw", 11).cast("double") / float(1 << 53)) < parts[F.col("lang")])
+    shares = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(docs_per_language)) / F.count(F.lit(1))).alias("share"))
+    drawn = labelled.join(stored(shares, "language-shares"), "lang")
+    chosen = drawn.filter((F.shiftrightunsigned("draw", 11).cast("double") / float(1 << 53)) < F.col("share"))
 
-    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, found = [], []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                all_words = [w for w in map(plain, text.split()) if LETTER[np.frombuffer(w, np.uint8)].any()]
-                few = all_words[:: -(-len(all_words) // WORDS_PER_DOC)] if all_words else []
-                few = [w[a : a + SLICE] for w in few for a in range(0, len(w), SLICE)]
-                langs += [lang] * len(few)
-                found += few
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(found, pa.binary())], names=["lang", "word"])
+                found = pa.array(list(sliced(map(unit, text.split(" ")))), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), found], names=["lang", "slice"])
 
-    table = chosen.select("lang", "text").mapInArrow(words, "lang string, word binary").toArrow()
-    return list(zip(table.column("lang").to_pylist(), table.column("word").to_pylist(), strict=True))
+    counted = chosen.select("lang", "text").mapInArrow(cut, "lang string, slice binary").groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("n"))
+    table = counted.toArrow()
+    return list(zip(*[table.column(c).to_pylist() for c in ("lang", "slice", "n")], strict=True))
 
 
 def held_out(key: Column) -> Column:
@@ -253,7 +264,7 @@ def held_out(key: Column) -> Column:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> ByteNetwork:
     known = docs.filter(~held_out(F.col(id_col)))
-    return fit(training_words(known, text_col, lang_col, F.xxhash64(F.col(id_col)), docs_per_language))
+    return fit(training_slices(known, text_col, lang_col, F.xxhash64(F.col(id_col)), docs_per_language))
 
 
 _READERS: dict[str, Reader] = {}

@@ -8,8 +8,8 @@ the prior and is not condemned by chance.
 A host may hold any share of the rows: the sums are combined before the shuffle, and only condemned hosts are joined back, from a stored table whose
 real size decides whether Spark broadcasts it.
 
-Defined cases: a null text has no words and fails; a null host is nobody's and gets no verdict; repeated rows are judged and
-counted each; an empty table gives no rows. Text is split at ASCII white space only.
+Defined cases: a null text has no words and fails; a null host is nobody's and gets no verdict; a very long text is read whole; repeated rows are judged and
+counted each; an empty table gives no rows; other columns pass through ``keep_good`` and are not read by ``judge_documents``. Text is split at ASCII white space only.
 """
 
 from __future__ import annotations

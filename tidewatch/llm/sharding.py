@@ -5,8 +5,9 @@ only the records for which the new shard wins, and weights shift shares in propo
 The shard count is a parameter, so the draws are one expression over a bounded array, and nothing is shuffled to place a
 record. Slots (gapless numbers in a shard) come from one range shuffle of narrow rows and one count per block.
 
-Defined cases: a null text has size 1 and the crc of no bytes; all null keys share one shard; rows with
-the same key share a shard and get slots of their own; an empty table gives no rows.
+Defined cases: a null text has size 1 and the crc of no bytes; a very long text is measured whole; all null keys share one shard; rows with
+the same key share a shard and get slots of their own, and any number of them spreads over several tasks; an empty table gives no rows; other
+columns are not read by ``shard_documents`` and are written by ``write_shards``.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ def rendezvous(key: Column, weights: Mapping[int, float]) -> Column:
 def with_slots(rows: DataFrame, shard: str, order: str) -> DataFrame:
     """Adds ``slot``: 0, 1, 2, ... in each shard by ``order``.
 
-    Rows are ranged by (shard, order), so a shard spreads over many tasks. A block knows where its shards begin from one
+    Rows are ranged by (shard, order, a number that breaks ties), so a shard, and one value of ``order``, spreads over many tasks. A block knows where its shards begin from one
     count per (block, shard): at most blocks + shards rows, which is what is broadcast.
     """
     spark = rows.sparkSession
-    ranged = rows.repartitionByRange(partitions(spark), shard, order).sortWithinPartitions(shard, order)
+    tied = rows.withColumn("tie", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(partitions(spark), shard, order, "tie").sortWithinPartitions(shard, order, "tie").drop("tie")
     numbered = stored(ranged.withColumn("nth", F.monotonically_increasing_id()).withColumn("block", F.spark_partition_id()), "slots")
     counts = numbered.groupBy("block", shard).agg(F.count(F.lit(1)).alias("n"), F.min("nth").alias("first"))
     before = F.sum("n").over(Window.partitionBy(shard).orderBy("block").rowsBetween(Window.unboundedPreceding, -1))

@@ -1,14 +1,15 @@
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_near_and_quality import slow_fingerprint, slow_metrics, wanted
+from tests.llm.test_near_and_quality import slow_condemned, slow_fingerprint, slow_metrics, wanted
 from tests.llm.test_spans import slow_secrets
+from tests.llm.test_tokens import WORDS, library
 from tidewatch.llm import langid, tokens
 from tidewatch.llm.langid import ByteNetwork, Reader, as_rows, fit, identify_languages, predict
 
@@ -119,7 +120,8 @@ def test_every_stage_against_brute_force(staged):
         m = slow_metrics(text or "")
         return m[0] < 10 or 100 * m[4] > 20 * m[0]
 
-    assert {r["doc_id"] for r in good} == {i for i, r in by_id.items() if not fails(r["text"])}
+    condemned = slow_condemned([(r["source"], fails(r["text"])) for r in raw])
+    assert {r["doc_id"] for r in good} == {i for i, r in by_id.items() if not fails(r["text"]) and r["source"] not in condemned}
     last = {}
     for r in good:
         last[r["text"]] = max(last.get(r["text"], -1), r["doc_id"])
@@ -127,14 +129,37 @@ def test_every_stage_against_brute_force(staged):
     stay = {c[1] for _, _, c in wanted([(r["doc_id"], r["text"]) for r in single])}
     assert Counter(r["doc_id"] for r in apart) == Counter(stay)
     assert len({slow_fingerprint(r["text"]) for r in apart}) == len(apart)
-    assert Counter(r["doc_id"] for r in clean) == Counter(stay)
-    for r in clean:
-        assert not slow_secrets(r["text"])[1] or "[secret]" in r["text"]
-        assert (r["text"] == by_id[r["doc_id"]]["text"]) == (not slow_secrets(by_id[r["doc_id"]]["text"])[1])
-        assert r["n_chars"] == len(r["text"])
+    for df in (good, single, apart):
+        assert all(r == by_id[r["doc_id"]] for r in df)
+    want = []
+    for i in stay:
+        row = by_id[i]
+        text, at, out = row["text"], 0, ""
+        spans = slow_secrets(text)[1]
+        for k, (start, _, _, end) in enumerate(spans):
+            if start > at or k == 0:
+                out += text[at:start] + "[secret]"
+            at = max(at, end)
+        clear = out + text[at:]
+        want.append({**row, "text": clear, "n_chars": len(clear) if spans else row["n_chars"]})
+    assert sorted(clean, key=lambda r: r["doc_id"]) == sorted(want, key=lambda r: r["doc_id"])
+    assert any("[secret]" in r["text"] for r in clean)
     for df, source in zip(staged[1:-1], staged[:-2], strict=True):
         assert df.columns == source.columns
-    assert {r["doc_id"] for r in packed} == stay
+    pieces = Counter()
+    for r, ids in zip(clean, library(WORDS, [r["text"] for r in clean]), strict=True):
+        ids = [*ids, 0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = np.array(ids[start : start + 2048], dtype="<u4").tobytes()
+            pieces[r["doc_id"], piece, start, len(part) // 4, zlib.crc32(part)] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed) == pieces
+    taken = defaultdict(list)
+    for r in packed:
+        taken[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in taken.values():
+        places.sort()
+        assert [o for o, _ in places] == [0, *np.cumsum([n for _, n in places])[:-1].tolist()] and sum(n for _, n in places) <= 2048
+    assert len(taken) <= 1.02 * sum(r["length"] for r in packed) / 2048 + 1
 
 
 def test_pipeline_of_awkward_and_no_rows(spark, awkward, empty):

@@ -73,6 +73,15 @@ def test_one_of_each_class_stays(awkward, rows):
     assert {place[key(r.doc_id), r.text]: key(r.doc_id) for r in left.collect()} == least and left.count() == len(least)
 
 
+def test_keys_may_be_texts(spark):
+    text = " ".join(f"word{i}" for i in range(300))
+    rows = [("b", text), ("a", text), ("c", text + " more"), ("d", "quite another one"), (None, text)]
+    df = spark.createDataFrame(rows, "name string, body string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, "name", "body").collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "d", None: "a"}
+    assert sorted(r.name for r in keep_one_of_each(df, "name", "body").collect()) == ["a", "d"]
+
+
 def test_nothing(empty):
     assert near_duplicates(empty).isEmpty()
     assert keep_one_of_each(empty).isEmpty()
@@ -171,6 +180,44 @@ def test_judged_documents(awkward, rows):
     assert keep_good(awkward).count() == sum(r.kept for r in got)
 
 
+def slow_condemned(judged):
+    """Hosts above the limit, from (host, failed) of every document: a beta prior by the moments of all hosts' rates."""
+    n, f = Counter(), Counter()
+    for host, failed in judged:
+        if host is not None:
+            n[host] += 1
+            f[host] += failed
+    if not n:
+        return set()
+    total = sum(n.values())
+    mean = (sum(f.values()) + 0.5) / (total + 1)
+    spread = sum(f[h] ** 2 / n[h] for h in n) / total - (sum(f.values()) / total) ** 2
+    within_hosts = mean * (1 - mean) * len(n) / total
+    weight = 1e6
+    if spread > within_hosts:
+        weight = min(1e6, max(1.0, mean * (1 - mean) / (spread - within_hosts) - 1))
+    out = set()
+    for h in n:
+        a, size = f[h] + mean * weight, n[h] + weight
+        rate = a / size
+        if rate - 2 * (rate * (1 - rate) / (size + 1)) ** 0.5 > 0.5:
+            out.add(h)
+    return out
+
+
+def test_condemned_hosts_equal_brute_force(spark):
+    r = random.Random(11)
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = []
+    for h in range(40):
+        share = r.choice([0, 0.1, 0.5, 0.9, 1])
+        rows += [(len(rows) + k, "short" if r.random() < share else good, f"host{h}") for k in range(r.randrange(1, 60))]
+    judged = judge_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    bad = slow_condemned([(h, t == "short") for _, t, h in rows])
+    assert 3 < len(bad) < 37
+    assert {x.doc_id for x in judged if x.kept} == {i for i, t, h in rows if t == good and h not in bad}
+
+
 def test_bad_hosts_lose_their_good_documents(spark):
     good = " ".join(f"word{i}" for i in range(40))
     rows = [(i, "short", f"bad{i % 3}") for i in range(300)] + [(300 + i, good + str(i), f"bad{i % 3}") for i in range(9)]

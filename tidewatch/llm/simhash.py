@@ -16,7 +16,7 @@ own. Only distinct fingerprints take part, so a group of copies of any size coun
 What reaches the driver has a fixed size: counts of part values (at most 64/16 x 65,536 numbers) and the bits' correlations (64 x 64).
 
 Defined cases: a null or empty text, and one without words, has fingerprint zero and is linked like any other; fewer words than a
-shingle make one shingle of them all; null keys never name a class unless all of its keys are null; repeated rows share a class;
+shingle make one shingle of them all; a very long text is read whole; keys may be of any type that has an order; null keys never name a class unless all of its keys are null; repeated rows share a class;
 an empty table gives no rows; other columns are not read.
 """
 
@@ -79,8 +79,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"]
             )
 
-    rows = with_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(of, "doc_id long, text_hash long, fp long")
+    rows = with_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(of, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def _fps(batch: pa.RecordBatch) -> np.ndarray:
@@ -321,7 +321,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     goes = stored(found.filter(~F.col("stands")).select("mark").distinct(), "goes")
     again = stored(found.filter("stands").groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"), "again")
     # Structs compare nulls as equal values.
-    rows = carried(docs, mark=F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash")))
+    rows = carried(docs, mark=F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash")))
     stay = rows.join(goes, "mark", "left_anti")
     repeated = stay.join(again, "mark", "left_semi").dropDuplicates(["mark"])
     return stay.join(again, "mark", "left_anti").unionByName(repeated).select(f"{ROW}.*")

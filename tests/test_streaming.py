@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at, iso
 from tidewatch.operators.approvals import resolve_approvals
 from tidewatch.operators.bursts import detect_bursts
+from tidewatch.operators.lifecycle import LIFECYCLE, lifecycle
 from tidewatch.operators.metrics import enrich_metrics
 from tidewatch.operators.remediation import apply_cooldown
 from tidewatch.schemas import LOGS_RAW, METRICS_RAW
@@ -16,6 +17,7 @@ from tidewatch.sources.logstore import normalize_log_lines
 from tidewatch.sources.topics import read_topic
 from tidewatch.streaming import operators as O
 from tidewatch.streaming import sinks
+from tidewatch.streaming.lifecycle import lifecycle_stream
 
 CLOCK = ", seq bigint"
 
@@ -242,3 +244,82 @@ def test_latest_skips_what_is_there(spark, tmp_path):
     assert sorted(plain(read_topic(spark, "logs_raw", path=target), "service")) == [("between",), ("new",)]
     with pytest.raises(ValueError):
         read_topic(spark, "logs_raw", path=str(source), start="latest", stream=True)
+
+
+STREAMS = {
+    "incidents": "incident_id string, service string, incident_type string, ts timestamp",
+    "intents": "action_id string, incident_id string, rule_id string, action_type string, target_service string, ts timestamp",
+    "results": "action_id string, status string, result_at timestamp",
+}
+
+
+def lifecycle_rows(n, seed):
+    """(incidents, intents, results) in order of time, several intents for some incidents, some records twice."""
+    rng = random.Random(seed)
+    incidents = [(f"i{k}", rng.choice("ab"), "T", at(100 + 10 * k)) for k in range(n)]
+    intents, results = [], []
+    for k in range(n):
+        for rule in ("r1", "r2")[: rng.randrange(3)]:
+            begin = 100 + 10 * k + rng.randrange(60)
+            action = f"{rule}-{k}"
+            intents.append((action, f"i{k}", rule, "SCALE_UP", "t", at(begin)))
+            if rng.random() < 0.8:
+                results.append((action, "PENDING_APPROVAL", at(begin)))
+            if rng.random() < 0.7:
+                results.append((action, rng.choice(["EXECUTED", "DENIED", "EXPIRED", "FAILED"]), at(begin + rng.randrange(1, 300))))
+    out = {"incidents": incidents, "intents": sorted(intents, key=lambda r: r[-1]), "results": sorted(results, key=lambda r: r[-1])}
+    return {name: [r for row in rows for r in [row] * (1 + (rng.random() < 0.1))] for name, rows in out.items()}
+
+
+def run_lifecycle(spark, root, horizon="20 minutes"):
+    def read(name):
+        return spark.readStream.schema(STREAMS[name]).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+
+    stream = lifecycle_stream(read("incidents"), read("intents"), read("results"), horizon, "30 seconds")
+    run_to_parquet(stream, f"{root}/out", f"{root}/cp")
+    return sorted(tuple(map(str, r)) for r in spark.read.parquet(f"{root}/out").filter("incident_id NOT LIKE 'end%'").collect())
+
+
+def add_rows(spark, root, name, rows):
+    path = f"{root}/{name}"
+    spark.createDataFrame(rows, STREAMS[name]).coalesce(1).write.mode("append").parquet(path)
+
+
+def add_end(spark, root, n):
+    later = at(10**6 * n)
+    add_rows(spark, root, "incidents", [(f"end{n}", "", "", later)])
+    add_rows(spark, root, "intents", [(f"end{n}", f"end{n}", "", "", "", later)])
+    add_rows(spark, root, "results", [(f"end{n}", "EXECUTED", later)])
+
+
+def test_lifecycle_stream_with_restart_and_late_rows(spark, tmp_path):
+    root, rows = str(tmp_path), lifecycle_rows(90, 3)
+    early = []
+    for half in (0, 1):
+        for part in (2 * half, 2 * half + 1):
+            for name, found in rows.items():
+                size = -(-len(found) // 4)
+                add_rows(spark, root, name, found[part * size : (part + 1) * size])
+        early.append(run_lifecycle(spark, root))
+    # Long behind the streams, and behind what they still may bring.
+    add_end(spark, root, 1)
+    run_lifecycle(spark, root)
+    add_rows(spark, root, "incidents", [("late", "a", "T", at(5))])
+    add_rows(spark, root, "intents", [("late", "i3", "r9", "SCALE_UP", "t", at(6))])
+    add_rows(spark, root, "results", [("r1-3", "EXECUTED", at(7))])
+    add_end(spark, root, 2)
+    got = run_lifecycle(spark, root)
+    want = lifecycle(*[spark.createDataFrame(found, STREAMS[name]) for name, found in rows.items()]).select(*LIFECYCLE)
+    assert got == sorted(tuple(map(str, r)) for r in want.collect())
+    assert 0 < len(early[0]) < len(early[1]) < len(got)
+    assert any(r[11] == "None" and r[4] != "None" for r in got) and any(r[4] == "None" for r in got)
+
+
+def test_lifecycle_stream_of_rows_beyond_the_horizon(spark, tmp_path):
+    root = str(tmp_path)
+    add_rows(spark, root, "incidents", [("i1", "a", "T", at(0 + 100)), ("i2", "a", "T", at(100))])
+    add_rows(spark, root, "intents", [("a1", "i1", "r", "SCALE_UP", "t", at(100 + 1200)), ("a2", "i2", "r", "SCALE_UP", "t", at(100 + 1201))])
+    add_rows(spark, root, "results", [("a1", "EXECUTED", at(100 + 1200 + 1201)), ("none", "EXECUTED", at(90))])
+    add_end(spark, root, 1)
+    got = [(r[0], r[4], r[11]) for r in run_lifecycle(spark, root)]
+    assert got == [("i1", "a1", "None"), ("i2", "None", "None")]

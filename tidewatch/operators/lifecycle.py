@@ -11,6 +11,23 @@ from tidewatch.functions.scalars import micros
 from tidewatch.operators.approvals import TERMINAL
 
 
+# Columns of one (incident, action).
+LIFECYCLE = (
+    "incident_id", "service", "incident_type", "incident_at", "action_id", "rule_id", "action_type",
+    "target_service", "intent_at", "pending_at", "terminal_at", "terminal_status", "sec_to_intent",
+    "sec_to_terminal",
+)
+
+
+def waiting_times(df: DataFrame) -> DataFrame:
+    """Adds the seconds from incident to intent and from intent to the final result."""
+
+    def seconds(later: str, earlier: str):
+        return (micros(later) - micros(earlier)) / 1e6
+
+    return df.withColumns({"sec_to_intent": seconds("intent_at", "incident_at"), "sec_to_terminal": seconds("terminal_at", "intent_at")})
+
+
 def lifecycle(
     incidents: DataFrame, intents: DataFrame, results: DataFrame, ts: str = "ts", result_ts: str = "result_at"
 ) -> DataFrame:
@@ -39,19 +56,7 @@ def lifecycle(
     handled = acted.join(outcome, "action_id", "left")
     out = opened.join(handled, "incident_id", "left")
 
-    def seconds(later: str, earlier: str):
-        return (micros(later) - micros(earlier)) / 1e6
-
-    return out.withColumns(
-        {
-            "sec_to_intent": seconds("intent_at", "incident_at"),
-            "sec_to_terminal": seconds("terminal_at", "intent_at"),
-        }
-    ).select(
-        "incident_id", "service", "incident_type", "incident_at", "action_id", "rule_id", "action_type",
-        "target_service", "intent_at", "pending_at", "terminal_at", "terminal_status", "sec_to_intent",
-        "sec_to_terminal",
-    )
+    return waiting_times(out).select(*LIFECYCLE)
 
 
 def match_by_keys(

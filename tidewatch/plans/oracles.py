@@ -534,3 +534,6 @@ ORACLES["stream_approvals"] = _q(
              UNION ALL SELECT sec + late FROM answered WHERE said IS NOT NULL))""",
     True,
 )
+
+# The same rows, given out while they happen.
+ORACLES["stream_lifecycle"] = ORACLES["remediation_lifecycle"]

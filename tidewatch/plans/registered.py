@@ -25,6 +25,7 @@ from tidewatch.sources import logstore as S
 from tidewatch.sources import topics as T
 from tidewatch.sources.rulebook import load_rules
 from tidewatch.streaming import sinks
+from tidewatch.streaming.lifecycle import lifecycle_stream
 from tidewatch.streaming.operators import detect_bursts_stream, resolve_approvals_stream, rolling_stats_stream
 
 # Limits at which the test events, one per second, give incidents of every kind.
@@ -506,15 +507,17 @@ def stream_bursts(spark, sf):
     return spark.read.parquet(f"{out}/batch=*").drop("ts")
 
 
-def _in_order(spark: SparkSession, df: DataFrame, name: str, parts: int = 5) -> DataFrame:
-    """A table written out by ranges of ``seq`` and read back as a stream that takes one range per micro-batch."""
+def _in_order(spark: SparkSession, df: DataFrame, name: str, parts: int = 5, by: str | Column = "seq", end: DataFrame | None = None) -> DataFrame:
+    """A table written out by ranges of ``by`` and read back as a stream that takes one range per micro-batch, ``end`` last."""
     path = scratch_path(spark, name)
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low, high = df.agg(F.min("seq"), F.max("seq")).first()
+    place = F.col(by) if isinstance(by, str) else by
+    low, high = df.agg(F.min(place), F.max(place)).first()
     for i in range(parts):
-        span = F.col("seq") - F.lit(low or 0)
         width = ((high or 0) - (low or 0)) // parts + 1
-        df.filter(F.floor(span / width) == i).repartition(files).write.mode("append").parquet(path)
+        df.filter(F.floor((place - F.lit(low or 0)) / width) == i).repartition(files).write.mode("append").parquet(path)
+    if end is not None:
+        end.select(*df.columns).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
@@ -570,6 +573,26 @@ def stream_approvals(spark, sf):
     )
 
 
+def stream_lifecycle(spark, sf):
+    """Incidents, intents and results as three streams. A last record of each, much later, lets all bounds pass."""
+    incidents, intents, results = outcomes(spark, sf)
+    end = spark.range(1).select(*[F.lit("end").alias(c) for c in ("incident_id", "action_id", "status")], (F.lit(V.CLOCK_START) + 10**8).cast("timestamp").alias("ts"))
+
+    def stream(df: DataFrame, name: str, at: str, columns: list[str]) -> DataFrame:
+        last = end.withColumnRenamed("ts", at)
+        last = last.select(*[c if c in last.columns else F.lit(None).cast("string").alias(c) for c in columns])
+        return _in_order(spark, df.select(*columns), name, by=F.unix_seconds(at), end=last)
+
+    asked = stream(intents, "intents", "ts", ["action_id", "incident_id", "rule_id", "action_type", "target_service", "ts"])
+    opened = stream(incidents, "incidents", "ts", ["incident_id", "service", "incident_type", "ts"])
+    ended = stream(results, "results", "result_at", ["action_id", "status", "result_at"])
+    out, _, checkpoint = _folders(spark, "lifecycle")
+    _run(lifecycle_stream(opened, asked, ended, horizon="1 hour"), out, checkpoint)
+    return spark.read.parquet(out).filter("incident_id <> 'end'").select(
+        "incident_id", "service", "incident_type", "rule_id", "terminal_status", "sec_to_intent", "sec_to_terminal"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_logs": normalize,
     "keyword_incidents": keyword_incidents,
@@ -628,4 +651,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bursts_keyed": stream_bursts_keyed,
     "stream_cooldown": stream_cooldown,
     "stream_approvals": stream_approvals,
+    "stream_lifecycle": stream_lifecycle,
 }

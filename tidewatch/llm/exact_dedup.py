@@ -120,10 +120,16 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keys = stored(docs.select(F.xxhash64(text).alias("h"), F.unhex(F.sha2(text, 256)).alias("sha"), mark.alias("mark")), "dedup-keys")
     blocks = blocks or filter_blocks(keys.count())
     repeated = stored(repeated_filter(keys, blocks), "dedup-filter")
-    stays = stored(probe(keys, repeated, blocks).filter("maybe").groupBy("sha").agg(F.max("mark").alias("mark")), "dedup-groups")
+    marks = probe(keys, repeated, blocks).filter("maybe").groupBy("sha", "mark").agg(F.count(F.lit(1)).alias("n"))
+    last = F.max(F.struct("mark", "n")).alias("last")
+    stays = stored(marks.groupBy("sha").agg(last).select("sha", "last.*"), "dedup-groups")
     probed = probe(carried(docs, h=F.xxhash64(text), text=text, mark=mark), repeated, blocks)
     alone = probed.filter(~F.col("maybe")).select(f"{ROW}.*")
     maybe = probed.filter("maybe").select(ROW, F.unhex(F.sha2("text", 256)).alias("sha"), "mark")
-    # Wholly equal rows become one before they meet, and a group's other rows spread by their marks. Structs compare nulls as equal values.
-    kept = maybe.dropDuplicates(["sha", "mark"]).join(stays, ["sha", "mark"], "left_semi")
-    return alone.unionByName(kept.select(f"{ROW}.*"))
+    # A group's rows spread by their marks. Structs compare nulls as equal values.
+    out = alone.unionByName(maybe.join(stays.filter("n = 1"), ["sha", "mark"], "left_semi").select(f"{ROW}.*"))
+    equal = stays.filter("n > 1")
+    if equal.isEmpty():
+        return out
+    # Wholly equal rows become one in every task before they meet.
+    return out.unionByName(maybe.dropDuplicates(["sha", "mark"]).join(equal, ["sha", "mark"], "left_semi").select(f"{ROW}.*"))

@@ -29,7 +29,7 @@ LONGEST = 40
 MARKS = ".,;:!?"
 MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 24
+STRIDE = 1 << 23
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
 #: White space but spaces and line breaks: in ASCII, and anywhere.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import micros
 from tidewatch.operators.approvals import TERMINAL
+from tidewatch.operators.joins import hot_values, look_up
 
 
 # Columns of one (incident, action).
@@ -66,11 +67,13 @@ def match_by_keys(
 
     ``keys`` are (left column, right column) pairs in order of preference; ``matched_by`` is the position
     of the winning pair, from 1, and null where nothing matched. A right key that occurs more than once gives its
-    smallest ``value``. Each pair is one equality join, never an OR condition. Null left keys go to a
-    partition of their own row id instead of all to one.
+    smallest ``value``. Each pair is one equality join, never an OR condition; values that many left rows share meet the right
+    table by broadcast, and null keys take part in no match (see ``joins.look_up``).
     """
     out = left
     found: list[tuple[int, str]] = []
+    texts = [F.col(lk).cast("string") for lk, _ in keys]
+    hot = hot_values(left, texts)
     for i, (lk, rk) in enumerate(keys, start=1):
         hit = f"_hit{i}"
         table = (
@@ -78,9 +81,7 @@ def match_by_keys(
             .groupBy(F.col(rk).cast("string").alias("_key"))
             .agg(F.min(value).alias(hit))
         )
-        # Rows with no key would all hash to the same place; a key that cannot match spreads them.
-        spread = F.coalesce(F.col(lk).cast("string"), F.concat(F.lit("\x00"), F.col(left_id).cast("string")))
-        out = out.withColumn("_key", spread).join(table, "_key", "left").drop("_key")
+        out = look_up(out, F.col(lk), table, hot.filter(F.col("place") == i - 1), F.col(left_id))
         found.append((i, hit))
     which = None
     for i, hit in found:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import at
-from tidewatch.operators.blocks import number_rows, rolling, running_total, sorted_blocks, unplaced
+from tidewatch.operators.blocks import last_known, number_rows, rolling, running_total, sorted_blocks, unplaced
 from tidewatch.operators.bursts import all_incidents, burst_fires, detect_bursts, trailing_count
 from tidewatch.operators.folds import block_fold
 from tidewatch.operators.remediation import apply_cooldown, dedup_ttl
@@ -112,6 +112,34 @@ def test_long_step_functions_are_composed_in_few_jobs(spark):
     assert counts[24] - counts[12] <= counts[12] - counts[6] + 6 and counts[24] < 2 * counts[12]
 
 
+@pytest.mark.parametrize("blocks", [1, 7, 40])
+def test_last_known_value(spark, blocks):
+    rows = [(k, p, i, i * 10 if i % 9 == 0 else None) for k, p, i in trace(6)] + [("never", 1, -5, None)]
+    df = spark.createDataFrame(rows, "k string, p bigint, id bigint, v bigint")
+    got = {r.id: r.w for r in last_known(df, ["k"], ["p", "id"], "v", "w", blocks).collect()}
+    known, want = {}, {}
+    for k, _, i, v in rows:
+        known[k] = known.get(k) if v is None else v
+        want[i] = known[k]
+    assert got == want
+
+
+def test_step_functions_of_a_hot_key_spread_over_tasks(spark):
+    """Steps that never meet stay as many as positions; composed, no block of them holds a large share."""
+    from tidewatch.operators.spacing import _composed
+
+    n = 4000
+    steps = [(0, b, b * n + i, b * n + n - 1 - (n - 1 - i) % 7, b * n + 7) for b in range(2) for i in range(n)]
+    frame_of = spark.createDataFrame(steps, "chain long, idx long, upper long, last long, bound long")
+    out = _composed(frame_of, {0: 7}, 8).checkpoint()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n and len(sizes) >= 4 and max(sizes) < n / 2
+    right = [(u, e) for _, b, u, e, _ in steps if b == 1]
+    for r in out.sample(0.02, seed=1).collect():
+        at = next(e for c, b, u, e, _ in steps if b == 0 and u == r.upper) + 7
+        assert r["last"] == next(e for u, e in right if u >= at)
+
+
 def test_greedy_spacing_where_chains_never_meet(spark):
     rows = [("a", i, i) for i in range(300)]
     out = greedy_spacing(frame(spark, rows), ["k"], "p", ["id"], 7, blocks=12)

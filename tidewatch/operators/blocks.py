@@ -307,3 +307,85 @@ def running_total(
 
     cut = sorted_blocks(df, keys, order, blocks)
     return _scan(cut, keys, [], 0, compute, [T.StructField(name, T.LongType())], weight)
+
+
+def last_known(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, blocks: int | None = None
+) -> DataFrame:
+    """The bigint column ``value`` of the last row up to and including this one, in the key, where it is not null.
+
+    With two kinds of rows in one order, this is an as-of join: rows that ask have no value of their own.
+    """
+    cut = sorted_blocks(df, keys, order, blocks)
+    end_schema = T.StructType(
+        [
+            T.StructField(BLOCK, T.IntegerType()),
+            T.StructField("single", T.BooleanType()),
+            T.StructField("value", T.LongType()),
+            *key_fields(cut, keys, "first_"),
+            *key_fields(cut, keys, "last_"),
+        ]
+    )
+    end_arrow = arrow_schema(end_schema)
+
+    def filled(batch: pa.RecordBatch, key: tuple | None, held: int | None) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """(values, where there is none, key of the last row); ``held`` is what is known of ``key`` before the batch."""
+        column = batch.column(value)
+        known = column.is_valid().to_numpy(zero_copy_only=False)
+        values = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = key_starts(batch, keys)
+        row = np.arange(batch.num_rows)
+        first = np.zeros(batch.num_rows, dtype=np.int64)
+        first[starts] = starts
+        first = np.maximum.accumulate(first)
+        source = np.maximum.accumulate(np.where(known, row, -1))
+        inside = source >= first
+        out = np.where(inside, values[np.maximum(source, 0)], 0)
+        none = ~inside
+        if held is not None and key == key_at(batch, keys, 0):
+            early = none & (first == 0)
+            out[early], none[early] = held, False
+        return out, none, key_at(batch, keys, int(starts[-1]))
+
+    def summarize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = key = held = None
+        block, single = 0, True
+        for batch in non_empty(batches):
+            if first is None:
+                first, block = key_at(batch, keys, 0), batch.column(BLOCK)[0].as_py()
+            out, none, key = filled(batch, key, held)
+            single = single and key == first
+            held = None if none[-1] else int(out[-1])
+        if first is not None:
+            end = {BLOCK: block, "single": single, "value": held}
+            end |= {"first_" + c: v for c, v in zip(keys, first, strict=True)}
+            end |= {"last_" + c: v for c, v in zip(keys, key, strict=True)}
+            yield pa.RecordBatch.from_pylist([end], schema=end_arrow)
+
+    carries: dict[int, tuple] = {}
+    running: tuple | None = None
+    for r in sorted(cut.select(*keys, value, BLOCK).mapInArrow(summarize, end_schema).collect(), key=lambda r: r[BLOCK]):
+        first, last = (tuple(r[side + c] for c in keys) for side in ("first_", "last_"))
+        goes_on = running is not None and running[0] == first
+        if goes_on:
+            carries[r[BLOCK]] = running
+        held = r["value"]
+        if held is None and goes_on and r["single"]:
+            held = running[1]
+        running = (last, held)
+
+    kept = [f.name for f in cut.schema.fields if f.name != BLOCK]
+    schema = T.StructType([*[f for f in cut.schema.fields if f.name != BLOCK], T.StructField(name, T.LongType())])
+
+    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = held = None
+        fresh = True
+        for batch in non_empty(batches):
+            if fresh:
+                key, held = carries.get(batch.column(BLOCK)[0].as_py(), (None, None))
+                fresh = False
+            out, none, key = filled(batch, key, held)
+            held = None if none[-1] else int(out[-1])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, mask=none)], names=[*kept, name])
+
+    return cut.mapInArrow(apply, schema)

@@ -15,7 +15,6 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +26,14 @@ from tidewatch.operators.blocks import (
     key_at,
     key_fields,
     key_starts,
+    last_known,
     non_empty,
     sorted_blocks,
 )
 
 GAP = "_gap"
-# Steps that all blocks together send to the driver. If there are more, the functions stay in a table and are composed
-# there; the rows kept are the same.
+# Steps that all blocks together may send to the driver, which then chains them at once. If there are more, the functions stay in a table and are
+# composed there, pair by pair; the rows kept are the same.
 SENT_STEPS = 100_000
 # An entry before every position.
 _EARLIEST = -(1 << 61)
@@ -69,7 +69,10 @@ def _pick(pos: np.ndarray, gap: int, last: int | None) -> tuple[list[int], int |
 
 
 def _steps(blocks: DataFrame, keys: Sequence[str], pos: str, nodes: dict[int, tuple[int, int]]) -> DataFrame:
-    """``chain, idx, upper, last``: the step functions of single-key blocks as rows; ``nodes`` places a block in its chain."""
+    """``chain, idx, upper, last, bound``: the step functions of single-key blocks as rows; ``nodes`` places a block in its chain.
+
+    No chain enters a block behind ``bound``: the last position kept before lies at or before the block's first one.
+    """
 
     def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []  # positions of one block
@@ -78,36 +81,39 @@ def _steps(blocks: DataFrame, keys: Sequence[str], pos: str, nodes: dict[int, tu
             block, gap = batch.column(BLOCK)[0].as_py(), batch.column(GAP)[0].as_py()
             parts.append(batch.column(pos).to_numpy(zero_copy_only=False).astype(np.int64))
         if parts and block in nodes:
-            upper, last = _step_function(np.concatenate(parts), gap)
+            whole = np.concatenate(parts)
+            upper, last = _step_function(whole, gap)
             chain, idx = nodes[block]
-            same = [np.full(len(upper), x, dtype=np.int64) for x in (chain, idx)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, upper, last)], names=["chain", "idx", "upper", "last"])
+            same = [np.full(len(upper), x, dtype=np.int64) for x in (chain, idx, int(whole[0]) + gap)]
+            columns = [same[0], same[1], upper, last, same[2]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["chain", "idx", "upper", "last", "bound"])
 
     return blocks.select(*dict.fromkeys([*keys, pos, GAP, BLOCK])).mapInArrow(functions, _STEPS)
 
 
-_STEPS = "chain long, idx long, upper long, last long"
+_STEPS = "chain long, idx long, upper long, last long, bound long"
 
 
-def _composed(steps: DataFrame, gaps: dict[int, int]) -> DataFrame:
-    """Each two neighbours as one function, with half the ``idx``."""
+def _composed(steps: DataFrame, gaps: dict[int, int], blocks: int | None) -> DataFrame:
+    """Each two neighbours as one function, with half the ``idx``.
 
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["idx", "upper"])
-        left, right = pdf[pdf.idx % 2 == 0], pdf[pdf.idx % 2 == 1]
-        chain, idx = int(pdf.chain.iloc[0]), int(pdf.idx.iloc[0]) // 2
-        ends = left["last"].to_numpy(copy=True)
-        if len(right):
-            at = np.searchsorted(right.upper.to_numpy(), ends + gaps[chain])
-            reached = at < len(right)
-            ends[reached] = right["last"].to_numpy()[at[reached]]
-        # What enters behind the left block goes straight to the right one.
-        behind = right[right.upper > left.upper.max()] if len(left) else right
-        upper, last = np.append(left.upper, behind.upper), np.append(ends, behind["last"])
-        keep = np.append(last[1:] != last[:-1], True)
-        return pd.DataFrame({"chain": chain, "idx": idx, "upper": upper[keep], "last": last[keep]})
-
-    return steps.groupBy("chain", F.floor(F.col("idx") / 2).alias("half")).applyInPandas(lambda pdf: compose(pdf), _STEPS)
+    Where a step of the left function ends asks the right one for its first step at or behind the next allowed position: an as-of join in
+    sorted blocks, so the steps of one key spread over all tasks. Of the right function only the steps behind all of the left one stay, and
+    these only where a chain may enter so late.
+    """
+    spark = steps.sparkSession
+    gap = F.broadcast(spark.createDataFrame(list(gaps.items()), "chain long, gap long"))  # one row per chain of blocks
+    half = F.floor(F.col("idx") / 2).cast("bigint").alias("half")
+    left, right = steps.filter("idx % 2 = 0"), steps.filter("idx % 2 = 1")
+    asked = left.join(gap, "chain").select("chain", half, (-(F.col("last") + F.col("gap"))).alias("_back"), F.lit(1).alias("_asks"), "upper", "last", "bound", F.lit(None).cast("bigint").alias("_goal"))
+    given = right.select("chain", half, (-F.col("upper")).alias("_back"), F.lit(0).alias("_asks"), "upper", "last", "bound", F.col("last").alias("_goal"))
+    # From the last position back, so the step seen last is the first one at or behind the asked position.
+    met = last_known(asked.unionByName(given), ["chain", "half"], ["_back", "_asks", "upper"], "_goal", "_reached", blocks)
+    ends = left.groupBy("chain", half).agg(F.max("upper").alias("_most"), F.max("bound").alias("_bound"))  # one row per node
+    met = met.join(F.broadcast(ends), ["chain", "half"], "left")
+    stays = (F.col("_asks") == 1) | F.col("_most").isNull() | ((F.col("upper") > F.col("_most")) & (F.col("_bound") > F.col("_most")))
+    last = F.when(F.col("_asks") == 1, F.coalesce("_reached", "last")).otherwise(F.col("last"))
+    return met.filter(stays).select("chain", F.col("half").alias("idx"), "upper", last.alias("last"), F.coalesce("_bound", "bound").alias("bound"))
 
 
 def _exits(steps: DataFrame, entries: dict[tuple[int, int], int], gaps: dict[int, int]) -> dict[tuple[int, int], int]:
@@ -118,15 +124,15 @@ def _exits(steps: DataFrame, entries: dict[tuple[int, int], int], gaps: dict[int
     return entries | {(r["chain"], r["idx"]): r["last"] + gaps[r["chain"]] for r in found}
 
 
-def _walk(steps: DataFrame, starts: dict[int, int], sizes: dict[int, int], gaps: dict[int, int]) -> tuple[dict, dict]:
+def _walk(steps: DataFrame, starts: dict[int, int], sizes: dict[int, int], gaps: dict[int, int], blocks: int | None) -> tuple[dict, dict]:
     """(entry, exit) of every (chain, idx): functions are composed pairwise upwards, then entries are handed down.
 
-    Two short jobs per level, and as many levels as the logarithm of the longest chain.
+    A few short jobs per level, and as many levels as the logarithm of the longest chain.
     """
     levels = [steps.checkpoint()]
     counts = [sizes]
     while max(counts[-1].values()) > 1:
-        levels.append(_composed(levels[-1], gaps).checkpoint())
+        levels.append(_composed(levels[-1], gaps, blocks).checkpoint())
         counts.append({c: -(-n // 2) for c, n in counts[-1].items()})
     entries = {(c, 0): x for c, x in starts.items()}
     for level in range(len(levels) - 2, -1, -1):
@@ -279,7 +285,7 @@ def greedy_spacing(
                     entering[s[BLOCK]] = last
                 last, chain = s["last"], None
             running = tuple(s["last_" + k] for k in keys)
-        entries, exits = _walk(_steps(cut, keys, pos, nodes), starts, sizes, gaps)
+        entries, exits = _walk(_steps(cut, keys, pos, nodes), starts, sizes, gaps, blocks)
         for block, (c, i) in nodes.items():
             if entries[c, i] != _EARLIEST:
                 entering[block] = entries[c, i] - gaps[c]

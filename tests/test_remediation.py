@@ -3,17 +3,19 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at, iso
 from tidewatch.operators import remediation as R
-from tidewatch.operators.approvals import ApprovalMachine, resolve_approvals, route_actions
+from tidewatch.operators.approvals import ApprovalMachine, ApprovalTransition, resolve_approvals, route_actions
 from tidewatch.operators.bursts import all_incidents, detect_bursts
 from tidewatch.operators.lifecycle import lifecycle, match_by_keys, missing
 from tidewatch.operators.logs import log_incidents, normalize_logs
 from tidewatch.plans.pipeline import candidates_of, intents_of, results_of
 from tidewatch.schemas import LOGS_RAW
-from tidewatch.sources.rulebook import load_rules
+from tidewatch.functions.scalars import glob_regex
+from tidewatch.sources.rulebook import PREFIX_LENGTHS, filed_prefixes, literal_prefix, load_rules
 
 INCIDENT = (
     "incident_id string, timestamp string, service string, severity string, incident_type string, source string, "
@@ -115,6 +117,40 @@ def test_rules_from_config(spark):
     }
 
 
+def test_literal_beginnings():
+    assert [literal_prefix(p) for p in ("abc", "ab*c", "?b", "a[bc]", "", "a[")] == ["abc", "ab", "", "a", "", "a"]
+    many = ["x" * i + "*" for i in range(100)]
+    cut = filed_prefixes(many)
+    assert all(p.startswith(c) for p, c in zip(many, cut, strict=True)) and len({0, *map(len, cut)}) <= PREFIX_LENGTHS
+    assert filed_prefixes(["*", "abc*", "ab"]) == ["", "abc", "ab"] and filed_prefixes([]) == []
+
+
+def test_very_many_rules_meet_few_incidents(spark):
+    """50,000 rules of one type: the same pairs as all against all, from few candidates."""
+    rng = random.Random(4)
+    patterns = [rng.choice([f"team{i % 97}-svc{i}*", f"team{i % 97}-svc{i}", f"team{i % 97}-s?c{i}", f"team{i % 97}-svc[0-4]{i % 1000}"]) for i in range(49_990)] + ["*", "t*", "?eam*", "[t]eam1*", "", "team5", "te*", "x*", "team", "team*"]
+    config = {"rules": [{"rule_id": f"r{i}", "incident_type": "LATENCY_SPIKE", "pattern": p, "action_type": "SCALE_UP"} for i, p in enumerate(patterns)]}
+    services = [f"team{i % 97}-svc{i}" for i in range(0, 49_990, 2500)] + ["", "t", "team5", "other", "team1-svc31234"]
+    book = load_rules(spark, config)
+    raw = incidents(spark, [incident(i, s) for i, s in enumerate(services)])
+    assert 1 < len(book.prefixes) <= PREFIX_LENGTHS
+    got = {(r.seq, r.rule_id) for r in R.match_rules(raw, book.rules, book.default_severity, book.prefixes).collect()}
+    import re
+
+    # Patterns in Java's spelling; \z is Python's \Z.
+    compiled = [re.compile(glob_regex(p).replace(r"\z", r"\Z")) for p in patterns]
+    assert got == {(n, f"r{i}") for n, s in enumerate(services) for i, c in enumerate(compiled) if patterns[i] in ("", "*") or c.search(s)}
+    met = R.filed_rules(raw, book.rules, book.prefixes).count()
+    assert met < len(services) * len(patterns) / 50
+
+
+def test_incidents_keep_their_columns_beside_those_of_rules(spark):
+    book = load_rules(spark, {"rules": [{"rule_id": "r", "incident_type": "LATENCY_SPIKE", "pattern": "pay*", "action_type": "SCALE_UP"}]})
+    raw = incidents(spark, [incident(0, "payments")]).withColumns({c: F.lit(f"own {c}") for c in ("prefix", "pattern", "regex", "min_severity")})
+    (row,) = R.match_rules(raw, book.rules, prefixes=book.prefixes).collect()
+    assert (row.prefix, row.pattern, row.regex, row.min_severity, row.rule_id) == ("own prefix", "own pattern", "own regex", "own min_severity", "r")
+
+
 def test_alias_incident_gives_one_intent(spark):
     out = intents_of(incidents(spark, [incident(0, "payment-service")]), load_rules(spark)).collect()
     assert len(out) == 1
@@ -222,6 +258,78 @@ def test_hot_action_equals_a_plain_fold(spark):
     assert got == sorted((r["action_id"], r["status"], r["_at"] // 1000) for r in want)
 
 
+def long_life(n, seed, kinds):
+    """Events of one action that never rests for long, with ties."""
+    rng = random.Random(seed)
+    intents, approvals, events, sec = [], [], [], 0
+    for i in range(n):
+        sec += rng.choice([0, 5, 60, 400, 700])
+        kind = rng.choice(kinds)
+        if kind in ("PROPOSED", "APPROVED"):
+            intents.append(intent(i, sec, "hot", kind))
+            row = {"event_type": "ACTION_INTENT", "status": kind, "action_type": "SCALE_UP", "target_service": "payments"}
+        else:
+            approvals.append(approval(i, sec, "hot", kind))
+            row = {"event_type": "ACTION_APPROVAL", "decision": kind, "approver": "op"}
+        events.append({"action_id": "hot", "_at": int(at(sec).timestamp()) * 1_000_000, **row})
+    machine, state, want = ApprovalMachine(True, 900, 600), {}, []
+    for row in events:
+        want += machine.step(state, row)
+    return intents, approvals, sorted((r["status"], r["_at"] // 1000) for r in want)
+
+
+@pytest.mark.parametrize("kinds", [("PROPOSED", "APPROVE", "DENY"), ("APPROVED",), ("PROPOSED", "PROPOSED", "APPROVED", "APPROVE", "DENY")])
+def test_one_long_action_over_many_blocks(spark, kinds):
+    intents, approvals, want = long_life(1500, 7, kinds)
+    a, b = spark.createDataFrame(intents, ACTION), spark.createDataFrame(approvals or [approval(0, 0, None)], APPROVAL)
+    out = resolve_approvals(a, b, blocks=64)
+    assert sorted((r.status, r.ts) for r in out.collect()) == want
+
+
+def test_jobs_do_not_grow_with_the_blocks_of_one_action(spark):
+    intents, approvals, want = long_life(1500, 8, ("PROPOSED", "APPROVE", "DENY"))
+    a, b = spark.createDataFrame(intents, ACTION), spark.createDataFrame(approvals, APPROVAL)
+    jobs = {}
+    for blocks in (4, 16, 64):
+        spark.sparkContext.setJobGroup(f"approvals-{blocks}", "")
+        assert resolve_approvals(a, b, blocks=blocks).count() == len(want)
+        jobs[blocks] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"approvals-{blocks}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[64] <= jobs[4] + 1
+
+
+def test_functions_of_events_equal_the_machine():
+    """The state that a function gives and the one the machine ends in lead to the same results from then on."""
+    rare = 0
+    for seed in range(3000):
+        rng = random.Random(seed)
+        machine = ApprovalMachine(rng.random() < 0.85, rng.choice([0, 3, 9, 20]), rng.choice([0, 2, 6, 15]))
+        kinds = rng.choice([("PROPOSED", "APPROVE", "DENY"), ("PROPOSED", "APPROVED", "APPROVE", "DENY"), ("APPROVED",), ("PROPOSED", "APPROVED")])
+        now, rows = 10**8, []
+        for _ in range(rng.randrange(2, 40)):
+            now += rng.randrange(rng.choice([2, 3, 13])) * 10**6
+            kind = rng.choice(kinds)
+            intended = kind in ("PROPOSED", "APPROVED")
+            rows.append({"action_id": "a", "event_type": "ACTION_INTENT" if intended else "ACTION_APPROVAL", "status": kind if intended else None,
+                         "decision": None if intended else kind, "action_type": "SCALE_UP", "rule_id": str(len(rows)), "_at": now})
+        cut, state = rng.randrange(1, len(rows)), {}
+        for row in rows[:cut]:
+            machine.step(state, row)
+        functions = ApprovalTransition(machine)
+        got = functions.apply(json.loads(json.dumps(functions.summarize(rows[cut:]))), json.loads(json.dumps(state)))
+        if got is None:
+            rare += 1
+            continue
+        for row in rows[cut:]:
+            machine.step(state, row)
+
+        def live(s, now=now, machine=machine):
+            return {k: v for k, v in s.items() if k != "done" or now - v <= machine.dedup_us}
+
+        assert live(got) == live(json.loads(json.dumps(state)))
+    assert rare < 300
+
+
 def test_routing(spark):
     df = spark.createDataFrame([("ACTION_INTENT",), ("ACTION_APPROVAL",), ("ACTION_RESULT",), (None,)], "event_type string")
     a, b = route_actions(df)

@@ -192,3 +192,122 @@ def test_every_tree_can_take_its_full_sample(spark):
 def test_average_path():
     assert (average_path(0), average_path(1), average_path(2)) == (0.0, 0.0, 1.0)
     assert average_path(256) == pytest.approx(10.244, abs=0.001)
+
+
+def days_of(spark, path):
+    return {str(k): sorted(f.rsplit("/", 1)[1] for f in spark.read.option("basePath", path).parquet(v).inputFiles()) for k, v in S.store_days(spark, path).items()}
+
+
+def newest(df, n, **labels):
+    rows = [r for r in df.collect() if all(r[k] == v for k, v in labels.items())]
+    return [r.seq for r in sorted(rows, key=lambda r: (r.ts is not None, r.ts.timestamp() if r.ts else 0, r.seq), reverse=True)[:n]]
+
+
+def test_tail_opens_the_newest_days_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    df = lines(spark)
+    S.write_log_store(df, path)
+    days = list(S.store_days(spark, path).values())
+    assert len(days) == 3
+    assert [r.seq for r in S.tail_store(spark, path, 3000).collect()] == newest(df, 3000)
+    assert [r.seq for r in S.tail_store(spark, path, 2500, severity="warn").collect()] == newest(df, 2500, severity="warn")
+    # A day that is opened can't be read any more.
+    for folder in days[1:]:
+        for file in spark.read.parquet(folder).inputFiles():
+            with open(file.removeprefix("file://"), "wb") as f:
+                f.write(b"broken")
+    assert [r.seq for r in S.tail_store(spark, path, 5, severity="error").collect()] == newest(df, 5, severity="error")
+    with pytest.raises(Exception, match="(?i)parquet|broken|corrupt|footer"):
+        S.tail_store(spark, path, 3000).collect()
+
+
+def test_tail_of_days_with_few_lines_and_lines_without_time(spark, tmp_path):
+    path = str(tmp_path / "store")
+    schema = "source string, topic string, service string, severity string, message string, timestamp string, ts timestamp, seq bigint"
+    rows = [("ops", "t/1", "a", "e=x", "m", None, None if i % 7 == 0 else at(86_400 * i), i) for i in range(20)]
+    S.write_log_store(spark.createDataFrame(rows, schema), path)
+    df = spark.createDataFrame(rows, schema)
+    for n in (1, 4, 16, 17, 19, 100):
+        got = [r.seq for r in S.tail_store(spark, path, n).collect()]
+        assert got == newest(df, n) and len(got) == min(n, 20)
+    assert S.tail_store(spark, path, 5, service="none").isEmpty()
+
+
+def test_retention_rewrites_the_boundary_day_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = lines(spark)
+    # Folders of the boundary day: only late lines, only early lines, and both.
+    extra = spark.createDataFrame(
+        [("ops", "all old", "a", "info", "m", None, at(90_000), 9001), ("ops", "all new", "a", "info", "m", None, at(170_000), 9002), ("ops", "no time", "a", "info", "m", None, None, 9003)], rows.schema
+    )
+    df = rows.unionByName(extra)
+    S.write_log_store(df, path)
+    before = days_of(spark, path)
+    now, cutoff = "2024-01-03 12:00:00", "2024-01-02 12:00:00"
+    done = S.retain_log_store(spark, path, now, hours=24)
+    assert [str(d) for d in done.days] == ["2024-01-01"]
+    assert {p.topic for p in done.dropped} == {"all old"} and {p.topic for p in done.rewritten} == {"incidents", "logs_parsed"} and len(done.rewritten) == 6
+    want = sorted(r.seq for r in df.filter(f"ts >= '{cutoff}' OR ts IS NULL").collect())
+    back = S.read_log_store(spark, path)
+    assert sorted(r.seq for r in back.collect()) == want
+    after = days_of(spark, path)
+    assert after["2024-01-03"] == before["2024-01-03"] and after["None"] == before["None"]
+    kept = back.filter("topic = 'all new'").inputFiles()
+    assert "2024-01-01" not in after and len(kept) >= 1
+    # Again, nothing changes; later, the day goes as a whole.
+    assert S.retain_log_store(spark, path, now, hours=24) == S.Retained((), (), ())
+    assert days_of(spark, path) == after
+    S.retain_log_store(spark, path, "2024-01-04 00:00:00", hours=24)
+    assert sorted(days_of(spark, path)) == ["2024-01-03", "None"]
+    assert S.retain_log_store(spark, str(tmp_path / "nothing"), now) == S.Retained((), (), ())
+
+
+def test_rewritten_store_holds_the_retained_lines(spark, tmp_path):
+    path, out = str(tmp_path / "store"), str(tmp_path / "out")
+    df = lines(spark)
+    S.write_log_store(df, path)
+    S.rewrite_log_store(spark, path, out, "2024-01-03 00:00:00", hours=24, files=2)
+    back = S.read_log_store(spark, out)
+    assert sorted(r.seq for r in back.collect()) == sorted(r.seq for r in df.filter("ts >= '2024-01-02 00:00:00'").collect())
+    assert back.columns == S.read_log_store(spark, path).columns
+
+
+def test_fields_come_from_the_stored_record(spark, tmp_path):
+    path = str(tmp_path / "store")
+    texts = ['{"a": {"b": [1, "x"]}, "n": 95.5, "t": true, "z": null}', "not json", "", None, '{"a": "é\\"q", "n": 12345678901234567890}', '[1, 2]']
+    rows = [("ops", "t", "s", "info", m, iso(i), at(i), i) for i, m in enumerate(texts)]
+    df = spark.createDataFrame(rows, lines(spark).schema)
+    S.write_log_store(df, path)
+    fields = {"a": "$.a", "b": "$.a.b[1]", "n": "$.n", "t": "$.t", "z": "$.z"}
+    want = [('{"b":[1,"x"]}', "x", "95.5", "true", None), (None,) * 5, (None,) * 5, (None,) * 5, ('é"q', None, "12345678901234567890", None, None), (None,) * 5]
+    for frame in (S.read_log_store(spark, path), df):
+        out = S.select_logs(frame, json_fields=fields, source="ops")
+        assert [(r.a, r.b, r.n, r.t, r.z) for r in out.orderBy("seq").collect()] == want
+        assert "get_json_object" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def exact_rank(values, x):
+    return sum(v < x for v in values) / len(values), sum(v <= x for v in values) / len(values)
+
+
+@pytest.mark.parametrize("k", [50, 200])
+def test_sketches_keep_their_error_when_merged(spark, k):
+    rng = random.Random(k)
+    rows = [(at(rng.randrange(7200)), rng.choice("ab"), rng.lognormvariate(3, 1)) for _ in range(40_000)] + [(at(1), "a", None), (None, "a", 1.0)]
+    df = spark.createDataFrame(rows, "ts timestamp, service string, v double").repartition(8)
+    minutes = T.percentile_sketches(df, "v", "1 minute", ["service"], k).checkpoint()
+    assert minutes.agg(F.sum("n")).first()[0] == 40_000 and minutes.count() == 240
+    hours = T.merge_sketches(minutes, "1 hour")
+    for p in (0.05, 0.5, 0.95, 0.999):
+        for r in T.sketched_percentile(hours, p).collect():
+            values = [v for t, s, v in rows if t and v is not None and s == r.service and (t - r.bucket.replace(tzinfo=t.tzinfo)).total_seconds() // 3600 == 0]
+            below, upto = exact_rank(values, r.percentile)
+            assert len(values) == r.n and below - 2 * T.rank_error(k) <= p <= upto + 2 * T.rank_error(k)
+    alone = T.sketched_percentile(T.merge_sketches(minutes, "2 hours", by=[]), 0.5).collect()
+    assert sum(r.n for r in alone) == 40_000
+
+
+def test_percentile_from_a_sketch(spark):
+    df = spark.createDataFrame([(at(i % 60), "a", float(i)) for i in range(100)], "ts timestamp, service string, network_latency_ms double")
+    (row,) = T.latency_percentile(df, p=0.5, exact=False).collect()
+    assert abs(row.percentile - 50) <= 1 and row.service == "a" and row.bucket is not None

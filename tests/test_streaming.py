@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, iso
 from tidewatch.operators.approvals import resolve_approvals
+from tidewatch.operators import timeline
 from tidewatch.operators.bursts import detect_bursts
 from tidewatch.operators.lifecycle import LIFECYCLE, lifecycle
 from tidewatch.operators.metrics import enrich_metrics
@@ -16,7 +17,7 @@ from tidewatch.schemas import LOGS_RAW, METRICS_RAW
 from tidewatch.sources.logstore import normalize_log_lines
 from tidewatch.sources.topics import read_topic
 from tidewatch.streaming import operators as O
-from tidewatch.streaming import sinks
+from tidewatch.streaming import counts, sinks
 from tidewatch.streaming.lifecycle import lifecycle_stream
 
 CLOCK = ", seq bigint"
@@ -323,3 +324,33 @@ def test_lifecycle_stream_of_rows_beyond_the_horizon(spark, tmp_path):
     add_end(spark, root, 1)
     got = [(r[0], r[4], r[11]) for r in run_lifecycle(spark, root)]
     assert got == [("i1", "a1", "None"), ("i2", "None", "None")]
+
+
+def test_counts_are_kept_up_to_date(spark, tmp_path):
+    """Several batches, a restart, late rows and a batch that runs twice give the counts of all rows."""
+    rng, folder = random.Random(8), Folder(tmp_path)
+    schema = "sec double, service string, severity string"
+    rows = [(float(rng.randrange(100_000, 190_000)), rng.choice("ab"), rng.choice(["error", "info"])) for _ in range(600)] + [(None, "a", "error")]
+    table, checkpoint = str(tmp_path / "counts"), str(tmp_path / "cp")
+    parts = chunks(rows, 150)
+
+    def placed(df):
+        return df.withColumn("ts", (F.lit(at(0).timestamp()) + F.col("sec")).cast("timestamp"))
+
+    for stage in (parts[:2], parts[2:]):
+        for part in stage:
+            folder.add(spark, part, schema)
+        counts.count_sink(placed(folder.read(spark, schema)), table, checkpoint, 60, ["service", "severity"]).awaitTermination()
+    batch = placed(spark.createDataFrame(parts[1], schema))
+    counts.write_batch_counts(batch, 1, table, 60, ["service", "severity"])
+    whole = placed(spark.createDataFrame(rows, schema))
+    kept = counts.read_counts(spark, table, ["service", "severity"])
+    for by, span, step in ((["service"], 300, 60), ([], 3600, 600), (["severity", "service"], 60, 120)):
+        got = timeline.count_over_buckets(kept, 60, span, step, by)
+        assert plain(got, "eval_at", *by, "count") == plain(timeline.count_over_time(whole.filter("ts IS NOT NULL"), span, step, by), "eval_at", *by, "count") != []
+    start, end = F.lit(at(150_000)), F.lit(at(172_000))
+    some = counts.read_counts(spark, table, ["service", "severity"], start, end)
+    assert some.agg(F.sum("n")).first()[0] == sum(149_940 < s <= 172_000 and -(-s // 60) * 60 <= 172_000 for s, _, _ in rows if s is not None)
+    assert "dt#" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
+    with pytest.raises(ValueError, match="multiples"):
+        timeline.count_over_buckets(kept, 60, 90, 60)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,6 +156,137 @@ class ApprovalMachine:
         return [] if self.as_of is None else self.expire(state, self.as_of)
 
 
+class ApprovalTransition:
+    """What a run of events of one action does to the state before it, for ``folds.block_fold``.
+
+    While a result blocks repeats, nothing else happens, so a state with a result is known by the first event behind its end, and
+    what follows from an event on with nothing pending and nothing blocked does not depend on the past. These
+    continuations are worked out once from the last event backwards. A pending action that enters is decided by the first event, or expires first and
+    is then a result like any other. The function is a list of times with the end states that hold up to them.
+    """
+
+    # End states that one block may send; a longer function is folded from the state itself.
+    MOST = 2000
+
+    def __init__(self, machine: ApprovalMachine):
+        self.machine = machine
+
+    def _kind(self, row: Mapping) -> str:
+        if row["event_type"] == "ACTION_INTENT":
+            return "ask" if self.machine.require_approval and row.get("status") != "APPROVED" else "run"
+        return ("deny" if row["decision"] == "DENY" else "approve") if self.machine.require_approval else "none"
+
+    def summarize(self, rows: Iterable[Mapping]) -> dict | None:
+        rows = list(rows)
+        at = [r["_at"] for r in rows]
+        kind = [self._kind(r) for r in rows]
+        n, ttl, blocks = len(rows), self.machine.pending_us, self.machine.dedup_us
+
+        def following(wanted: tuple[str, ...]) -> list[int]:
+            out = [n] * (n + 1)
+            for i in range(n - 1, -1, -1):
+                out[i] = i if kind[i] in wanted else out[i + 1]
+            return out
+
+        answer, intent = following(("approve", "deny")), following(("ask", "run"))
+        # End states: (), (done,), or (pending event, done or None). free[i]: from event i on with nothing pending or blocked.
+        free: list[tuple] = [()] * (n + 1)
+        asked: list[tuple] = [()] * n
+
+        def blocked(done: int, i: int) -> tuple:
+            j = max(i, bisect_right(at, done + blocks))
+            return (done,) if j >= n else free[j]
+
+        def both(k: int, done: int, i: int) -> tuple:
+            """Event k is pending and a result of time ``done`` blocks, before event i."""
+            until = at[k] + ttl
+            while True:
+                first_answer, first_intent = answer[i], intent[max(i, bisect_right(at, done + blocks))]
+                expiry, e = max(i, bisect_left(at, until)), min(first_answer, first_intent)
+                if expiry <= e and expiry < n:
+                    return blocked(until, expiry)
+                if e >= n:
+                    return (k, done)
+                if first_answer < first_intent:
+                    again = kind[e] == "approve" and at[e] - done <= blocks
+                    return blocked(done if again else at[e], e + 1)
+                if kind[e] == "ask":
+                    return asked[e]
+                done, i = at[e], e + 1
+
+        for i in range(n - 1, -1, -1):
+            if kind[i] == "ask":
+                e = i + 1
+                if e >= n:
+                    asked[i] = (i, None)
+                elif at[e] >= at[i] + ttl:
+                    asked[i] = blocked(at[i] + ttl, e)
+                elif kind[e] == "ask":
+                    asked[i] = asked[e]
+                elif kind[e] == "run":
+                    asked[i] = both(i, at[e], e + 1)
+                else:
+                    asked[i] = blocked(at[e], e + 1)
+                free[i] = asked[i]
+            elif kind[i] == "run":
+                free[i] = blocked(at[i], i + 1)
+            else:
+                free[i] = free[i + 1]
+
+        # A result is not later than the first event, or than the expiry of what was asked before it.
+        reach = bisect_right(at, at[0] + ttl + blocks)
+        upto: list[int] = []
+        ends: list[tuple] = []
+        for j in range(min(reach + 1, n)):
+            if ends and ends[-1] == free[j]:
+                upto[-1] = at[j] - blocks
+            elif not upto or at[j] - blocks > upto[-1]:
+                upto.append(at[j] - blocks)
+                ends.append(free[j])
+        if len(ends) > self.MOST:
+            return None
+
+        def spelled(end: tuple) -> dict:
+            state: dict = {}
+            if len(end) == 2:
+                k, done = end
+                action = {c: rows[k].get(c) for c in ("action_id", *_INTENT)}
+                state["pending"] = {"action": action, "until": at[k] + ttl}
+            else:
+                done = end[0] if end else None
+            return state if done is None else {**state, "done": done}
+
+        decided = {"approve": blocked(at[0], 1), "deny": blocked(at[0], 1), "ask": asked[0], "none": None, "run": None}[kind[0]]
+        return {
+            "first": at[0],
+            "whole": reach + 1 >= n,
+            "upto": upto,
+            "ends": [spelled(e) for e in ends],
+            "free": spelled(free[0]),
+            "decided": None if decided is None else spelled(decided),
+        }
+
+    def apply(self, summary: dict, state: dict) -> dict | None:
+        first, done, pending = summary["first"], state.get("done"), state.get("pending")
+        if done is not None and first - done > self.machine.dedup_us:
+            done = None
+        if pending is not None and self.machine.require_approval:
+            if first >= pending["until"]:
+                done = pending["until"]
+            elif done is None:
+                return summary["decided"]
+            else:
+                return None
+        elif pending is not None:
+            return None
+        if done is None:
+            return summary["free"]
+        k = bisect_right(summary["upto"], done)
+        if k < len(summary["ends"]):
+            return summary["ends"][k]
+        return {"done": done} if summary["whole"] else None
+
+
 def action_events(intents: DataFrame, approvals: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:
     """Intents and well-formed approvals in one narrow layout for the state machine."""
     keep = ["action_id", "event_type", "status", *_INTENT, "_at", seq]
@@ -188,6 +320,7 @@ def resolve_approvals(
     as_of: Column | str | int | None = None,
     ts: str = "ts",
     seq: str = "seq",
+    blocks: int | None = None,
 ) -> DataFrame:
     """ACTION_RESULT records of a replay, folded per action id in event-time order.
 
@@ -196,5 +329,7 @@ def resolve_approvals(
     end = None if as_of is None else int(as_of) * SECOND
     machine = ApprovalMachine(require_approval, pending_ttl, dedup_ttl, end)
     events = action_events(intents, approvals, ts, seq)
-    out = block_fold(events, ["action_id"], ["_at", seq], machine.step, machine.finish, RESULT_SCHEMA)
+    out = block_fold(
+        events, ["action_id"], ["_at", seq], machine.step, machine.finish, RESULT_SCHEMA, blocks=blocks, transition=ApprovalTransition(machine)
+    )
     return to_results(out, pending_ttl)

@@ -62,23 +62,37 @@ def canonicalize_incidents(df: DataFrame, aliases: DataFrame) -> DataFrame:
     return out
 
 
-def match_rules(incidents: DataFrame, rules: DataFrame, default_severity: str = "warn") -> DataFrame:
+def filed_rules(incidents: DataFrame, rules: DataFrame, prefixes: Sequence[int] = (0,)) -> DataFrame:
+    """Every incident with the rules filed under its type and a beginning of its service: few of all rules of the type.
+
+    ``prefixes`` are the lengths that rules are filed under (``RuleBook.prefixes``). A rule has one, so it meets an incident once.
+    """
+    service = F.coalesce("service", F.lit("unknown"))
+    begins = F.array(*[F.when(F.length(service) >= n, F.substring(service, 1, n)) for n in prefixes])
+    asked = incidents.withColumn("_begin", F.explode(F.filter(begins, lambda x: x.isNotNull())) if len(prefixes) > 1 else F.lit(""))
+    return asked.join(rules, (strip(asked["incident_type"]) == rules["incident_type"]) & (asked["_begin"] == rules["prefix"]))
+
+
+def match_rules(incidents: DataFrame, rules: DataFrame, default_severity: str = "warn", prefixes: Sequence[int] = (0,)) -> DataFrame:
     """Every (incident, rule) pair whose type, severity floor and service pattern fit, with rendered target.
 
-    The incident type is an equality, so this is a broadcast hash join with the rest as residual filter.
+    Incident type and the literal beginning of the pattern are equalities, so this is a hash join in which an incident meets only rules
+    that may fit; the rest is a residual filter. A pattern that begins with a wildcard is filed under its type alone.
     """
-    clash = {c: f"incident_{c}" for c in RULE_COLUMNS if c in incidents.columns}
+    clash = {c: f"incident_{c}" for c in (*RULE_COLUMNS, "prefix", "regex", "pattern", "min_severity") if c in incidents.columns}
     left = incidents.withColumnsRenamed(clash)
     service = F.coalesce(left["service"], F.lit("unknown"))
     severity = F.coalesce(left["severity"], F.lit(default_severity))
-    fits = (
-        (strip(left["incident_type"]) == rules["incident_type"])
-        & (severity_rank(severity) >= severity_rank(rules["min_severity"]))
-        & glob_match_column(service, rules["pattern"], rules["regex"])
-    )
+    if prefixes == (0,):
+        # Nothing to file by: also rules that are longer filed are found.
+        met = left.join(rules, strip(left["incident_type"]) == rules["incident_type"])
+    else:
+        met = filed_rules(left, rules, prefixes)
+    fits = (severity_rank(severity) >= severity_rank(rules["min_severity"])) & glob_match_column(service, rules["pattern"], rules["regex"])
     template = or_default(rules["target_service"], "{service}")
-    return left.join(rules, fits).select(
-        *[left[c] for c in left.columns],
+    back = {new: old for old, new in clash.items() if old not in RULE_COLUMNS}
+    return met.filter(fits).select(
+        *[left[c].alias(back.get(c, c)) for c in left.columns],
         rules["rule_order"],
         rules["rule_id"],
         rules["action_type"],

@@ -537,3 +537,71 @@ ORACLES["stream_approvals"] = _q(
 
 # The same rows, given out while they happen.
 ORACLES["stream_lifecycle"] = ORACLES["remediation_lifecycle"]
+ORACLES["tail_of_store"] = ORACLES["tail_errors"]
+ORACLES["stream_error_count"] = ORACLES["error_count_1m"]
+
+_SERVICE_PATTERNS = ("*", "pay*", "payments", "payments?", "o*s", "orders*", "au[st]h", "auth-*", "d", "db", "db*", "x*", "payments-with-a-long-name*")
+ORACLES["service_rules"] = _q(
+    KEYWORDS,
+    f"""SELECT seq, service, lower(incident_type) || '-' || pattern AS rule_id, n AS cooldown_sec
+        FROM kw, (VALUES {_values(list(enumerate(_SERVICE_PATTERNS)))}) AS r(n, pattern)
+        WHERE service GLOB pattern AND severity IN ('warn', 'error', 'critical')""",
+)
+ORACLES["store_retention"] = _q(
+    LOGS,
+    f"""SELECT seq, severity, strftime(happened_at, {ISO}) AS timestamp, CAST(CAST(happened_at AS DATE) AS VARCHAR) AS dt
+        FROM logs JOIN (SELECT seq, happened_at FROM ev) USING (seq)
+        WHERE date_trunc('second', happened_at) >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 168 HOURS""",
+)
+ORACLES["p95_latency_sketched"] = _q(
+    EVENTS + METRICS, f"SELECT {_bucket(60)}, service, count(*) AS n, TRUE AS close FROM flags WHERE lat IS NOT NULL GROUP BY ALL"
+)
+ORACLES["two_topics"] = _q(
+    LOGS + ML,
+    """SELECT 'logs_parsed' AS topic, service, severity AS kind, timestamp FROM logs
+       UNION ALL SELECT 'ml_output', service, anomaly_type, timestamp FROM ml""",
+)
+ORACLES["stream_restart"] = ORACLES["topic_round_trip"] + " WHERE seq % 4 <> 0"
+
+# The life of each action, event by event.
+ORACLES["approval_repeats"] = _q(
+    PLAIN_SPIKES
+    + f""",
+asked AS (
+  SELECT action_id, CASE WHEN action_id[3] BETWEEN '0' AND '3' THEN 'REBOOT' ELSE action_type END AS action_type, target_service, sec, seq
+  FROM emitted),
+happening AS (
+  SELECT action_id, sec, seq, 'ask' AS what FROM asked
+  UNION ALL SELECT action_id, sec + 300, seq + 300000000, 'ask' FROM asked WHERE action_id[4] BETWEEN '0' AND '9'
+  UNION ALL SELECT action_id, sec + 2000, seq + 2000000000, 'ask' FROM asked WHERE action_id[4] BETWEEN '5' AND 'd'
+  UNION ALL SELECT action_id, sec + late, seq, said FROM answered WHERE said IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY action_id ORDER BY sec, seq) AS k FROM happening),
+life AS (
+  SELECT action_id, 0::BIGINT AS k, NULL::BIGINT AS until, NULL::BIGINT AS done, NULL::BIGINT AS expired, NULL::VARCHAR AS status, NULL::BIGINT AS moment
+  FROM asked
+  UNION ALL
+  SELECT action_id, k,
+         CASE WHEN what = 'ask' AND NOT blocked THEN sec + 900 WHEN what = 'ask' THEN waiting END,
+         CASE WHEN what <> 'ask' AND waiting IS NOT NULL THEN sec ELSE ended END,
+         expired,
+         CASE WHEN what = 'ask' AND NOT blocked THEN 'PENDING_APPROVAL'
+              WHEN what <> 'ask' AND waiting IS NOT NULL THEN CASE WHEN what = 'EXECUTED' AND action_type = 'REBOOT' THEN 'FAILED' ELSE what END END,
+         sec
+  FROM (SELECT *, ended IS NOT NULL AND sec - ended <= 600 AS blocked
+        FROM (SELECT n.*, a.action_type, CASE WHEN n.sec >= l.until THEN l.until END AS expired,
+                     CASE WHEN n.sec < l.until THEN l.until END AS waiting,
+                     CASE WHEN n.sec >= l.until THEN l.until WHEN n.sec - l.done <= 600 THEN l.done END AS ended
+              FROM life l JOIN numbered n ON n.action_id = l.action_id AND n.k = l.k + 1 JOIN asked a ON a.action_id = l.action_id))),
+happened AS (
+  SELECT action_id, status, moment FROM life WHERE status IS NOT NULL
+  UNION ALL SELECT action_id, 'EXPIRED', expired FROM life WHERE expired IS NOT NULL
+  UNION ALL SELECT action_id, 'EXPIRED', until FROM (SELECT action_id, max_by(coalesce(until, -1), k) AS until FROM life GROUP BY action_id) WHERE until >= 0)""",
+    f"""SELECT action_id, action_type, status,
+               CASE status WHEN 'EXECUTED' THEN CASE action_type {_MESSAGE} END WHEN 'FAILED' THEN 'Unsupported action_type: ' || action_type
+                           WHEN 'PENDING_APPROVAL' THEN 'Awaiting human approval' WHEN 'DENIED' THEN 'Denied by approver'
+                           ELSE 'Approval timeout (900s) exceeded' END AS message,
+               CAST(moment AS BIGINT) * 1000 AS ts, CASE WHEN status IN ('EXECUTED', 'FAILED') THEN action_type END AS executed_action,
+               CASE WHEN status = 'DENIED' THEN 'operator' END AS approver
+        FROM happened JOIN asked USING (action_id)""",
+    True,
+)

@@ -50,7 +50,7 @@ def incidents_of(logs: DataFrame, metrics: DataFrame, flag, limits: Limits = Lim
 def candidates_of(incidents: DataFrame, book: RuleBook) -> tuple[DataFrame, DataFrame]:
     """(allowed, rejected) action candidates of incident records, with incident and action ids."""
     known = with_incident_id(canonicalize_incidents(incidents, book.aliases))
-    return apply_policy(with_action_id(match_rules(known, book.rules, book.default_severity)), book.policy)
+    return apply_policy(with_action_id(match_rules(known, book.rules, book.default_severity, book.prefixes)), book.policy)
 
 
 def intents_of(incidents: DataFrame, book: RuleBook, require_approval: bool = False) -> DataFrame:

@@ -25,6 +25,7 @@ from tidewatch.sources import logstore as S
 from tidewatch.sources import topics as T
 from tidewatch.sources.rulebook import load_rules
 from tidewatch.streaming import sinks
+from tidewatch.streaming.counts import count_sink, read_counts, write_batch_counts
 from tidewatch.streaming.lifecycle import lifecycle_stream
 from tidewatch.streaming.operators import detect_bursts_stream, resolve_approvals_stream, rolling_stats_stream
 
@@ -162,6 +163,20 @@ def p95_latency(spark, sf):
     return out.select(iso_z("bucket").alias("bucket"), "service", F.round("percentile", 9).alias("p95"))
 
 
+def p95_latency_sketched(spark, sf):
+    """Sketches per minute, merged to hours; the rank of each answer in the data is held against the stated error."""
+    raw = V.metrics_raw(spark, sf)
+    hours = L.merge_sketches(L.percentile_sketches(raw, "network_latency_ms"), "1 hour").checkpoint()
+    answers = L.sketched_percentile(hours, 0.95)
+    placed = raw.filter("network_latency_ms IS NOT NULL").withColumn("bucket", F.window("ts", "1 hour")["start"])
+    met = placed.join(answers, ["bucket", "service"]).groupBy("bucket", "service", "n", "percentile")
+    ranks = met.agg(F.count(F.when(F.col("network_latency_ms") < F.col("percentile"), 1)).alias("below"), F.count(F.when(F.col("network_latency_ms") <= F.col("percentile"), 1)).alias("upto"))
+    # Twice the error that 99 of 100 answers keep.
+    error = 2 * L.rank_error()
+    close = (F.col("below") / F.col("n") <= 0.95 + error) & (F.col("upto") / F.col("n") >= 0.95 - error)
+    return ranks.select(iso_z("bucket").alias("bucket"), "service", "n", close.alias("close"))
+
+
 def metric_series(spark, sf):
     out = L.series(V.metrics_raw(spark, sf), ["cpu_percent", "memory_percent"])
     names = [c for c in out.columns if c not in ("bucket", "service")]
@@ -223,14 +238,14 @@ def canonical_incidents(spark, sf):
 def rule_candidates(spark, sf):
     book = load_rules(spark)
     known = R.canonicalize_incidents(spikes(spark, sf), book.aliases)
-    out = R.match_rules(known, book.rules, book.default_severity)
+    out = R.match_rules(known, book.rules, book.default_severity, book.prefixes)
     return out.select("seq", "incident_type", "service", "severity", "rule_id", "action_type", "target_service", "cooldown_sec")
 
 
 def policy_decisions(spark, sf):
     book = load_rules(spark)
     known = R.canonicalize_incidents(spikes(spark, sf), book.aliases)
-    allowed, rejected = R.apply_policy(R.match_rules(known, book.rules, book.default_severity), book.policy)
+    allowed, rejected = R.apply_policy(R.match_rules(known, book.rules, book.default_severity, book.prefixes), book.policy)
     both = allowed.withColumn("reason", F.lit("allowed")).unionByName(rejected)
     return both.select("seq", "rule_id", "action_type", "target_service", "reason")
 
@@ -249,11 +264,28 @@ def glob_decisions(spark, sf):
     """Rules for some services only, and an action type that is not allowed."""
     book = load_rules(spark, _GLOBS)
     known = R.canonicalize_incidents(log_incidents(parsed(spark, sf)), book.aliases)
-    allowed, rejected = R.apply_policy(R.match_rules(known, book.rules, book.default_severity), book.policy)
+    allowed, rejected = R.apply_policy(R.match_rules(known, book.rules, book.default_severity, book.prefixes), book.policy)
     both = allowed.withColumn("reason", F.lit("allowed")).unionByName(rejected)
     return both.select("seq", "rule_id", "action_type", "target_service", "reason")
 
 
+_SERVICE_RULES = {
+    "rules": [
+        {"rule_id": f"{kind.lower()}-{pattern}", "incident_type": kind, "pattern": pattern, "action_type": "SCALE_UP", "cooldown_sec": n}
+        for kind in ("AUTH_FAILURE", "DB_LATENCY", "REQUEST_TIMEOUT", "CACHE_STORM")
+        for n, pattern in enumerate(("*", "pay*", "payments", "payments?", "o*s", "orders*", "au[st]h", "auth-*", "d", "db", "db*", "x*", "payments-with-a-long-name*"))
+    ]
+}
+
+
+def service_rules(spark, sf):
+    """Rules filed under the beginnings of service names."""
+    book = load_rules(spark, _SERVICE_RULES)
+    known = R.canonicalize_incidents(log_incidents(parsed(spark, sf)), book.aliases)
+    out = R.match_rules(known, book.rules, book.default_severity, book.prefixes)
+    return out.select("seq", "service", "rule_id", "cooldown_sec")
+
+
 def action_intents(spark, sf):
     allowed, _ = candidates_of(spikes(spark, sf), load_rules(spark))
     out = R.to_intents(allowed)
@@ -281,6 +313,22 @@ def approval_results(spark, sf):
     )
 
 
+def approval_repeats(spark, sf):
+    """Intents that come again, 300 s and 2000 s later, some of them for an action nobody supports, with the approvals of the first ones."""
+    incidents = R.with_incident_id(plain_spikes(spark, sf)).checkpoint()
+    first = intents_of(incidents, load_rules(spark), require_approval=True).checkpoint()
+    third, fourth = F.substring("action_id", 3, 1), F.substring("action_id", 4, 1)
+    first = first.withColumn("action_type", F.when(third.between("0", "3"), "REBOOT").otherwise(F.col("action_type")))
+
+    def again(seconds: int, low: str, high: str) -> DataFrame:
+        later = F.timestamp_seconds(F.unix_seconds("ts") + seconds)
+        return first.filter(fourth.between(low, high)).withColumns({"ts": later, "seq": F.col("seq") + seconds * 1_000_000})
+
+    intents = first.unionByName(again(300, "0", "9")).unionByName(again(2000, "5", "d"))
+    results = results_of(intents, V.approvals_of(first), as_of=AS_OF)
+    return results.select("action_id", "action_type", "status", "message", "ts", "executed_action", "approver")
+
+
 def remediation_lifecycle(spark, sf):
     incidents, intents, results = outcomes(spark, sf)
     out = lifecycle(incidents, intents, results)
@@ -382,6 +430,24 @@ def json_fields(spark, sf):
     return out.select("seq", "severity", "message", "trace_id", "original_level")
 
 
+def tail_of_store(spark, sf):
+    """The newest lines of a written store, by days."""
+    path = scratch_path(spark, "tail-store")
+    S.write_log_store(store(spark, sf), path)
+    return S.tail_store(spark, path, 100, topic="logs_parsed", severity="error").select("topic", "service", "severity", "message", "timestamp", "seq")
+
+
+def store_retention(spark, sf):
+    """A store by the events' own days, from which old lines are dropped where it lies, twice."""
+    path = scratch_path(spark, "old-store")
+    own = V.events(spark, sf).select("seq", iso_z("happened_at").alias("timestamp"))
+    logs = parsed(spark, sf).drop("timestamp").join(own, "seq")
+    S.write_log_store(S.log_lines({"logs_parsed": logs}, now=F.lit("2024-02-01 00:00:00").cast("timestamp")), path)
+    for _ in range(2):
+        S.retain_log_store(spark, path, "2024-01-15 12:00:00")
+    return S.read_log_store(spark, path).select("seq", "severity", "timestamp", F.col("dt").cast("string").alias("dt"))
+
+
 def tail_errors(spark, sf):
     out = L.tail(store(spark, sf), 100, topic="logs_parsed", severity="error")
     return out.select("topic", "service", "severity", "message", "timestamp", "seq")
@@ -550,6 +616,59 @@ def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.readStream.schema(df.schema).parquet(path)
 
 
+def stream_error_count(spark, sf):
+    """Counts kept up to date by a stream of log lines, asked for a range of one minute; the second batch is delivered twice."""
+    table, _, checkpoint = _folders(spark, "counts")
+    lines = S.select_logs(store(spark, sf), source="ops", severity="error").select("ts", "seq")
+    count_sink(_in_order(spark, lines, "error-lines"), table, checkpoint).awaitTermination()
+    low, high = lines.agg(F.min("seq"), F.max("seq")).first()
+    width = ((high or 0) - (low or 0)) // 5 + 1
+    write_batch_counts(lines.filter(F.floor((F.col("seq") - F.lit(low or 0)) / width) == 1), 1, table, 60, [])
+    out = L.count_over_buckets(read_counts(spark, table, []), 60, 60, 60)
+    return out.withColumn("eval_at", iso_z("eval_at"))
+
+
+def two_topics(spark, sf):
+    """Parsed logs and model output in one read, each typed by its own layout."""
+    root = scratch_path(spark, "topics")
+    logs = parsed(spark, sf).drop("ts", "seq")
+    scores = anomalies(spark, sf).drop("ts", "seq")
+    T.write_topic(logs, "logs_parsed", path=f"{root}/logs_parsed")
+    T.write_topic(scores, "ml_output", path=f"{root}/ml_output")
+    read = T.read_topics(spark, ["logs_parsed", "ml_output"], paths={n: f"{root}/{n}" for n in ("logs_parsed", "ml_output")})
+    names = {"logs_parsed": "severity", "ml_output": "anomaly_type"}
+    out = None
+    for topic, kind in names.items():
+        good, _ = T.split_malformed(read[topic])
+        found = good.select("topic", "service", F.col(kind).alias("kind"), "timestamp")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def stream_restart(spark, sf):
+    """A topic followed from its end over a restart: files that were there before are left out, those that came meanwhile are not."""
+    source, target = scratch_path(spark, "followed"), scratch_path(spark, "delivered")
+    checkpoint = scratch_path(spark, "follow-checkpoint")
+    raw = V.logs_raw(spark, sf).withColumn("part", F.col("seq") % 4)
+
+    def come(part: int) -> None:
+        T.write_topic(raw.filter(F.col("part") == part).drop("part", "ts", "seq"), "logs_raw", path=source)
+
+    def follow() -> None:
+        rows = T.read_topic(spark, "logs_raw", path=source, start="latest", stream=True, checkpoint=checkpoint).drop("_malformed", "topic")
+        sinks.write_topic_stream(rows, "followed", checkpoint, path=target).awaitTermination()
+
+    come(0)
+    follow()
+    for part in (1, 2):
+        come(part)
+    follow()
+    come(3)
+    follow()
+    good, _ = T.split_malformed(T.read_topic(spark, "logs_raw", path=target))
+    return good
+
+
 def stream_cooldown(spark, sf):
     allowed, _ = candidates_of(spikes(spark, sf), load_rules(spark))
     out, carry, checkpoint = _folders(spark, "cooldown")
@@ -611,10 +730,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_candidates": rule_candidates,
     "policy_decisions": policy_decisions,
     "glob_decisions": glob_decisions,
+    "service_rules": service_rules,
     "action_intents": action_intents,
     "intents_after_cooldown": intents_after_cooldown,
     "ttl_dedup": ttl_dedup,
     "approval_results": approval_results,
+    "approval_repeats": approval_repeats,
     "remediation_lifecycle": remediation_lifecycle,
     "action_status": action_status,
     "routed_actions": routed_actions,
@@ -626,6 +747,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_filter": json_filter,
     "json_fields": json_fields,
     "tail_errors": tail_errors,
+    "tail_of_store": tail_of_store,
+    "store_retention": store_retention,
     "range_query": range_query,
     "freshness": freshness,
     "incident_count_1m": incident_count_1m,
@@ -636,6 +759,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_values": label_values,
     "labels": labels,
     "p95_latency": p95_latency,
+    "p95_latency_sketched": p95_latency_sketched,
     "metric_series": metric_series,
     "anomaly_score_series": anomaly_score_series,
     "retention": retention,
@@ -652,4 +776,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cooldown": stream_cooldown,
     "stream_approvals": stream_approvals,
     "stream_lifecycle": stream_lifecycle,
+    "stream_error_count": stream_error_count,
+    "stream_restart": stream_restart,
+    "two_topics": two_topics,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,8 @@ from tidewatch.functions.scalars import glob_regex, strip
 
 # Above this many rows a configuration table is joined without a broadcast hint.
 CONFIG_ROWS = 100_000
+# Different lengths of pattern beginnings that rules are filed under; a record asks for that many at most.
+PREFIX_LENGTHS = 24
 
 # The rule set that is used when none is given.
 DEFAULT_CONFIG = {
@@ -83,10 +85,27 @@ class Policy(NamedTuple):
 
 
 class RuleBook(NamedTuple):
+    """``rules`` are filed by incident type and ``prefix``, the literal beginning of the pattern; ``prefixes`` are the lengths that occur."""
+
     rules: DataFrame
     aliases: DataFrame
     policy: Policy
     default_severity: str
+    prefixes: tuple[int, ...] = (0,)
+
+
+def literal_prefix(pattern: str) -> str:
+    """What every name that a shell-style pattern fits begins with."""
+    return pattern[: min([i for i in map(pattern.find, "*?[") if i >= 0], default=len(pattern))]
+
+
+def filed_prefixes(patterns: Sequence[str], most: int = PREFIX_LENGTHS) -> list[str]:
+    """The literal beginnings, cut so that at most ``most`` different lengths (0 among them) are left."""
+    found = [literal_prefix(p) for p in patterns]
+    if len({0, *map(len, found)}) > most:
+        step = -(-max(map(len, found)) // (most - 1))
+        found = [x[: len(x) // step * step] for x in found]
+    return found
 
 
 def read_config(path: str) -> dict:
@@ -118,18 +137,21 @@ def load_rules(spark: SparkSession, config: Mapping | str | None = None) -> Rule
 
     text = ("rule_id", "incident_type", "min_severity", "pattern", "action_type", "target_service")
     raw = [r for r in cfg.get("rules") or [] if isinstance(r, Mapping)]
+    patterns = [str("*" if r.get("pattern") is None else r["pattern"]).strip() for r in raw]
+    prefixes = filed_prefixes(patterns)
     rows = [
         (
             i,
             *[None if r.get(c) is None else str(r[c]) for c in text],
             glob_regex(str(r.get("pattern", "*")).strip()),
+            prefixes[i],
             json.dumps(r.get("parameters") or {}, sort_keys=True, separators=(",", ":"), ensure_ascii=False),
             None if r.get("cooldown_sec") is None else int(r["cooldown_sec"]),
         )
         for i, r in enumerate(raw)
     ]
     schema = "rule_order int, " + ", ".join(f"{c} string" for c in text)
-    table = spark.createDataFrame(rows, schema + ", regex string, parameters string, cooldown_sec int")
+    table = spark.createDataFrame(rows, schema + ", regex string, prefix string, parameters string, cooldown_sec int")
     filled = table.select(
         "rule_order",
         strip("rule_id").alias("rule_id"),
@@ -139,6 +161,7 @@ def load_rules(spark: SparkSession, config: Mapping | str | None = None) -> Rule
         strip("action_type").alias("action_type"),
         strip(F.coalesce("target_service", F.lit("{service}"))).alias("target_service"),
         "regex",
+        "prefix",
         "parameters",
         F.coalesce("cooldown_sec", F.lit(int(defaults.get("cooldown_sec", 180)))).alias("cooldown_sec"),
     )
@@ -157,4 +180,5 @@ def load_rules(spark: SparkSession, config: Mapping | str | None = None) -> Rule
     guards = Policy(
         names("allowlist_services", True), names("denylist_services", True), names("allowlist_action_types", False)
     )
-    return RuleBook(_config_table(rules, len(rows)), _config_table(aliases, len(pairs)), guards, severity)
+    lengths = tuple(sorted({0, *map(len, prefixes)}))
+    return RuleBook(_config_table(rules, len(rows)), _config_table(aliases, len(pairs)), guards, severity, lengths)

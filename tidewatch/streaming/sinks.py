@@ -15,7 +15,7 @@ from tidewatch.operators.joins import broadcast_if_small
 from tidewatch.operators.metrics import finish_metrics, prepare_metrics, rolling_stats
 from tidewatch.operators.remediation import DEDUP_TTL, apply_cooldown
 from tidewatch.schemas import METRICS_RAW
-from tidewatch.sources.logstore import PARTITIONS
+from tidewatch.sources.logstore import PARTITIONS, with_record
 from tidewatch.sources.topics import MALFORMED, split_malformed, to_values
 
 Trigger = Mapping[str, object]
@@ -43,7 +43,7 @@ def write_topic_stream(
 
 def write_log_store_stream(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
     """Append log lines to the partitioned store."""
-    dated = df.withColumn("dt", F.to_date("ts"))
+    dated = with_record(df).withColumn("dt", F.to_date("ts"))
     writer = dated.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return writer.partitionBy(*PARTITIONS).outputMode("append").trigger(**trigger).start()
 

@@ -241,6 +241,21 @@ def test_classes_equal_brute_force(spark, tile):
     assert classes(with_clashes(spark.createDataFrame(rows, SCHEMA).repartition(4)), tile=tile) == want
 
 
+def test_query_equals_its_sql_where_vectors_link(spark, tmp_path):
+    import duckdb
+
+    from tidewatch.llm.queries import ORACLES, QUERIES
+
+    v = clustered(4, 260, 12, 0.25)
+    rows = [(i * 3 % 261, x.tolist(), (0, 0, 1, None)[i % 4]) for i, x in enumerate(v)] + [(900, v[0].tolist(), 0), (901, [0.0] * 12, 0), (902, [float("nan")] * 12, 0), (903, None, 0)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = Counter(tuple(r) for r in QUERIES["op13_embeddings"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got == Counter(con.execute(ORACLES["op13_embeddings"]).fetchall())
+    assert sum(r[1] for r in got) > 500
+
+
 def test_odd_vectors_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     v = [0.5, 0.25, 0.1]

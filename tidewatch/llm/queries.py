@@ -236,4 +236,21 @@ ORACLES = {
         root AS (SELECT digest AS root FROM top WHERE n = 1)
         SELECT doc_id, leaf, subroots.digest AS subroot, root, sha256(proof) AS proof_sha256, ended.digest AS folded_root, ended.digest = root AS verified
         FROM leaves JOIN subroots USING (s) JOIN ended USING (k), root""",
+    "op13_embeddings": """
+        WITH RECURSIVE numbered AS (
+            SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+        sound AS (
+            SELECT *, sqrt(list_inner_product(e, e)) AS size FROM numbered
+            WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        linked AS (
+            SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+            WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+        reached AS (
+            SELECT r, r AS s FROM numbered
+            UNION
+            SELECT reached.r, linked.b FROM reached JOIN linked ON linked.a = reached.s),
+        least AS (SELECT reached.r, min(n.vec_id) AS component_id FROM reached JOIN numbered n ON n.r = reached.s GROUP BY reached.r),
+        degrees AS (SELECT a AS r, count(*) AS n_links FROM linked GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM numbered JOIN least USING (r) LEFT JOIN degrees USING (r)""",
 }

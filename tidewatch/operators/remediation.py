@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,10 @@ from tidewatch.functions.scalars import (
     stable_id,
     strip,
 )
+from tidewatch.operators.blocks import number_rows
 from tidewatch.operators.bursts import SECOND
 from tidewatch.operators.folds import block_fold
-from tidewatch.operators.joins import picked_and_rest
+from tidewatch.operators.joins import broadcast_if_small, picked_and_rest
 from tidewatch.operators.spacing import greedy_spacing
 from tidewatch.sources.rulebook import Policy
 
@@ -197,6 +198,20 @@ def remediation_step(state: dict, row: dict, ttl: int) -> list[dict]:
     return [row]
 
 
+def _repeated_within(spaced: DataFrame, key: Sequence[str], order: Sequence[str], ttl: int) -> DataFrame | None:
+    """The keys for which some action id comes twice within ``ttl`` seconds; None if no id comes twice at all.
+
+    Only rows of ids that come twice are ordered, in blocks, so one id may have any number of them.
+    """
+    ids = [*key, "action_id"]
+    twice = spaced.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*ids).checkpoint()
+    if twice.isEmpty():
+        return None
+    again = spaced.join(broadcast_if_small(twice), ids, "left_semi").select(*ids, *order)
+    since = number_rows(again, ids, order, lag_of="_at", lag_name="_before")
+    return since.filter(F.col("_at") - F.col("_before") <= ttl * SECOND).select(*key).distinct()
+
+
 def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts", seq: str = "seq") -> DataFrame:
     """Candidates that become intents: outside the cooldown of (rule, target), and no repeated action id.
 
@@ -212,10 +227,9 @@ def apply_cooldown(candidates: DataFrame, ttl: int = DEDUP_TTL, ts: str = "ts",
     spaced = greedy_spacing(narrow, key, "_at", order[1:], F.col("cooldown_sec").cast("bigint") * SECOND).checkpoint()
 
     # Without the TTL more would be emitted than with it, so an id that comes back only after its TTL needs no fold.
-    again = F.col("_at") - F.lag("_at").over(Window.partitionBy(*key, "action_id").orderBy(*order))
-    repeated = spaced.withColumn("_since", again).filter(F.col("_since") <= ttl * SECOND).select(*key).distinct()
-    if not repeated.isEmpty():
-        known = repeated.checkpoint()
+    repeated = _repeated_within(spaced, key, order, ttl)
+    if repeated is not None:
+        known = broadcast_if_small(repeated.checkpoint())
         schema = T.StructType([f for f in narrow.schema.fields])
         folded = block_fold(
             narrow.join(known, key, "left_semi"),

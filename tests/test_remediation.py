@@ -286,21 +286,21 @@ def test_one_long_action_over_many_blocks(spark, kinds):
     assert sorted((r.status, r.ts) for r in out.collect()) == want
 
 
-def test_jobs_do_not_grow_with_the_blocks_of_one_action(spark):
-    intents, approvals, want = long_life(1500, 8, ("PROPOSED", "APPROVE", "DENY"))
+@pytest.mark.parametrize("kinds", [("PROPOSED", "APPROVE", "DENY"), ("PROPOSED", "PROPOSED", "APPROVED", "APPROVE", "DENY")])
+def test_jobs_do_not_grow_with_the_blocks_of_one_action(spark, kinds):
+    intents, approvals, want = long_life(1500, 8, kinds)
     a, b = spark.createDataFrame(intents, ACTION), spark.createDataFrame(approvals, APPROVAL)
     jobs = {}
     for blocks in (4, 16, 64):
-        spark.sparkContext.setJobGroup(f"approvals-{blocks}", "")
+        spark.sparkContext.setJobGroup(f"approvals-{len(kinds)}-{blocks}", "")
         assert resolve_approvals(a, b, blocks=blocks).count() == len(want)
-        jobs[blocks] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"approvals-{blocks}"))
+        jobs[blocks] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"approvals-{len(kinds)}-{blocks}"))
     spark.sparkContext.setJobGroup("", "")
     assert jobs[64] <= jobs[4] + 1
 
 
 def test_functions_of_events_equal_the_machine():
     """The state that a function gives and the one the machine ends in lead to the same results from then on."""
-    rare = 0
     for seed in range(3000):
         rng = random.Random(seed)
         machine = ApprovalMachine(rng.random() < 0.85, rng.choice([0, 3, 9, 20]), rng.choice([0, 2, 6, 15]))
@@ -317,9 +317,6 @@ def test_functions_of_events_equal_the_machine():
             machine.step(state, row)
         functions = ApprovalTransition(machine)
         got = functions.apply(json.loads(json.dumps(functions.summarize(rows[cut:]))), json.loads(json.dumps(state)))
-        if got is None:
-            rare += 1
-            continue
         for row in rows[cut:]:
             machine.step(state, row)
 
@@ -327,7 +324,6 @@ def test_functions_of_events_equal_the_machine():
             return {k: v for k, v in s.items() if k != "done" or now - v <= machine.dedup_us}
 
         assert live(got) == live(json.loads(json.dumps(state)))
-    assert rare < 300
 
 
 def test_routing(spark):

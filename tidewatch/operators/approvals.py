@@ -161,7 +161,7 @@ class ApprovalTransition:
 
     While a result blocks repeats, nothing else happens, so a state with a result is known by the first event behind its end, and
     what follows from an event on with nothing pending and nothing blocked does not depend on the past. These
-    continuations are worked out once from the last event backwards. A pending action that enters is decided by the first event, or expires first and
+    continuations are worked out once from the last event backwards. A pending action that enters is decided by an event, or expires first and
     is then a result like any other. The function is a list of times with the end states that hold up to them.
     """
 
@@ -233,6 +233,24 @@ class ApprovalTransition:
             else:
                 free[i] = free[i + 1]
 
+        # An action asked before the first event is still pending behind the run event m, which ran: (when an event decides it, the end state then), or
+        # (None, the time of the last run) if none does. Only an expiry before that moment could change it.
+        kept: dict[int, tuple] = {}
+
+        def undecided(done: int, i: int) -> tuple:
+            first_answer, first_intent = answer[i], intent[max(i, bisect_right(at, done + blocks))]
+            e = min(first_answer, first_intent)
+            if e >= n:
+                return None, done
+            if first_answer < first_intent:
+                again = kind[e] == "approve" and at[e] - done <= blocks
+                return at[e], blocked(done if again else at[e], e + 1)
+            return (at[e], asked[e]) if kind[e] == "ask" else kept[e]
+
+        for m in range(n - 1, -1, -1):
+            if kind[m] == "run":
+                kept[m] = undecided(at[m], m + 1)
+
         # A result is not later than the first event, or than the expiry of what was asked before it.
         reach = bisect_right(at, at[0] + ttl + blocks)
         upto: list[int] = []
@@ -256,29 +274,43 @@ class ApprovalTransition:
                 done = end[0] if end else None
             return state if done is None else {**state, "done": done}
 
-        decided = {"approve": blocked(at[0], 1), "deny": blocked(at[0], 1), "ask": asked[0], "none": None, "run": None}[kind[0]]
+        def told(found: tuple) -> dict:
+            moment, end = found
+            return {"at": None, "done": end} if moment is None else {"at": moment, "end": spelled(end)}
+
+        # Pending and blocked at once: the first intent behind the blocked time decides, or an answer before it.
+        r = answer[0]
+        ahead = [m for m in range(min(r, n)) if kind[m] in ("ask", "run")]
+        ahead = ahead[: bisect_right([at[m] for m in ahead], at[0] + blocks) + 1]
+        if len(ahead) > self.MOST:
+            return None
+        decided = {"approve": (at[0], blocked(at[0], 1)), "deny": (at[0], blocked(at[0], 1)), "ask": (at[0], asked[0]), "run": kept.get(0)}.get(kind[0])
         return {
             "first": at[0],
+            "last": at[-1],
             "whole": reach + 1 >= n,
             "upto": upto,
             "ends": [spelled(e) for e in ends],
             "free": spelled(free[0]),
-            "decided": None if decided is None else spelled(decided),
+            "decided": None if decided is None else told(decided),
+            "intents": [[at[m] - blocks, told((at[m], asked[m]) if kind[m] == "ask" else kept[m])] for m in ahead],
+            "answer": None if r >= n else {"at": at[r], "approve": kind[r] == "approve", "end": spelled(blocked(at[r], r + 1))},
         }
 
     def apply(self, summary: dict, state: dict) -> dict | None:
         first, done, pending = summary["first"], state.get("done"), state.get("pending")
         if done is not None and first - done > self.machine.dedup_us:
             done = None
-        if pending is not None and self.machine.require_approval:
-            if first >= pending["until"]:
-                done = pending["until"]
-            elif done is None:
-                return summary["decided"]
-            else:
-                return None
-        elif pending is not None:
+        if pending is None:
+            return self._after_result(summary, done)
+        if not self.machine.require_approval:
             return None
+        if first >= pending["until"]:
+            return self._after_result(summary, pending["until"])
+        return self._after_pending(summary, pending, done)
+
+    @staticmethod
+    def _after_result(summary: dict, done: int | None) -> dict | None:
         if done is None:
             return summary["free"]
         k = bisect_right(summary["upto"], done)
@@ -286,6 +318,26 @@ class ApprovalTransition:
             return summary["ends"][k]
         return {"done": done} if summary["whole"] else None
 
+    def _after_pending(self, summary: dict, pending: dict, done: int | None) -> dict | None:
+        until = pending["until"]
+        if done is None:
+            found = summary["decided"]
+        else:
+            found = next((way for upto, way in summary["intents"] if done < upto), None)
+            answer = summary["answer"]
+            if found is None and answer is not None:
+                if until <= answer["at"]:
+                    return self._after_result(summary, until)
+                if answer["approve"] and answer["at"] - done <= self.machine.dedup_us:
+                    return self._after_result(summary, done)
+                return answer["end"]
+            found = found or {"at": None, "done": done}
+        if found is None:
+            return None
+        if until <= (summary["last"] if found["at"] is None else found["at"]):
+            return self._after_result(summary, until)
+        return {"pending": pending, "done": found["done"]} if found["at"] is None else found["end"]
+
 
 def action_events(intents: DataFrame, approvals: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:
     """Intents and well-formed approvals in one narrow layout for the state machine."""

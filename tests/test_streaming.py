@@ -348,9 +348,24 @@ def test_counts_are_kept_up_to_date(spark, tmp_path):
     for by, span, step in ((["service"], 300, 60), ([], 3600, 600), (["severity", "service"], 60, 120)):
         got = timeline.count_over_buckets(kept, 60, span, step, by)
         assert plain(got, "eval_at", *by, "count") == plain(timeline.count_over_time(whole.filter("ts IS NOT NULL"), span, step, by), "eval_at", *by, "count") != []
+    want = plain(timeline.count_over_time(whole.filter("ts IS NOT NULL"), 300, 60, ["service"]), "eval_at", "service", "count")
+    for _ in range(2):
+        counts.merge_counts(spark, table, ["service", "severity"])
+        assert [p for p in os.listdir(table) if not p.startswith((".", "_"))] == ["base=4"]
+    # A replaced batch that runs again is not read, a new one is.
+    counts.write_batch_counts(batch, 1, table, 60, ["service", "severity"])
+    kept = counts.read_counts(spark, table, ["service", "severity"])
+    assert plain(timeline.count_over_buckets(kept, 60, 300, 60, ["service"]), "eval_at", "service", "count") == want
+    counts.write_batch_counts(batch, 5, table, 60, ["service", "severity"])
+    assert counts.read_counts(spark, table, ["service", "severity"]).agg(F.sum("n")).first()[0] == 600 + len(parts[1])
+    counts.merge_counts(spark, table, ["service", "severity"])
+    assert counts.read_counts(spark, table, ["service", "severity"]).agg(F.sum("n")).first()[0] == 600 + len(parts[1])
+    counts.write_batch_counts(whole.filter("false"), 5, table, 60, ["service", "severity"])
     start, end = F.lit(at(150_000)), F.lit(at(172_000))
     some = counts.read_counts(spark, table, ["service", "severity"], start, end)
-    assert some.agg(F.sum("n")).first()[0] == sum(149_940 < s <= 172_000 and -(-s // 60) * 60 <= 172_000 for s, _, _ in rows if s is not None)
+    inside = [149_940 < s and -(-s // 60) * 60 <= 172_000 for s, _, _ in [*rows, *parts[1]] if s is not None]
+    assert some.agg(F.sum("n")).first()[0] == sum(inside)
+    assert counts.read_counts(spark, str(tmp_path / "none"), ["service"]).isEmpty()
     assert "dt#" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:200]
     with pytest.raises(ValueError, match="multiples"):
         timeline.count_over_buckets(kept, 60, 90, 60)

@@ -116,7 +116,7 @@ class Partition(NamedTuple):
     path: str
 
 
-def _folders(spark: SparkSession, path: str) -> list:
+def folders_of(spark: SparkSession, path: str) -> list:
     """The folders directly below a folder, hidden ones left out."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -133,7 +133,7 @@ def _label(name: str) -> str:
 def store_days(spark: SparkSession, path: str) -> dict[date | None, str]:
     """The days of a store, newest first, with their folders; lines without a time come last. Only the store's top folder is listed."""
     found = {}
-    for folder in _folders(spark, path):
+    for folder in folders_of(spark, path):
         value = _label(folder.getName())
         found[None if value == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(value)] = str(folder)
     return dict(sorted(found.items(), key=lambda x: (x[0] is not None, x[0] or date.min), reverse=True))
@@ -143,12 +143,12 @@ def day_partitions(spark: SparkSession, day: date | None, path: str) -> list[Par
     """The folders of one day: one per topic and severity."""
     return [
         Partition(day, _label(topic.getName()), _label(severity.getName()), str(severity))
-        for topic in _folders(spark, path)
-        for severity in _folders(spark, str(topic))
+        for topic in folders_of(spark, path)
+        for severity in folders_of(spark, str(topic))
     ]
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -198,7 +198,7 @@ def retain_log_store(spark: SparkSession, path: str, now: Column | datetime | st
     days = store_days(spark, path)
     old = sorted(d for d in days if d is not None and d < cutoff["d"])
     for day in old:
-        _drop(spark, days[day])
+        drop_folder(spark, days[day])
     if cutoff["d"] not in days:
         return Retained(tuple(old), (), ())
     boundary = _day(spark, path, [days[cutoff["d"]]])
@@ -214,7 +214,7 @@ def retain_log_store(spark: SparkSession, path: str, now: Column | datetime | st
         writer = kept.select(*schema.names).repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
     for p in parts["goes"]:
-        _drop(spark, p.path)
+        drop_folder(spark, p.path)
     return Retained(tuple(old), parts["goes"], parts["shrinks"])
 
 

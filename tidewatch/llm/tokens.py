@@ -23,13 +23,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces remembered in a worker, and the longest piece worth remembering.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 LONGEST = 40
 #: Marks that part from the word before them.
 MARKS = ".,;:!?"
 MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 23
+STRIDE = 1 << 24
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
 #: White space but spaces and line breaks: in ASCII, and anywhere.
@@ -97,6 +97,61 @@ class Memory:
             self.young, self.old = {}, self.young
 
 
+class WordTable:
+    """Words met before and their ids, in flat arrays. What was not met again by the time it is full is forgotten."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.start = np.empty(0, dtype=np.int32)
+        self.size = np.empty(0, dtype=np.int32)
+        self.flat = np.empty(0, dtype=np.uint32)
+        self.met = np.empty(0, dtype=bool)
+        self.long = False
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The place of each word, -1 for unknown ones."""
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy(zero_copy_only=False)
+        self.met[at[at >= 0]] = True
+        return at
+
+    def add(self, words: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The places of new, different words."""
+        n = len(self.words)
+        self.words = pa.concat_arrays([self.words, words])
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(sizes, dtype=np.int32) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, flat])
+        self.met = np.concatenate([self.met, np.zeros(len(sizes), dtype=bool)])
+        self.long = self.long or (len(words) and pc.max(pc.binary_length(words)).as_py() > 4 * LONGEST)
+        return np.arange(n, len(self.words), dtype=np.int32)
+
+    def settle(self) -> None:
+        """Forget, if there is too much. Places change."""
+        full = len(self.words) > REMEMBERED
+        if not (full or self.long):
+            return
+        keep = self.met if full else np.ones(len(self.words), dtype=bool)
+        if self.long:
+            keep = keep & (pc.binary_length(self.words).to_numpy() <= 4 * LONGEST)
+        kept = np.flatnonzero(keep)
+        if len(kept) > REMEMBERED // 2:
+            kept = kept[-(REMEMBERED // 2) :]
+        self.words = self.words.take(pa.array(kept))
+        self.flat = gathered(self.flat, self.start[kept], self.size[kept])
+        self.size = self.size[kept]
+        self.start = np.cumsum(self.size, dtype=np.int32) - self.size
+        self.met = np.zeros(len(kept), dtype=bool)
+        self.long = False
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces ``flat[start : start + size]`` one after the other. There are few enough for small numbers."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    place = np.repeat(starts - (ends - sizes), sizes)
+    place += np.arange(len(place), dtype=np.int32)
+    return flat.take(place)
+
+
 class PieceMemory:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit integers. Subclasses say how pieces are encoded.
 
@@ -105,7 +160,8 @@ class PieceMemory:
 
     def __init__(self, spaced: bool, worded: bool, special: Sequence[str]) -> None:
         self.spaced, self.worded, self.special = spaced, worded, list(special)
-        self.known, self.first = Memory(), Memory()
+        behind_space = WordTable()
+        self.tables = {True: behind_space, False: WordTable() if spaced else behind_space}
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
         raise NotImplementedError
@@ -134,64 +190,87 @@ class PieceMemory:
             out.append((False, piece[-1]))
         return out
 
-    def _learn(self, tails: Sequence[str], heads: Sequence[str]) -> None:
-        """Afterwards all tails (pieces behind a space) are in ``known``, all heads in ``first``."""
-        memories = {True: self.known, False: self.first if self.spaced else self.known}
-        need: dict[bool, list[str]] = {True: [], False: []}
-        marked: list[tuple[bool, str]] = []
-        joined = []
-        for spaced, pieces in ((True, self.known.missing(tails)), (False, self.first.missing(heads))):
-            for piece in pieces:
-                if piece.isalpha():
-                    need[spaced].append(piece)
-                elif piece[-1:] in MARKED and piece[:-1].isalpha() and self.parted(piece[-2], piece[-1]):  # most others: a word and its mark
-                    marked.append((spaced, piece))
-                    need[spaced].append(piece[:-1])
-                    need[False].append(piece[-1])
+    def _places(self, words: pa.Array, spaced: bool, whole: bool = False) -> np.ndarray:
+        """Where different words stand in the table of their kind; unknown ones are encoded, with ``whole`` as they are, else part by part."""
+        table = self.tables[spaced]
+        at = table.find(words)
+        unknown = np.flatnonzero(at < 0)
+        if not len(unknown):
+            return at
+        at = at.copy()
+        new = words.take(pa.array(unknown))
+        alone: list[int] = []
+        joined: list[int] = []
+        parts: list[list[tuple[bool, str]]] = []
+        texts = new.to_pylist()
+        for i, piece in enumerate(texts):
+            if whole or piece.isalpha():
+                alone.append(i)
+            elif piece[-1:] in MARKED and piece[:-1].isalpha() and self.parted(piece[-2], piece[-1]):  # most others: a word and its mark
+                joined.append(i)
+                parts.append([(spaced, piece[:-1]), (False, piece[-1])])
+            else:
+                found = self._parts(piece, spaced)
+                if len(found) > 1:
+                    joined.append(i)
+                    parts.append(found)
                 else:
-                    parts = self._parts(piece, spaced)
-                    if len(parts) > 1:
-                        joined.append((spaced, piece, parts))
-                    for x, part in parts:
-                        need[x].append(part)
-        for spaced, wanted in need.items():
-            if unknown := memories[spaced].missing(set(wanted)):
-                memories[spaced].add(unknown, self.apart(unknown, spaced))
-        known, first = memories[True].young, memories[False].young
-        for spaced, piece in marked:
-            memories[spaced].add([piece], [(known if spaced else first)[piece[:-1]] + first[piece[-1]]])
-        for spaced, piece, parts in joined:
-            memories[spaced].add([piece], [b"".join([known[part] if x else first[part] for x, part in parts])])
+                    alone.append(i)
+        if alone:
+            values = self.apart([texts[i] for i in alone], spaced)
+            sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2
+            at[unknown[alone]] = table.add(new.take(pa.array(alone)), np.frombuffer(b"".join(values), dtype="<u4"), sizes)
+        if joined:
+            starts, sizes = self._found([x for few in parts for x in few])
+            counts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+            of_piece = np.add.reduceat(sizes, np.cumsum(counts) - counts, dtype=np.int32)
+            at[unknown[joined]] = table.add(new.take(pa.array(joined)), gathered(self._flat(), starts, sizes), of_piece)
+        return at
+
+    def _flat(self) -> np.ndarray:
+        """The ids of all tables one after the other."""
+        return np.concatenate([self.tables[True].flat, self.tables[False].flat]) if self.spaced else self.tables[True].flat
+
+    def _found(self, parts: list[tuple[bool, str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(begin in ``_flat``, number of ids) of every part."""
+        kinds = np.fromiter((x for x, _ in parts), dtype=bool, count=len(parts))
+        texts = pa.array([t for _, t in parts], pa.string())
+        places = np.empty(len(parts), dtype=np.int32)
+        for kind in (True, False):
+            rows = np.flatnonzero(kinds == kind)
+            if len(rows):
+                coded = texts.take(pa.array(rows)).dictionary_encode()
+                places[rows] = self._places(coded.dictionary, kind, whole=True)[coded.indices.to_numpy()]
+        starts, sizes = np.empty_like(places), np.empty_like(places)
+        for kind in (True, False):
+            rows = kinds == kind
+            before = len(self.tables[True].flat) if self.spaced and not kind else 0
+            starts[rows], sizes[rows] = self.tables[kind].start[places[rows]] + before, self.tables[kind].size[places[rows]]
+        return starts, sizes
 
     def _apart(self, texts: Sequence[str]) -> list[bytes]:
-        """Arrow cuts the texts and numbers their distinct pieces; only these are looked up, and numpy lines up their ids."""
+        """Arrow cuts the texts, numbers their distinct pieces and looks them up; only unknown ones are looked at one by one."""
         split = pc.split_pattern(pa.array(texts, type=pa.string()), " ")
         offsets = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
         at = coded.indices.to_numpy().astype(np.int32)
+        places = self._places(coded.dictionary, True)
         if self.spaced:
             # The first piece of a text has no space before it: it counts as a piece of another kind.
             heads, which = np.unique(at[offsets[:-1]], return_inverse=True)
-            at[offsets[:-1]] = len(pieces) + which
-            head_pieces = [pieces[i] for i in heads.tolist()]
-            self._learn(pieces, head_pieces)
-            values = [*map(self.known.young.__getitem__, pieces), *map(self.first.young.__getitem__, head_pieces)]
-        else:
-            self._learn(pieces, [])
-            values = list(map(self.known.young.__getitem__, pieces))
-        self.known.settle()
-        self.first.settle()
-        flat = np.frombuffer(b"".join(values), dtype="<u4")
-        sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2
-        # A stride has few ids, so small numbers do.
-        first = np.cumsum(sizes, dtype=np.int32) - sizes
+            first = self._places(coded.dictionary.take(pa.array(heads)), False)
+            at[offsets[:-1]] = len(places) + which
+        table = self.tables[True]
+        starts, sizes = table.start[places], table.size[places]
+        if self.spaced:
+            other = self.tables[False]
+            starts = np.concatenate([starts, other.start[first] + np.int32(len(table.flat))])
+            sizes = np.concatenate([sizes, other.size[first]])
         size = sizes[at]
-        end = np.cumsum(size, dtype=np.int32)
-        place = np.repeat(first[at] - (end - size), size)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = flat.take(place).tobytes()
-        stops = np.concatenate([[0], end])[offsets].tolist()
+        ids = gathered(self._flat(), starts[at], size).tobytes()
+        stops = np.concatenate([[0], np.cumsum(size, dtype=np.int32)])[offsets].tolist()
+        for each in self.tables.values():
+            each.settle()
         return [ids[4 * x : 4 * y] for x, y in zip(stops[:-1], stops[1:], strict=True)]
 
     def _plain(self, text: str) -> str | None:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import stored
-from tidewatch.llm.tokens import Memory
+from tidewatch.llm.tokens import WordTable
 
 UNKNOWN = "und"
 HIDDEN = 16
@@ -184,7 +184,7 @@ class Reader:
     """Applies a network to texts and remembers what words add."""
 
     net: ByteNetwork
-    memory: Memory = field(default_factory=Memory)
+    memory: WordTable = field(default_factory=WordTable)
 
     def positions(self, text: str) -> np.ndarray:
         """The probability of each language (column) at every byte of a text."""
@@ -218,13 +218,17 @@ class Reader:
         split = pc.split_pattern(pa.array(texts, type=pa.string()), " ")
         offsets = split.offsets.to_numpy()
         coded = split.values.dictionary_encode()
-        units = list(map(unit, coded.dictionary.to_pylist()))
-        new = self.memory.missing(set(units))
-        self.memory.add(new, [row.tobytes() for row in self._run(new).astype(np.float32)])
+        small = pc.ascii_lower(coded.dictionary).dictionary_encode()
         width = len(self.net.languages) + 1
-        table = np.frombuffer(b"".join(map(self.memory.young.__getitem__, units)), dtype=np.float32).reshape(-1, width)
+        at = self.memory.find(small.dictionary).copy()
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = small.dictionary.take(pa.array(unknown))
+            totals = self._run(list(map(unit, new.to_pylist()))).astype(np.float32)
+            at[unknown] = self.memory.add(new, totals.ravel().view(np.uint32), np.full(len(unknown), width, dtype=np.int32))
+        table = self.memory.flat.view(np.float32).reshape(-1, width)[at]
         self.memory.settle()
-        rows = table[coded.indices.to_numpy()].astype(float)
+        rows = table[small.indices.to_numpy()[coded.indices.to_numpy()]].astype(float)
         out = np.zeros((len(texts), width))
         some = np.flatnonzero(np.diff(offsets))
         if len(some):

@@ -68,37 +68,8 @@ def strides(text: str, size: int = STRIDE) -> Iterator[str]:
     yield text[begin:]
 
 
-class Memory:
-    """Values of pieces met before, in two generations: what was not used while REMEMBERED others came is forgotten."""
-
-    def __init__(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.long: list[str] = []
-
-    def missing(self, pieces: Iterable[str]) -> list[str]:
-        """The unknown ones; known ones are in ``young`` afterwards."""
-        young, old = self.young, self.old
-        away = [p for p in pieces if p not in young]
-        if old:
-            young.update((p, old[p]) for p in away if p in old)
-            away = [p for p in away if p not in young]
-        return away
-
-    def add(self, pieces: Sequence[str], values: Sequence[bytes]) -> None:
-        self.young.update(zip(pieces, values, strict=True))
-        self.long += [p for p in pieces if len(p) > LONGEST]
-
-    def settle(self) -> None:
-        for p in self.long:
-            self.young.pop(p, None)
-        self.long = []
-        if len(self.young) > REMEMBERED:
-            self.young, self.old = {}, self.young
-
-
 class WordTable:
-    """Words met before and their ids, in flat arrays. What was not met again by the time it is full is forgotten."""
+    """Words met before and their ids (or other numbers of four bytes), in flat arrays. What was not met again by the time it is full is forgotten."""
 
     def __init__(self) -> None:
         self.words = pa.array([], pa.string())

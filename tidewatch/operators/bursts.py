@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import canonical_json, iso_z, micros, or_default
 from tidewatch.operators.blocks import number_rows, running_total
-from tidewatch.operators.joins import picked_and_rest
+from tidewatch.operators.joins import picked_and_rest, picked_whole
 from tidewatch.operators.logs import LOG_FIELDS, log_json
 from tidewatch.operators.spacing import greedy_spacing
 from tidewatch.session import shared_dir
@@ -68,6 +68,12 @@ def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str
     return fires.drop("rn").checkpoint()
 
 
+def fires_whole(df: DataFrame, fires: DataFrame, ts: str = "ts", seq: str = "seq") -> bool:
+    """Whether a burst fired on every copy of each log record that it fired on; mostly there is one. Found for all logs, it holds for any of them."""
+    keyed = df.select(or_default("service", "unknown").alias("service"), micros(ts).alias("_at"), seq)
+    return picked_whole(keyed, fires, ["service", "_at", seq])
+
+
 def detect_bursts(
     df: DataFrame,
     window_sec: int = 30,
@@ -75,16 +81,17 @@ def detect_bursts(
     ts: str = "ts",
     seq: str = "seq",
     fires: DataFrame | None = None,
+    whole: bool | None = None,
 ) -> DataFrame:
     """ERROR_RATE_SPIKE incidents of parsed logs; the firing log is the sample in ``details``.
 
     The fires are joined back to the logs for the sample, as a broadcast when they are few; of copies of one
-    record, only as many as fired. Pass the result of ``burst_fires`` if it is also used elsewhere.
+    record, only as many as fired. Pass the results of ``burst_fires`` and ``fires_whole`` if they are also used elsewhere.
     """
     if fires is None:
         fires = burst_fires(df, window_sec, threshold, ts, seq)
     logs = error_logs(df).withColumn("_at", micros(ts))
-    fired, _ = picked_and_rest(logs, fires, ["service", "_at", seq])
+    fired, _ = picked_and_rest(logs, fires, ["service", "_at", seq], whole)
     details = canonical_json(
         {
             "window_sec": F.lit(window_sec),
@@ -112,6 +119,7 @@ def all_incidents(
     ts: str = "ts",
     seq: str = "seq",
     fires: DataFrame | None = None,
+    whole: bool | None = None,
 ) -> DataFrame:
     """One incident stream. A log record on which a burst fired gives no keyword incident; other copies of it do.
 
@@ -119,7 +127,7 @@ def all_incidents(
     """
     if fires is None:
         fires = bursts.select("service", micros(ts).alias("_at"), seq)
-    _, keyword = picked_and_rest(logs.withColumn("_at", micros(ts)), fires.select("service", "_at", seq), ["service", "_at", seq])
+    _, keyword = picked_and_rest(logs.withColumn("_at", micros(ts)), fires.select("service", "_at", seq), ["service", "_at", seq], whole)
     return bursts.unionByName(keyword.select(*logs.columns), allowMissingColumns=True).unionByName(
         anomalies, allowMissingColumns=True
     )

@@ -89,38 +89,42 @@ def _number_copies(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return marked.mapInArrow(number, schema).checkpoint()
 
 
-def picked_and_rest(rows: DataFrame, picked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def picked_whole(rows: DataFrame, picked: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether of each picked key no row is left over. True for rows, it is true for any part of them. Reads the keys only."""
+    times = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
+    met = rows.select(*keys).join(broadcast_if_small(times), list(keys)).groupBy(*keys)
+    return met.agg(F.count(F.lit(1)).alias("_n"), F.max("_times").alias("_times")).filter("_n > _times").isEmpty()
+
+
+def picked_and_rest(rows: DataFrame, picked: DataFrame, keys: Sequence[str], whole: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows that were picked, the other rows). ``picked`` holds the keys of a row as often as it was picked.
 
-    Records delivered more than once have equal keys; of these as many are taken as were picked. Mostly all copies of a key or none
-    were picked, and a row's key decides. Only the copies of the other keys are numbered: each partition counts its own, and the counts of the partitions
-    before tell how many it may take, so the copies of one record stay spread over all tasks. ``picked`` must be cheap to read.
+    Records delivered more than once have equal keys; of these as many are taken as were picked. Mostly all copies of a key were picked
+    (``whole``, worked out if it is not given), and a row's key decides. Else the rows that meet a picked key are written once, with their number among the
+    copies in their partition, and the counts of the partitions before tell how many a partition may take, so the copies of one record stay
+    spread over all tasks. ``picked`` must be cheap to read.
     """
     times = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
-    if is_small(times):
-        marked = rows.join(F.broadcast(times), list(keys), "left")
+    whole = picked_whole(rows, picked, keys) if whole is None else whole
+    if is_small(picked.select(*keys)):
+        met = rows.join(F.broadcast(times), list(keys))
+        others = rows.join(F.broadcast(times), list(keys), "left_anti")
     else:
         def packed(df: DataFrame) -> Column:
             return F.when(~_any_null(keys), F.to_json(F.struct(*[F.col(k) for k in keys])))
 
         hot = hot_values(rows, [packed(rows)])
         marked = look_up(rows, packed(rows), times.select(packed(times).alias("_key"), "_times"), hot, F.monotonically_increasing_id())
-    copies = marked.filter("_times IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_times").alias("_times"))
-    contested = copies.filter("_n > _times").select(*keys, F.lit(True).alias("_contested")).checkpoint()
-    if contested.isEmpty():
-        return marked.filter("_times IS NOT NULL").select(*rows.columns), marked.filter("_times IS NULL").select(*rows.columns)
-    marked = marked.join(broadcast_if_small(contested), list(keys), "left")
-    numbered = _number_copies(marked.filter("_contested").drop("_contested"), keys)
+        met, others = marked.filter("_times IS NOT NULL"), marked.filter("_times IS NULL")
+    if whole:
+        return met.select(*rows.columns), others.select(*rows.columns)
+    numbered = _number_copies(met.select(*rows.columns, "_times"), keys)
     counts = numbered.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(*keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")).checkpoint()
     decided = numbered.join(broadcast_if_small(before), [*keys, "_part"])
     taken = F.col("_nth") + F.col("_before") <= F.col("_times")
-    sure = marked.filter("_contested IS NULL")
-    return (
-        sure.filter("_times IS NOT NULL").select(*rows.columns).unionByName(decided.filter(taken).select(*rows.columns)),
-        sure.filter("_times IS NULL").select(*rows.columns).unionByName(decided.filter(~taken).select(*rows.columns)),
-    )
+    return decided.filter(taken).select(*rows.columns), others.select(*rows.columns).unionByName(decided.filter(~taken).select(*rows.columns))
 
 
 def _any_null(columns: Sequence[str]) -> Column:

@@ -204,10 +204,10 @@ def _repeated_within(spaced: DataFrame, key: Sequence[str], order: Sequence[str]
     Only rows of ids that come twice are ordered, in blocks, so one id may have any number of them.
     """
     ids = [*key, "action_id"]
-    twice = spaced.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*ids).checkpoint()
+    twice = spaced.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*ids)
     if twice.isEmpty():
         return None
-    again = spaced.join(broadcast_if_small(twice), ids, "left_semi").select(*ids, *order)
+    again = spaced.join(broadcast_if_small(twice.checkpoint()), ids, "left_semi").select(*ids, *order)
     since = number_rows(again, ids, order, lag_of="_at", lag_name="_before")
     return since.filter(F.col("_at") - F.col("_before") <= ttl * SECOND).select(*key).distinct()
 

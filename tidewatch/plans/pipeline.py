@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from tidewatch.operators.approvals import resolve_approvals
-from tidewatch.operators.bursts import all_incidents, burst_fires, detect_bursts
+from tidewatch.operators.bursts import all_incidents, burst_fires, detect_bursts, fires_whole
 from tidewatch.operators.logs import log_incidents, normalize_logs
 from tidewatch.operators.metrics import anomaly_incidents, enrich_metrics, type_anomalies
 from tidewatch.operators.remediation import (
@@ -42,9 +42,12 @@ def log_incident_stream(parsed: DataFrame, limits: Limits = Limits()) -> tuple[D
 
 def incidents_of(logs: DataFrame, metrics: DataFrame, flag, limits: Limits = Limits()) -> DataFrame:
     """All incidents of raw logs and raw metrics. ``flag`` adds is_anomaly and anomaly_score to enriched metrics."""
-    bursts, keywords, fires = log_incident_stream(normalize_logs(logs), limits)
+    parsed = normalize_logs(logs)
+    fires = burst_fires(parsed, limits.window_sec, limits.burst)
+    whole = fires_whole(parsed, fires)
+    bursts = detect_bursts(parsed, limits.window_sec, limits.burst, fires=fires, whole=whole)
     typed = type_anomalies(flag(enrich_metrics(metrics)), limits.cpu, limits.mem, limits.lat)
-    return all_incidents(bursts, keywords, anomaly_incidents(typed), fires=fires)
+    return all_incidents(bursts, log_incidents(parsed), anomaly_incidents(typed), fires=fires, whole=whole)
 
 
 def candidates_of(incidents: DataFrame, book: RuleBook) -> tuple[DataFrame, DataFrame]:

@@ -81,10 +81,11 @@ def write_log_store(df: DataFrame, path: str, mode: str = "append", files: int |
     shared by several tasks and each file covers few services and a short time. Beside its text a line keeps its record parsed, for
     readers that ask for fields.
     """
-    dated = with_record(df).withColumn("dt", F.to_date("ts"))
+    dated = df.withColumn("dt", F.to_date("ts"))
     order = [*PARTITIONS, "service", "ts", "seq"]
     ranged = dated.repartitionByRange(files, *order) if files else dated.repartitionByRange(*order)
-    ranged.sortWithinPartitions(*order).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    # Parsed behind the shuffle, which would sample and carry it.
+    with_record(ranged.sortWithinPartitions(*order)).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_log_store(spark: SparkSession, path: str) -> DataFrame:

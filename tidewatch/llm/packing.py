@@ -31,7 +31,7 @@ from tidewatch.llm.tokens import tokenizer_at
 
 CAPACITY = 2048
 #: Documents encoded at once.
-DOCS = 4096
+DOCS = 2048
 END_ID = 0
 
 PIECES = "piece int, start long, length long, ids_crc32 long, ids binary"

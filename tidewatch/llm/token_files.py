@@ -41,7 +41,7 @@ SAMPLE = 64
 #: Ids in one Arrow buffer; a longer document has a buffer of its own.
 GROUP_IDS = 1 << 24
 #: Documents encoded at once.
-DOCS = 4096
+DOCS = 2048
 #: Keys sampled for each part's bounds.
 SAMPLED = 100
 

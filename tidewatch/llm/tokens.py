@@ -23,13 +23,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces remembered in a worker, and the longest piece worth remembering.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 LONGEST = 40
 #: Marks that part from the word before them.
 MARKS = ".,;:!?"
 MARKED = frozenset(MARKS)
 #: Characters taken apart at once; a longer text goes in several strides, cut at spaces.
-STRIDE = 1 << 24
+STRIDE = 1 << 23
 
 _BESIDE_SPACE = re.compile(r"\s (?!\S)")
 #: White space but spaces and line breaks: in ASCII, and anywhere.
@@ -294,6 +294,8 @@ class PieceMemory:
                     size = 0
         if group:
             flush()
+        # Workers live on through other stages, and pieces of text are freed memory that Arrow would keep.
+        pa.default_memory_pool().release_unused()
         return out
 
 

@@ -40,8 +40,9 @@ BLOCK_DOCS = 1 << 14
 SAMPLE = 64
 #: Ids in one Arrow buffer; a longer document has a buffer of its own.
 GROUP_IDS = 1 << 24
-#: Documents encoded at once.
-DOCS = 2048
+#: Documents encoded at once, and characters whose pieces are looked up at once.
+DOCS = 4096
+STRIDE = 1 << 24
 #: Keys sampled for each part's bounds.
 SAMPLED = 100
 
@@ -183,7 +184,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 keys = zip(few.column("doc_id").to_pylist(), few.column("nth").to_pylist(), strict=True)
                 part = [bisect_right(bounds, _key(*k)) for k in keys]
                 # Cut where the sum passes a bound, as one buffer holds at most 2 GB.
-                raw = encoder.encode(few.column("text").to_pylist())
+                raw = encoder.encode(few.column("text").to_pylist(), STRIDE)
                 sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4 + 1
                 group = np.cumsum(sizes) // GROUP_IDS
                 cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(raw)]

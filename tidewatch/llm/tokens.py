@@ -268,7 +268,9 @@ class PieceMemory:
             return text.replace("\n", " " + LINE)
         return None if _BESIDE_SPACE.search(text) else text
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
+    def encode(self, texts: Sequence[str], stride: int | None = None) -> list[bytes]:
+        """The ids of each text. Pieces are looked up for about ``stride`` characters at once: more at a time is faster and takes more memory."""
+        stride = stride or STRIDE
         out: list[bytes] = [b""] * len(texts)
         group: list[tuple[int, str]] = []
         size = 0
@@ -285,11 +287,11 @@ class PieceMemory:
             if plain is None:
                 out[i] = self.whole([text])[0]
                 continue
-            for part in strides(plain):
+            for part in strides(plain, stride):
                 # A later slice begins with the space before its first piece, which splitting turns into an empty head.
                 group.append((i, part))
                 size += len(part)
-                if size >= STRIDE:
+                if size >= stride:
                     flush()
                     size = 0
         if group:

@@ -28,6 +28,7 @@ from tidewatch.streaming import sinks
 from tidewatch.streaming.counts import count_sink, read_counts, write_batch_counts
 from tidewatch.streaming.lifecycle import lifecycle_stream
 from tidewatch.streaming.operators import detect_bursts_stream, resolve_approvals_stream, rolling_stats_stream
+from tidewatch.streaming.partitions import few_partitions, state_partitions
 
 # Limits at which the test events, one per second, give incidents of every kind.
 LIMITS = Limits(window_sec=30, burst=4, cpu=55, mem=65, lat=100)
@@ -573,10 +574,17 @@ def stream_bursts(spark, sf):
     return spark.read.parquet(f"{out}/batch=*").drop("ts")
 
 
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table written out and read back, for what is read several times and costly to compute."""
+    path = scratch_path(spark, f"{name}-whole")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _in_order(spark: SparkSession, df: DataFrame, name: str, parts: int = 5, by: str | Column = "seq", end: DataFrame | None = None) -> DataFrame:
     """A table written out by ranges of ``by`` and read back as a stream that takes one range per micro-batch, ``end`` last."""
-    path = scratch_path(spark, name)
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df, path = _written(spark, df, name), scratch_path(spark, name)
+    files = state_partitions(spark)
     place = F.col(by) if isinstance(by, str) else by
     low, high = df.agg(F.min(place), F.max(place)).first()
     for i in range(parts):
@@ -589,7 +597,9 @@ def _in_order(spark: SparkSession, df: DataFrame, name: str, parts: int = 5, by:
 
 def _run(df: DataFrame, out: str, checkpoint: str) -> None:
     writer = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    with few_partitions(df.sparkSession):
+        query = writer.outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def stream_enrich_by_service(spark, sf):

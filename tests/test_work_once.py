@@ -37,6 +37,79 @@ def test_streams_have_state_for_their_tasks_only(spark, tmp_path, many_partition
     assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
 
 
+class Saved:
+    """A state and its timers that tell which calls were made."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), []
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+    def listTimers(self):  # noqa: N802
+        self.calls.append("list")
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, t):  # noqa: N802
+        self.calls.append("register")
+        self.timers.add(t)
+
+    def deleteTimer(self, t):  # noqa: N802
+        self.calls.append("delete")
+        self.timers.discard(t)
+
+
+class Expired:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return self.ms
+
+
+def test_a_key_costs_few_calls_on_its_state():
+    inputs = ["action_id", "event_type", "status", "decision", "_at", "seq"]
+    machine, saved = ApprovalMachine(True, 900, 600), Saved()
+    fold = FoldProcessor(machine.step, inputs, ["action_id", "status", "_at"], wake=machine.wake, expire=machine.expire)
+    fold.init(saved)
+
+    def come(*rows):
+        saved.calls.clear()
+        return [tuple(r) for r in fold.handleInputRows(("a",), iter([Row(*inputs)(*r) for r in rows]), None)]
+
+    second = 1_000_000
+    assert come(("a", "ACTION_INTENT", "PROPOSED", None, 0, None)) == [("a", "PENDING_APPROVAL", 0)]
+    assert saved.calls == ["get", "update", "register"] and saved.timers == {900_000}
+    assert come(("a", "ACTION_APPROVAL", None, "DENY", 70 * second, 3), ("a", "ACTION_INTENT", "PROPOSED", None, 60 * second, 2)) == [
+        ("a", "PENDING_APPROVAL", 60 * second),
+        ("a", "DENIED", 70 * second),
+    ]
+    assert saved.calls == ["get", "delete", "update", "register"] and saved.timers == {670_001}
+    assert come(("a", "ACTION_INTENT", "PROPOSED", None, 100 * second, 4)) == []
+    assert saved.calls == ["get", "update"] and saved.timers == {670_001}
+    assert list(fold.handleExpiredTimer(("a",), None, Expired(670_001))) == []
+    assert saved.value is None and not saved.timers
+    assert come(("a", "ACTION_INTENT", "PROPOSED", None, 2000 * second, 5)) == [("a", "PENDING_APPROVAL", 2000 * second)]
+    assert [tuple(r) for r in fold.handleExpiredTimer(("a",), None, Expired(2_900_000))] == [("a", "EXPIRED", 2900 * second)]
+    assert saved.timers == {3_500_001}
+
+
 def _counted(spark, df):
     seen = spark.sparkContext.accumulator(0)
 

@@ -26,7 +26,7 @@ def _plain(df: DataFrame) -> T.StructType:
 
 
 def _keyed(df: DataFrame, keys: list[str], processor: FoldProcessor, schema: T.StructType, timers: bool = False) -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(
+    return df.groupBy(*keys).transformWithState(
         processor, schema, "append", "eventTime" if timers else "none"
     )
 

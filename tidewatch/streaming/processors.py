@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import add
 
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidewatch.operators.bursts import SECOND
@@ -15,12 +15,10 @@ from tidewatch.operators.bursts import SECOND
 Wake = Callable[[dict], int | None]
 
 
-def rows_of(frames: Iterator[pd.DataFrame], columns: Sequence[str], order: Sequence[str]) -> list[dict]:
-    """All rows of one key in a micro-batch, in event order, with None for missing values."""
-    data = pd.concat(list(frames), ignore_index=True)
-    data.columns = list(columns)  # names with a leading underscore arrive as positions
-    data = data.sort_values(list(order), kind="stable")
-    return data.astype(object).where(data.notna(), None).to_dict("records")
+def rows_of(rows: Iterator[Row], columns: Sequence[str], order: Sequence[str]) -> list[dict]:
+    """All rows of one key in a micro-batch, in event order, missing values last."""
+    found = [dict(zip(columns, row, strict=True)) for row in rows]
+    return sorted(found, key=lambda r: [(r[c] is None, 0 if r[c] is None else r[c]) for c in order]) if len(found) > 1 else found
 
 
 class FoldProcessor(StatefulProcessor):
@@ -43,46 +41,58 @@ class FoldProcessor(StatefulProcessor):
     ):
         self.step, self.order = step, list(order)
         self.inputs, self.columns = list(inputs), list(columns)
+        self.row = Row(*self.columns)
         self.wake, self.expire = wake, expire
 
     def init(self, handle) -> None:
         self.handle = handle
         self.saved = handle.getValueState("fold", "state string")
 
-    def _load(self) -> dict:
-        return json.loads(self.saved.get()[0]) if self.saved.exists() else {}
-
-    def _store(self, state: dict) -> None:
+    def _timer(self, state: dict) -> int | None:
+        """The time (milliseconds) of the state's one timer."""
         due = self.wake(state) if self.wake else None
-        if self.wake:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
+        return None if due is None else -(-due // 1000)
+
+    def _load(self) -> dict | None:
+        saved = self.saved.get()
+        return None if saved is None else json.loads(saved[0])
+
+    # Each call on the state or a timer is a round trip to the JVM, so only those that change something are made.
+    def _store(self, state: dict, known: bool, timer: int | None) -> None:
+        """Keep the state; ``known`` tells whether there was one before, ``timer`` what it waited for."""
+        due = self._timer(state)
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
         if self.wake and due is None:
-            self.saved.clear()
+            if known:
+                self.saved.clear()
             return
         self.saved.update((json.dumps(state),))
-        if due is not None:
-            self.handle.registerTimer(-(-due // 1000))
+        if due is not None and due != timer:
+            self.handle.registerTimer(due)
 
-    def _frame(self, out: list[dict]) -> Iterator[pd.DataFrame]:
-        if out:
-            yield pd.DataFrame([[r.get(c) for c in self.columns] for r in out], columns=self.columns, dtype=object)
+    def _rows(self, out: list[dict]) -> Iterator[Row]:
+        for r in out:
+            yield self.row(*[r.get(c) for c in self.columns])
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        state, out = self._load(), []
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        found, out = self._load(), []
+        state = {} if found is None else found
+        timer = self._timer(state)
         for row in rows_of(rows, self.inputs, self.order):
             out += self.step(state, row)
-        self._store(state)
-        yield from self._frame(out)
+        self._store(state, found is not None, timer)
+        yield from self._rows(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if not self.saved.exists():
-            return
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         state = self._load()
+        if state is None:
+            return
+        timer = self._timer(state)
         now = expiredTimerInfo.getExpiryTimeInMs() * 1000
         out = self.expire(state, now) if self.expire else []
-        self._store(state)
-        yield from self._frame(out)
+        self._store(state, True, timer)
+        yield from self._rows(out)
 
     def close(self) -> None:
         pass

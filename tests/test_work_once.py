@@ -110,6 +110,17 @@ def test_a_key_costs_few_calls_on_its_state():
     assert saved.timers == {3_500_001}
 
 
+def test_a_filter_on_fields_parses_a_line_once(spark):
+    rows = [(iso(i), "a", f"m{i}", ("X", "Y", None)[i % 3], at(i), i) for i in range(9)]
+    logs = spark.createDataFrame(rows, "timestamp string, service string, message string, kind string, ts timestamp, seq bigint")
+    lines = log_lines({"one": logs, "two": logs.filter("seq > 3")})
+    found = select_logs(lines, json_fields={"what": "$.kind", "said": "$.message"}, where="what = 'X'", source="ops")
+    got = sorted(tuple(r) for r in found.select("topic", "seq", "what", "said").collect())
+    assert got == [("one", i, "X", f"m{i}") for i in (0, 3, 6)] + [("two", 6, "X", "m6")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson(") + plan.count("parse_json(") == 1, plan
+
+
 def _counted(spark, df):
     seen = spark.sparkContext.accumulator(0)
 

@@ -69,9 +69,13 @@ def log_lines(frames: Mapping[str, DataFrame], source: str = "ops", now: Column
     return attach_labels(union_topics(lines), source)
 
 
+def _record(df: DataFrame) -> Column:
+    return F.try_parse_json("line" if "line" in df.columns else "message")
+
+
 def with_record(df: DataFrame) -> DataFrame:
     """Adds ``record``: the whole record (``line``, or the message of lines kept without it) as a parsed value, null where it is no JSON."""
-    return df.withColumn("record", F.try_parse_json("line" if "line" in df.columns else "message"))
+    return df.withColumn("record", _record(df))
 
 
 def write_log_store(df: DataFrame, path: str, mode: str = "append", files: int | None = None) -> None:
@@ -235,6 +239,7 @@ def select_logs(
         out = out.filter(F.col(name) == value)
     wanted = {c: p for c, p in (json_fields or {}).items() if c not in LABELS}
     if wanted:
-        parsed = out if "record" in out.columns else with_record(out)
+        # Behind the generator the record is a column like any other: a filter on a field does not render and parse the line anew.
+        parsed = out if "record" in out.columns else out.select("*", F.inline(F.array(F.struct(_record(out).alias("record")))))
         out = parsed.select(*[c for c in out.columns if c not in wanted], *[F.try_variant_get("record", p, "string").alias(c) for c, p in wanted.items()])
     return out if where is None else out.filter(where)

@@ -136,3 +136,11 @@ def test_a_stream_of_ranges_computes_its_table_once(spark):
     df, seen = _counted(spark, spark.range(100).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("name")))
     stream = registered._in_order(spark, df, "once", end=spark.range(1).select(F.lit(10**6).cast("bigint").alias("seq"), F.lit("end").alias("name")))
     assert stream.isStreaming and seen.value == 100
+
+
+def test_error_lines_of_the_stream_are_computed_once(spark, monkeypatch):
+    lines = spark.range(50).select(F.timestamp_seconds(F.col("id") * 9).alias("ts"), F.col("id").alias("seq"), F.lit("ops").alias("source"), F.lit("error").alias("severity"))
+    df, seen = _counted(spark, lines)
+    monkeypatch.setattr(registered, "store", lambda spark, sf: df)
+    out = registered.stream_error_count(spark, "")
+    assert sum(r["count"] for r in out.collect()) == 50 and seen.value == 50

@@ -629,7 +629,7 @@ def _as_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def stream_error_count(spark, sf):
     """Counts kept up to date by a stream of log lines, asked for a range of one minute; the second batch is delivered twice."""
     table, _, checkpoint = _folders(spark, "counts")
-    lines = S.select_logs(store(spark, sf), source="ops", severity="error").select("ts", "seq")
+    lines = _written(spark, S.select_logs(store(spark, sf), source="ops", severity="error").select("ts", "seq"), "lines")
     count_sink(_in_order(spark, lines, "error-lines"), table, checkpoint).awaitTermination()
     low, high = lines.agg(F.min("seq"), F.max("seq")).first()
     width = ((high or 0) - (low or 0)) // 5 + 1

@@ -144,3 +144,18 @@ def test_error_lines_of_the_stream_are_computed_once(spark, monkeypatch):
     monkeypatch.setattr(registered, "store", lambda spark, sf: df)
     out = registered.stream_error_count(spark, "")
     assert sum(r["count"] for r in out.collect()) == 50 and seen.value == 50
+
+
+def test_candidates_of_bursts_are_numbered_once(spark, monkeypatch):
+    seen = []
+    choose = bursts.greedy_spacing
+
+    def spy(df, *args, **kwargs):
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return choose(df, *args, **kwargs)
+
+    monkeypatch.setattr(bursts, "greedy_spacing", spy)
+    logs = spark.createDataFrame([("a", "error", at(i), i) for i in range(40)], "service string, severity string, ts timestamp, seq bigint")
+    fires = bursts.burst_fires(logs, 30, 5)
+    assert sorted(r["seq"] for r in fires.collect()) == list(range(4, 40, 5))
+    assert len(seen) == 1 and "MapInArrow" not in seen[0]

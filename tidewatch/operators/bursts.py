@@ -63,7 +63,8 @@ def burst_fires(df: DataFrame, window_sec: int = 30, threshold: int = 8, ts: str
     )
     recent = F.col("_at") - F.col("_old") <= window_sec * SECOND
     candidates = numbered.filter((F.col("rn") >= threshold) & recent).drop("_old")
-    # Row numbers grow along the sorted blocks, so the choice needs no further shuffle.
+    # Row numbers grow along the sorted blocks, so the choice needs no further shuffle. It reads the candidates twice.
+    candidates = candidates.checkpoint()
     fires = greedy_spacing(candidates, ["service"], "rn", [], threshold, presorted=True)
     return fires.drop("rn").checkpoint()
 

@@ -1,4 +1,7 @@
+import contextlib
 import hashlib
+import os
+import threading
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -12,6 +15,7 @@ from tests.llm.conftest import with_clashes
 from tidewatch.llm.embedding_dedup import embedding_classes, forest, linked, tile_pairs, tiles
 from tidewatch.llm.filter_audit import audit_filters, shapley_operator, solved
 from tidewatch.llm.merkle import manifest, proof_digest
+from tidewatch.session import shared_dir
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -302,3 +306,75 @@ def test_a_forest_has_the_smallest_number_of_each_class():
     assert forest(7, np.array([5, 4, 1]), np.array([4, 2, 6])).tolist() == [0, 1, 2, 3, 2, 2, 1]
     chain = np.arange(4999)
     assert not forest(5000, chain, chain + 1).any()
+
+
+class Written(threading.Thread):
+    """The most bytes that new files in the shared folder and in Spark's own folders had at a time."""
+
+    def __init__(self, spark):
+        super().__init__(daemon=True)
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        self.tops = [shared_dir(spark).removeprefix("file://"), *blocks]
+        self.before, self.most, self.over = self.sizes(), 0, threading.Event()
+
+    def sizes(self):
+        found = {}
+        for folder, name in ((d, n) for top in self.tops for d, _, names in os.walk(top) for n in names):
+            with contextlib.suppress(OSError):  # a file may go meanwhile
+                found[f"{folder}/{name}"] = os.path.getsize(f"{folder}/{name}")
+        return found
+
+    def run(self):
+        while not self.over.wait(0.02):
+            self.most = max(self.most, sum(n for f, n in self.sizes().items() if f not in self.before))
+
+    def __enter__(self):
+        self.start()
+        return self
+
+    def __exit__(self, *_):
+        self.over.set()
+        self.join()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_disk_does_not_grow_with_the_pairs_of_tiles(spark, monkeypatch, kind):
+    """Vectors without structure: every tile of the label meets every other one."""
+    from tidewatch.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "CHUNK_CELLS", 8000, raising=False)
+    monkeypatch.setattr(embedding_dedup, "CHUNKS_AT_ONCE", 3, raising=False)
+    n, width = 3000, 48
+    noise = np.random.default_rng(9).normal(size=(1000, width)) * 0.05
+    v = np.random.default_rng(8).normal(size=(n, width))
+    v[2000:] = v[:1000] + noise
+    v[2990:] = v[0]
+    v = v.astype(np.float32).astype(float)
+    rows = spark.createDataFrame([(k, x.tolist(), 0) for k, x in enumerate(v)], f"vec_id long, embedding array<{kind}>, label int").repartition(6).checkpoint()
+    with Written(spark) as disk:
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_classes(rows, tile=20).collect()}
+    assert disk.most < 10 * v.nbytes
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    assert [got[k][0] for k in range(n)] == (near.sum(axis=1) - 1).tolist()
+    low = np.arange(n)
+    for _ in range(20):
+        low = np.where(near, low[None, :], n).min(axis=1)
+    assert [got[k][1] for k in range(n)] == low.tolist()
+
+
+def test_equal_vectors_of_a_batch_and_of_neighbouring_batches_become_one():
+    import pyarrow as pa
+
+    from tidewatch.llm.embedding_dedup import _distinct, _once
+
+    def batch(rows):
+        return pa.RecordBatch.from_pylist([{"vid": i, "n": n, "same": s.encode()} for i, n, s in rows], schema=pa.schema([("vid", pa.int64()), ("n", pa.int64()), ("same", pa.binary())]))
+
+    def plain(batches):
+        return [(r["vid"], r["n"], r["same"].decode()) for b in batches for r in b.to_pylist()]
+
+    assert plain([_once(batch([(5, 1, "b"), (3, 1, "a"), (2, 2, "b"), (9, 1, "c")]))]) == [(2, 3, "b"), (3, 1, "a"), (9, 1, "c")]
+    parts = [batch([(5, 1, "a"), (4, 1, "a")]), batch([]), batch([(6, 1, "a")]), batch([(1, 2, "a"), (8, 1, "b"), (7, 1, "c")]), batch([(2, 1, "c"), (3, 1, "d")])]
+    assert plain(_distinct(parts)) == [(1, 5, "a"), (8, 1, "b"), (2, 2, "c"), (3, 1, "d")]
+    assert plain(_distinct([batch([])])) == []

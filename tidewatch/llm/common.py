@@ -45,8 +45,8 @@ def with_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 HOT_PARTS = 1000
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """Inner join with a table that has one row per key, when any key may hold a large part of the rows.
+def attach(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join (inner, or left) with a table that has one row per key, when any key may hold a large part of the rows.
 
     Rows of hot keys meet their group by broadcast (at most HOT_PARTS groups, by arithmetic) and stay where they are;
     all others are shuffled. Both inputs are read more than once, so pass stored or checkpointed ones.
@@ -54,6 +54,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     total = rows.count()
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_PARTS >= F.lit(total))
     hot = counts.select(key).checkpoint()
-    near = rows.join(F.broadcast(groups.join(F.broadcast(hot), key)), key)
-    far = rows.join(F.broadcast(hot), key, "left_anti").join(groups, key)
+    known = groups.join(F.broadcast(hot), key) if how == "inner" else hot.join(groups, key, how)
+    near = rows.join(F.broadcast(known), key)
+    far = rows.join(F.broadcast(hot), key, "left_anti").join(groups, key, how)
     return near.unionByName(far)
